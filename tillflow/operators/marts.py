@@ -14,42 +14,53 @@ from tillflow.functions.numbers import TOTAL, count_where, mean, percent, ratio,
 from tillflow.operators.ranking import rank_descending
 from tillflow.session import cut_lineage
 
-_ONLINE, _PHYSICAL = F.col("order_type") == "ONLINE", F.col("order_type") == "PHYSICAL"
 _STATUS = {"completed_orders": "Finalizado", "canceled_orders": "Cancelado", "pending_orders": "Pendente"}
 
-_FLAGS = {
-    "online_orders": _ONLINE,
-    "physical_orders": _PHYSICAL,
-    **{name: F.col("order_status") == value for name, value in _STATUS.items()},
-}
-
-_SUMS = {
-    "value_sum": F.sum("order_value"),
-    "value_count": F.count("order_value"),
-    "fee_sum": F.sum("delivery_fee"),
-    "fee_count": F.count("delivery_fee"),
-    "online_sum": F.sum(F.when(_ONLINE, F.col("order_value")).otherwise(0)),
-    "physical_sum": F.sum(F.when(_PHYSICAL, F.col("order_value")).otherwise(0)),
-    "items_sum": F.sum("total_items"),
-    "items_count": F.count("total_items"),
-    "first_day": F.min("order_date"),
-    "last_day": F.max("order_date"),
-}
+
+def _flags() -> dict[str, Column]:
+    """The conditions whose orders are counted."""
+    types = {"online_orders": "ONLINE", "physical_orders": "PHYSICAL"}
+    flags = {name: F.col("order_type") == value for name, value in types.items()}
+    return flags | {name: F.col("order_status") == value for name, value in _STATUS.items()}
+
+
+def _sums() -> dict[str, Column]:
+    value, flags = F.col("order_value"), _flags()
+    return {
+        "value_sum": F.sum(value),
+        "value_count": F.count(value),
+        "fee_sum": F.sum("delivery_fee"),
+        "fee_count": F.count("delivery_fee"),
+        "online_sum": F.sum(F.when(flags["online_orders"], value).otherwise(0)),
+        "physical_sum": F.sum(F.when(flags["physical_orders"], value).otherwise(0)),
+        "items_sum": F.sum("total_items"),
+        "items_count": F.count("total_items"),
+        "first_day": F.min("order_date"),
+        "last_day": F.max("order_date"),
+    }
+
+
+def _merged(names) -> dict[str, Column]:
+    """The aggregates that bring partial results of the same names together."""
+    merge = {"first_day": F.min, "last_day": F.max}
+    return {name: merge.get(name, F.sum)(name) for name in names}
+
+
+def _aliased(columns: dict[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in columns.items()]
 
 
 def _order_metrics(fact: DataFrame, key: str, orders_unique: bool) -> DataFrame:
     """Sums, counts and distinct orders per ``key``; the columns not asked for are pruned by Catalyst."""
+    sums, flags, known = _sums(), _flags(), F.col("order_id").isNotNull()
+    orders = {"total_orders": F.count("order_id")}
     if orders_unique:
-        counts = {"total_orders": F.count("order_id")}
-        counts |= {name: count_where(flag & F.col("order_id").isNotNull()) for name, flag in _FLAGS.items()}
-        return fact.groupBy(key).agg(*[c.alias(n) for n, c in (counts | _SUMS).items()])
-    flags = {name: F.max(flag.cast("int")) for name, flag in _FLAGS.items()}
-    per_order = fact.groupBy(key, "order_id").agg(*[c.alias(n) for n, c in (flags | _SUMS).items()])
-    known = F.col("order_id").isNotNull()
-    counts = {"total_orders": F.count("order_id")}
-    counts |= {name: F.coalesce(F.sum(F.when(known, F.col(name))), F.lit(0)) for name in _FLAGS}
-    merged = {n: F.min(n) if n == "first_day" else F.max(n) if n == "last_day" else F.sum(n) for n in _SUMS}
-    return per_order.groupBy(key).agg(*[c.alias(n) for n, c in (counts | merged).items()])
+        counts = {name: count_where(flag & known) for name, flag in flags.items()}
+        return fact.groupBy(key).agg(*_aliased(orders | counts | sums))
+    held = {name: F.max(flag.cast("int")) for name, flag in flags.items()}
+    per_order = fact.groupBy(key, "order_id").agg(*_aliased(held | sums))
+    counts = {name: F.coalesce(F.sum(F.when(known, F.col(name))), F.lit(0)) for name in flags}
+    return per_order.groupBy(key).agg(*_aliased(orders | counts | _merged(sums)))
 
 
 def _money(name: str) -> Column:
@@ -150,10 +161,8 @@ def product_metrics(fact_items: DataFrame) -> DataFrame:
         "first_day": F.min("order_date"),
         "last_day": F.max("order_date"),
     }
-    merged = [
-        (F.min(n) if n == "first_day" else F.max(n) if n == "last_day" else F.sum(n)).alias(n) for n in sums
-    ]
-    per_order = fact_items.groupBy("product_key", "unit_key", "order_id").agg(*[c.alias(n) for n, c in sums.items()])
+    merged = _aliased(_merged(sums))
+    per_order = fact_items.groupBy("product_key", "unit_key", "order_id").agg(*_aliased(sums))
     per_unit = per_order.groupBy("product_key", "unit_key").agg(F.count("order_id").alias("orders"), *merged)
     return per_unit.groupBy("product_key").agg(
         F.sum("orders").alias("total_orders"), F.count("unit_key").alias("units_selling_product"), *merged
