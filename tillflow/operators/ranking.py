@@ -50,8 +50,8 @@ def rank_descending(df: DataFrame, ranks: dict[str, str]) -> DataFrame:
     values = list(dict.fromkeys(ranks.values()))
     quantiles = df.approxQuantile(values, probabilities, 0.5 / buckets) if probabilities else [[] for _ in values]
     bounds = {value: sorted(set(found)) for value, found in zip(values, quantiles, strict=True)}
+    ranked = df
     for name, value in ranks.items():
-        found = _ranks(df, value, bounds[value])
-        df = df.join(found, F.col(value).eqNullSafe(F.col("_value")), "left").drop("_value")
-        df = df.withColumnRenamed("_rank", name)
-    return df
+        found = _ranks(df, value, bounds[value]).withColumnRenamed("_rank", name)
+        ranked = ranked.join(found, ranked[value].eqNullSafe(found["_value"]), "left").drop("_value")
+    return ranked

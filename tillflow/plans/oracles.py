@@ -324,7 +324,7 @@ CHECKS: dict[str, str] = {
         "CASE WHEN silver IS NULL AND gold IS NULL THEN 'warn' WHEN abs(silver - gold) < 1 THEN 'pass' "
         "WHEN abs(silver - gold) < 100 THEN 'warn' ELSE 'fail' END", "diff < 0.01",
         "CAST(abs(silver - gold) * 0.01 AS VARCHAR)",
-        "'{\"silver_total\":\"' || CAST(silver * 0.01 AS VARCHAR) || '\",\"gold_total\":\"' || CAST(gold * 0.01 AS VARCHAR) || '\"}'",
+        "'{\"silver_total\":\"' || COALESCE(CAST(silver * 0.01 AS VARCHAR), 'N/A') || '\",\"gold_total\":\"' || COALESCE(CAST(gold * 0.01 AS VARCHAR), 'N/A') || '\"}'",
         "SELECT CAST((SELECT sum(line_cents) FROM s_items) AS DECIMAL(28, 0)) AS silver, "
         "CAST((SELECT sum(subtotal_cents) FROM f_sales) AS DECIMAL(28, 0)) AS gold",
     ),
@@ -343,7 +343,7 @@ CHECKS: dict[str, str] = {
         "volume_anomaly_detection", "volume", "fact_sales", "z-score of the day''s orders over the previous 30 days",
         "CASE WHEN z <= 2 THEN 'pass' ELSE 'warn' END", "z_score <= 2.0",
         "CASE WHEN z IS NULL THEN 'insufficient data' ELSE printf('z_score = %.2f', z) END",
-        "'{\"avg_orders\":\"' || CAST(ROUND(mean, 4) AS VARCHAR) || '\",\"today_orders\":\"' || CAST(today AS VARCHAR) || '\"}'",
+        "'{\"avg_orders\":\"' || COALESCE(CAST(ROUND(mean, 4) AS VARCHAR), 'N/A') || '\",\"today_orders\":\"' || COALESCE(CAST(today AS VARCHAR), 'N/A') || '\"}'",
         "SELECT *, abs(today - mean) / NULLIF(deviation, 0) AS z FROM (SELECT "
         f"avg(n) FILTER (order_date < {_DAY}) AS mean, stddev_samp(n) FILTER (order_date < {_DAY}) AS deviation, "
         f"max(n) FILTER (order_date = {_DAY}) AS today FROM day_counts) AS moments",
@@ -532,10 +532,10 @@ SELECTS: dict[str, str] = {
     "prod_top_revenue": f"""SELECT product_name, {_money("revenue_cents", "total_revenue")} FROM m_products
       ORDER BY revenue_cents DESC, product_key LIMIT 10""",
     "prod_top_volume": """SELECT product_name, total_quantity_sold FROM m_products
-      ORDER BY total_quantity_sold DESC, product_name, product_key LIMIT 10""",
+      ORDER BY total_quantity_sold DESC, product_key LIMIT 10""",
     "prod_full_table": _product_table(),
     "prod_unit_penetration": f"""SELECT product_name, {_one_decimal("penetration")} AS unit_penetration_pct FROM m_products
-      ORDER BY penetration DESC, product_name, product_key LIMIT 15""",
+      ORDER BY penetration DESC, product_key LIMIT 15""",
     "prod_price_vs_revenue": f"""SELECT product_name, avg_unit_price, {_money("revenue_cents", "total_revenue")}, total_quantity_sold
       FROM m_products""",
     # orders

@@ -109,12 +109,14 @@ MARTS = ("gold.agg_daily_sales", "gold.agg_unit_performance", "gold.agg_product_
 _workspaces: dict[tuple[str, str], Workspace] = {}
 
 
-def bench_workspace(spark: SparkSession, folder: str) -> Workspace:
-    """The workspace over a folder of benchmark tables; one per application and folder.
+def bench_workspace(spark: SparkSession, folder: str, ready: Workspace | None = None) -> Workspace:
+    """The workspace over a folder of benchmark tables; one per application and folder, or the one given.
 
     Its tables go to the shared folder under the application's id, so they never outlive their input.
     """
     key = (spark.sparkContext.applicationId, folder)
+    if ready is not None:
+        _workspaces[key] = ready
     if key not in _workspaces:
         tag = hashlib.sha256(folder.encode()).hexdigest()[:12]
         store = TableStore(spark, f"{shared_dir(spark)}/tillflow/{key[0]}/{tag}")
