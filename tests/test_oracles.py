@@ -1,0 +1,46 @@
+"""Every registered query against its oracle, over whole tables."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from compare import connect, difference
+from conftest import SMALL
+
+import __spark_entry__ as contract
+
+QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+needs_data = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no benchmark tables")
+
+
+@pytest.fixture(scope="module")
+def con():
+    with connect(SMALL) as connection:
+        yield connection
+
+
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
+
+
+@needs_data
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_oracle(spark, con, name):
+    assert difference(QUERIES[name](spark, SMALL), con, ORACLES[name]) is None
+
+
+@needs_data
+def test_comparison_sees_a_changed_cell(spark, con):
+    from pyspark.sql import functions as F
+
+    frame = QUERIES["exec_revenue_trend"](spark, SMALL)
+    changed = frame.withColumn("total_revenue", F.col("total_revenue") + 0.01)
+    assert difference(changed, con, ORACLES["exec_revenue_trend"]) is not None
+
+
+@needs_data
+def test_entry_gives_the_daily_mart(spark):
+    frame = contract.entry(spark)
+    assert frame.count() > 0
+    assert len(frame.columns) == 25

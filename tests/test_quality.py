@@ -1,0 +1,183 @@
+from __future__ import annotations
+
+import json
+from datetime import date, datetime
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tillflow.operators import quality
+from tillflow.schemas import MONITORING
+
+DAY = date(2026, 2, 5)
+
+
+def sales(spark, *counts: tuple):
+    """(day offset from DAY, number of orders) pairs; each order has its own unit."""
+    total = [(day, n) for day, n in counts]
+    base = spark.createDataFrame(total, "off int, n int")
+    return base.select(
+        F.date_add(F.lit(DAY), "off").alias("order_date"), F.explode(F.sequence(F.lit(1), "n")).alias("unit_key")
+    ).withColumn("order_id", F.concat_ws("-", "order_date", "unit_key"))
+
+
+def verdict(frame):
+    (row,) = frame.collect()
+    assert tuple(row.asDict()) == quality.RESULT_COLUMNS
+    json.loads(row.details)
+    return row.result, row.actual_value
+
+
+@pytest.mark.parametrize(("n", "expected"), [(100, ("pass", "100")), (0, ("fail", "0"))])
+def test_freshness(spark, n, expected):
+    frame = sales(spark, (0, n)) if n else sales(spark, (-1, 3))
+    assert verdict(quality.freshness(frame, DAY)) == expected
+
+
+@pytest.mark.parametrize(("n", "expected"), [(50, "pass"), (46, "warn"), (45, "warn"), (44, "fail"), (10, "fail")])
+def test_completeness(spark, n, expected):
+    assert verdict(quality.completeness(sales(spark, (0, n)), DAY)) == (expected, str(n))
+
+
+@pytest.mark.parametrize(
+    ("silver", "gold", "expected"),
+    [
+        ("10.00", "10.00", ("pass", "0.00")),
+        ("10.00", "9.50", ("warn", "0.50")),
+        ("20.00", "10.00", ("fail", "10.00")),
+        ("10.00", "9.00", ("fail", "1.00")),
+        (None, "10.00", ("fail", "10.00")),
+        (None, None, ("warn", "0.00")),
+    ],
+)
+def test_accuracy(spark, silver, gold, expected):
+    items = spark.sql("select cast(null as decimal(10,2)) unit_price, 1L quantity").withColumn(
+        "unit_price", F.lit(silver).cast("decimal(10,2)")
+    )
+    facts = spark.range(1).select(F.lit(gold).cast("decimal(10,2)").alias("items_subtotal"))
+    assert verdict(quality.accuracy(items, facts)) == expected
+
+
+def test_uniqueness(spark):
+    once = spark.range(30).select(F.col("id").cast("string").alias("order_id"))
+    assert verdict(quality.uniqueness(once)) == ("pass", "0 duplicates found")
+    one = once.unionByName(once.filter("order_id = '7'"))
+    assert verdict(quality.uniqueness(one)) == ("fail", "1 duplicates found")
+    many = quality.uniqueness(once.unionByName(once))
+    assert verdict(many) == ("fail", "10 duplicates found")
+    assert json.loads(many.first().details) == {"sample_duplicates": ["0", "1", "10", "11", "12"]}
+
+
+def test_referential_counts_rows_and_nulls(spark):
+    items = spark.createDataFrame([(1,), (1,), (2,), (3,), (3,), (None,)], "product_key long")
+    products = spark.createDataFrame([(1,), (2,)], "product_key long")
+    assert verdict(quality.referential(items, products)) == ("fail", "3 orphan records")
+    assert verdict(quality.referential(items.filter("product_key < 3"), products)) == ("pass", "0 orphan records")
+
+
+@pytest.mark.parametrize(
+    ("counts", "expected"),
+    [
+        ([(0, 11), (-1, 10), (-2, 12)], ("pass", "z_score = 0.00")),
+        ([(0, 30), (-1, 10), (-2, 12)], ("warn", "z_score = 13.44")),
+        ([(-1, 10), (-2, 12)], ("warn", "insufficient data")),
+        ([(0, 10)], ("warn", "insufficient data")),
+        ([(0, 10), (-1, 10), (-2, 10)], ("warn", "insufficient data")),
+        ([(0, 11), (-1, 10), (-2, 12), (-31, 500), (1, 900)], ("pass", "z_score = 0.00")),
+        ([(0, 13), (-1, 10), (-2, 12), (-30, 11)], ("pass", "z_score = 2.00")),
+    ],
+)
+def test_volume_anomaly(spark, counts, expected):
+    assert verdict(quality.volume_anomaly(sales(spark, *counts), DAY)) == expected
+
+
+def test_all_checks_run_and_an_error_is_a_failed_row(spark):
+    def broken():
+        raise RuntimeError("no such table")
+
+    checks = {"check_freshness": lambda: quality.freshness(sales(spark, (0, 1)), DAY), "check_broken": broken}
+    results = quality.run_checks(spark, checks)
+    assert rows(results, "check_name", "check_category", "result", "actual_value") == [
+        ("freshness_fact_sales", "freshness", "pass", "1"),
+        ("check_broken", "error", "fail", "no such table"),
+    ]
+    assert rows(quality.failures(results), "check_name") == [("check_broken",)]
+
+
+def test_log_rows_fit_the_log_table(spark):
+    long_sql = "x" * 5000
+    checks = {"c": lambda: quality.boolean_check(spark, "c", "custom", f"SELECT true AS ok -- {long_sql}")}
+    log = quality.log_rows(quality.run_checks(spark, checks), DAY, "run_1")
+    assert log.schema.names == MONITORING["data_quality_log"].names
+    assert [f.dataType for f in log.schema] == [f.dataType for f in MONITORING["data_quality_log"]]
+    row = log.first()
+    assert (len(row.check_id), len(row.check_sql), row.dag_run_id) == (12, 4000, "run_1")
+    assert log.filter("result = 'nothing'").count() == 0
+
+
+@pytest.mark.parametrize(
+    ("sql", "expected", "result"),
+    [
+        ("SELECT count(*) = 3 FROM {t}", True, "pass"),
+        ("SELECT count(*) = 3 FROM {t}", False, "fail"),
+        ("SELECT count(*) > :least FROM {t}", True, "fail"),
+        ("SELECT id > 5 FROM {t} WHERE id > 5", True, "fail"),
+        ("SELECT id > 5 FROM {t} WHERE id > 5", False, "pass"),
+    ],
+)
+def test_boolean_check(spark, sql, expected, result):
+    found = quality.boolean_check(spark, "c", "custom", sql, expected, args={"least": 3} if ":" in sql else None, t=spark.range(3))
+    assert verdict(found)[0] == result
+
+
+def test_gates(spark):
+    orders = spark.createDataFrame([("A",), (None,)], "order_id string")
+    assert dict(rows(quality.silver_gate(orders, spark.range(0)))) == {
+        "orders_not_empty": True, "order_items_not_empty": False, "no_null_order_ids": False,
+    }
+    facts = spark.createDataFrame([(1,), (9,)], "unit_key long")
+    units = spark.createDataFrame([(1,)], "unit_key long")
+    assert dict(rows(quality.gold_gate(facts, spark.range(1), units))) == {
+        "fact_sales_not_empty": True, "dims_populated": True, "no_orphan_units": False,
+    }
+    assert dict(rows(quality.layer_gate({"a": spark.range(5), "b": spark.range(0)}))) == {"a": True, "b": False}
+    assert rows(quality.freshness_gate(sales(spark, (0, 4)), DAY, minimum=5)) == [(4, False)]
+
+
+def test_reference_checks_and_orphans(spark):
+    units = spark.createDataFrame([(1, "U1", 1), (2, "U2", 8), (3, "U3", None)], "id_unidade long, nome_unidade string, id_estado long")
+    states = spark.createDataFrame([(1, 1, "S1"), (2, 7, "S2")], "id_estado long, id_pais long, nome_estado string")
+    countries = spark.createDataFrame([(1, "C")], "id_pais long, nome_pais string")
+    tables = {"products": spark.range(40), "units": units, "states": states, "countries": countries}
+    found = {name: status for name, _, _, status in rows(quality.reference_checks(tables))}
+    assert found == {
+        "products_row_count": "OK", "units_row_count": "WARN", "states_row_count": "WARN",
+        "countries_row_count": "OK", "orphan_units": "WARN",
+    }
+    lost = sorted(rows(quality.orphans(units, states, countries)))
+    assert lost == [("state", 2, "S2"), ("unit", 2, "U2"), ("unit", 3, "U3")]
+
+
+def test_rates(spark):
+    frame = spark.createDataFrame([("A", 1), ("A", None), ("B", 2), ("C", 3)], "k string, v int")
+    assert dict((n, (r, v)) for n, r, v in rows(quality.rates(frame, "k", ["k", "v"]))) == {
+        "null_rate": (0.125, "fail"), "duplicate_rate": (0.25, "fail"),
+    }
+
+
+def test_bronze_age_and_arrival(spark):
+    frame = spark.createDataFrame([(datetime(2026, 2, 1, 6),), (datetime(2026, 2, 4, 7, 30),)], "_ingest_timestamp timestamp")
+    assert rows(quality.bronze_age(frame, datetime(2026, 2, 5, 7)), "age_hours", "stale") == [(23, False)]
+    assert rows(quality.bronze_age(frame, datetime(2026, 2, 5, 8)), "age_hours", "stale") == [(24, True)]
+    files = spark.createDataFrame([("s3://b/raw/csv_sales/2026/02/05/u1/pedido.csv",)], "path string")
+    assert rows(quality.files_arrived(files, "raw/csv_sales/2026/02/05")) == [(True,)]
+    assert rows(quality.files_arrived(files, "raw/csv_sales/2026/02/06")) == [(False,)]
+
+
+def test_latest_results(spark):
+    log = spark.createDataFrame(
+        [(f"c{i:02d}", "pass", "1", datetime(2026, 2, 1 + i)) for i in range(12)],
+        "check_name string, result string, actual_value string, execution_timestamp timestamp",
+    )
+    assert [r[0] for r in rows(quality.latest_results(log, 3))] == ["c11", "c10", "c09"]

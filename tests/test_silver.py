@@ -1,0 +1,129 @@
+from __future__ import annotations
+
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tillflow.operators import silver
+from tillflow.schemas import BRONZE
+
+
+@pytest.mark.parametrize(
+    ("raw", "expected"),
+    [
+        ("Loja Online", "ONLINE"),
+        ("pedido ONLINE", "ONLINE"),
+        ("online fisica", "ONLINE"),
+        ("Loja Fisica", "PHYSICAL"),
+        ("loja fisico", "PHYSICAL"),
+        ("Loja Física", "UNKNOWN"),
+        ("", "UNKNOWN"),
+        (None, "UNKNOWN"),
+    ],
+)
+def test_order_type(spark, bronze_orders, raw, expected):
+    found = silver.silver_orders(bronze_orders({"id_pedido": "A", "tipo_pedido": raw}))
+    assert rows(found, "order_type") == [(expected,)]
+
+
+@pytest.mark.parametrize(
+    ("kind", "address", "expected"),
+    [
+        ("Loja Online", "  Rua A ", "Rua A"),
+        ("Loja Online", "   ", None),
+        ("Loja Online", None, None),
+        ("loja online", "Rua A", None),
+        ("Loja Fisica", "Rua A", None),
+    ],
+)
+def test_delivery_address(bronze_orders, kind, address, expected):
+    frame = bronze_orders({"id_pedido": "A", "tipo_pedido": kind, "endereco_entrega": address})
+    assert rows(silver.silver_orders(frame), "delivery_address") == [(expected,)]
+
+
+def test_order_columns(bronze_orders):
+    frame = bronze_orders({"id_pedido": "A", "vlr_pedido": "50.25", "taxa_entrega": None}, {"id_pedido": "B", "vlr_pedido": "7.50"})
+    found = silver.silver_orders(frame).orderBy("order_id")
+    assert rows(found, "order_year", "order_month", "order_day", "order_day_of_week")[0] == (2026, 1, 15, "Thursday")
+    assert rows(found, "order_value", "delivery_fee", "items_subtotal") == [
+        (Decimal("50.25"), None, None),
+        (Decimal("7.50"), Decimal("5.00"), Decimal("2.50")),
+    ]
+
+
+def test_latest_delivery_wins_whatever_the_order_of_rows(bronze_orders):
+    old = {"id_pedido": "A", "status": "Pendente", "_ingest_timestamp": datetime(2026, 1, 16)}
+    new = {"id_pedido": "A", "status": "Cancelado", "_ingest_timestamp": datetime(2026, 1, 18)}
+    for pair in ((old, new), (new, old)):
+        assert rows(silver.silver_orders(bronze_orders(*pair)), "order_status") == [("Cancelado",)]
+
+
+def test_ties_are_decided_by_file_and_then_by_the_other_columns(bronze_orders):
+    first = {"id_pedido": "A", "_source_file": "a.csv", "vlr_pedido": "9.00"}
+    second = {"id_pedido": "A", "_source_file": "b.csv", "vlr_pedido": "1.00"}
+    third = {"id_pedido": "A", "_source_file": "b.csv", "vlr_pedido": "2.00"}
+    for order in ((first, second, third), (third, second, first), (second, third, first)):
+        frame = bronze_orders(*order).repartition(3)
+        assert rows(silver.silver_orders(frame), "order_value") == [(Decimal("2.00"),)]
+
+
+def test_items_need_an_order_and_do_not_fan_out(bronze_orders, bronze_items):
+    again = {"id_pedido": "O1", "_ingest_timestamp": datetime(2026, 1, 20)}
+    orders = silver.silver_orders(bronze_orders({"id_pedido": "O1"}, again))
+    items = bronze_items(
+        {"id_item_pedido": "I1", "qtd": 3, "vlr_item": "10.10", "observacao": "  sem sal "},
+        {"id_item_pedido": "I2", "observacao": "  "},
+        {"id_item_pedido": "I3", "id_pedido": "unknown"},
+    )
+    found = silver.silver_order_items(items, orders).orderBy("order_item_id")
+    assert rows(found, "order_item_id", "quantity", "total_item_value", "observation") == [
+        ("I1", 3, Decimal("30.30"), "sem sal"),
+        ("I2", 2, Decimal("20.00"), None),
+    ]
+
+
+def test_item_is_filtered_before_it_is_deduplicated(bronze_orders, bronze_items):
+    orders = silver.silver_orders(bronze_orders({"id_pedido": "O1"}))
+    items = bronze_items(
+        {"id_item_pedido": "I1", "qtd": 1, "_ingest_timestamp": datetime(2026, 1, 1)},
+        {"id_item_pedido": "I1", "qtd": 9, "id_pedido": "unknown", "_ingest_timestamp": datetime(2026, 1, 9)},
+    )
+    assert rows(silver.silver_order_items(items, orders), "quantity") == [(1,)]
+
+
+def test_units_go_through_the_state_to_the_country(spark):
+    now = datetime(2026, 1, 1)
+    units = spark.createDataFrame([(1, " U1 ", 10, now), (2, "U2", 99, now), (3, "U3", 11, now), (4, "U4", None, now)], BRONZE["units"])
+    states = spark.createDataFrame([(10, 5, " RS "), (11, 77, "SC")], "id_estado long, id_pais long, nome_estado string")
+    countries = spark.createDataFrame([(5, " Brasil")], "id_pais long, nome_pais string")
+    found = silver.silver_units(units, states, countries, now).orderBy("unit_id").drop("_updated_at")
+    assert rows(found) == [
+        (1, "U1", 10, "RS", 5, "Brasil"),
+        (2, "U2", None, None, None, None),
+        (3, "U3", 11, "SC", None, None),
+        (4, "U4", None, None, None, None),
+    ]
+
+
+def test_reference_rows_without_an_id_go(spark):
+    frame = spark.createDataFrame([(1, " Bowl "), (None, "x")], "id_produto long, nome_produto string")
+    assert rows(silver.silver_products(frame, datetime(2026, 1, 1)).drop("_updated_at")) == [(1, "Bowl")]
+
+
+def test_items_enriched(bronze_orders, bronze_items, spark):
+    orders = silver.silver_orders(bronze_orders({"id_pedido": "O1", "id_unidade": 7}))
+    items = silver.silver_order_items(bronze_items({"id_item_pedido": "I1", "id_produto": 3}), orders)
+    products = spark.createDataFrame([(3, "Bowl")], "product_id long, product_name string")
+    units = spark.createDataFrame([(8, "U8", "RS")], "unit_id long, unit_name string, state_name string")
+    found = silver.items_enriched(items, orders, products, units)
+    assert rows(found, "product_name", "unit_name", "order_date", "day_of_week") == [("Bowl", None, date(2026, 1, 15), "Thursday")]
+
+
+def test_hot_key_is_reduced_before_the_shuffle(bronze_orders):
+    frame = bronze_orders(*[{"id_pedido": "A", "_ingest_timestamp": datetime(2026, 1, 1, 0, i)} for i in range(40)])
+    plan = silver.silver_orders(frame)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+    assert rows(silver.silver_orders(frame), F.minute("_ingest_timestamp")) == [(39,)]

@@ -10,11 +10,11 @@ MAX_BUCKETS = 256
 
 
 def _bucket(value: Column, bounds: list[float]) -> Column:
-    """How many bounds lie above the value: 0 for the highest values. Equal values share a bucket."""
+    """How many bounds lie above the value: 0 for the highest values. Equal values share a bucket; nulls come last."""
     if not bounds:
         return F.lit(0)
     above = F.filter(F.array(*[F.lit(b) for b in bounds]), lambda bound: value.cast("double") < bound)
-    return F.array_size(above)
+    return F.when(value.isNull(), len(bounds) + 1).otherwise(F.array_size(above))
 
 
 def _ranks(df: DataFrame, value: str, bounds: list[float]) -> DataFrame:
@@ -26,7 +26,7 @@ def _ranks(df: DataFrame, value: str, bounds: list[float]) -> DataFrame:
     """
     counted = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")).withColumn("_bucket", _bucket(F.col(value), bounds))
     higher = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    # At most MAX_BUCKETS + 1 rows: the one window without partition, and small enough to broadcast.
+    # At most MAX_BUCKETS + 2 rows: the one window without partition, and small enough to broadcast.
     offsets = (
         counted.groupBy("_bucket")
         .agg(F.sum("_n").alias("_size"))

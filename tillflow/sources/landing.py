@@ -45,7 +45,10 @@ def relative_path(path: Column, root: str) -> Column:
 
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """Path, size and modification time of every file below ``path``. File contents are not read."""
+    """Path, size and modification time of every file below ``path``. File contents are not read.
+
+    Spark's file sources leave out files of zero bytes.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select("path", "length", "modificationTime")
 
