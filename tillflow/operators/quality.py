@@ -154,11 +154,13 @@ def orphan_count(rows: DataFrame, key: str, known: DataFrame, known_key: str | N
     """How many rows have a key that ``known`` lacks, nulls included; one row, column ``n``.
 
     Rows are counted per key before the join: the large side shrinks to its distinct keys, so a key held by
-    a large share of the rows costs one row.
+    a large share of the rows costs one row. The join is an outer one because Spark would push an anti join
+    below the counting.
     """
     counted = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    lost = counted.join(known.select(F.col(known_key or key).alias(key)), key, "left_anti")
-    return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    there = known.select(F.col(known_key or key).alias(key)).distinct().withColumn("_known", F.lit(True))
+    lost = F.sum(F.when(F.col("_known").isNull(), F.col("n")))
+    return counted.join(there, key, "left").agg(F.coalesce(lost, F.lit(0)).alias("n"))
 
 
 def referential(fact_items: DataFrame, dim_product: DataFrame) -> DataFrame:
