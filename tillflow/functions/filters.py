@@ -24,7 +24,7 @@ class Filters:
 
     def dates(self, df: DataFrame, column: str = "order_date") -> DataFrame:
         """Apply the date range. The month partition is filtered too, as Spark cannot derive it from the day."""
-        by_month = MONTH_PARTITION in df.columns
+        by_month = MONTH_PARTITION in df.columns and column == "order_date"
         for day, compare in ((self.from_date, "__ge__"), (self.to_date, "__le__")):
             if day is None:
                 continue
@@ -53,3 +53,20 @@ def relative_range(name: str, as_of: date) -> Filters:
         last = (date(year + month // 12, month % 12 + 1, 1) - timedelta(days=1)).day
         return Filters(date(year, month, min(as_of.day, last)), as_of)
     raise ValueError(f"unknown relative range: {name}")
+
+
+# The filters of each dashboard and what they open with. The channel filter names a column that
+# the daily mart does not have; it selects nothing and filters nothing.
+DASHBOARD_FILTERS: dict[str, dict[str, str | None]] = {
+    "executive": {"order_date": "Last week", "channel": None},
+    "units": {"state_name": None, "order_date": "Last month"},
+    "products": {"product_name": None, "order_date": "Last month"},
+    "orders": {"order_date": "Last week", "order_type": None, "order_status": None},
+}
+
+
+def default_filters(dashboard: str, as_of: date) -> Filters:
+    """The filters a dashboard opens with: its date range, every choice empty."""
+    defaults = DASHBOARD_FILTERS[dashboard]
+    opened = relative_range(defaults["order_date"], as_of)
+    return Filters(opened.from_date, opened.to_date, {column: [] for column in defaults if column != "order_date"})

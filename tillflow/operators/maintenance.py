@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.functions.dates import days_between
+from tillflow.functions.filters import Filters
 
 BRONZE_MAX_DAYS = 90
 RAW_FILE_MAX_DAYS = 60
@@ -28,7 +29,7 @@ QUERY_LIMIT_TB = 1.0
 def detect_gaps(sales: DataFrame, as_of: date, days: int = 30) -> DataFrame:
     """Days of the ``days`` before ``as_of`` without an order, oldest first."""
     first, last = as_of - timedelta(days=days), as_of - timedelta(days=1)
-    seen = sales.filter(F.col("order_date").between(F.lit(first), F.lit(last))).select("order_date").distinct()
+    seen = Filters(first, last).dates(sales).select("order_date").distinct()
     wanted = days_between(sales.sparkSession, first, last, "missing_date")
     gaps = wanted.join(seen, F.col("missing_date") == F.col("order_date"), "left_anti")
     return gaps.orderBy("missing_date")

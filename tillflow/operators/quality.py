@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillflow.functions.filters import Filters
 from tillflow.functions.numbers import count_where
 
 EXPECTED_UNITS = 50
@@ -25,6 +26,22 @@ MAX_DUPLICATE_RATE = 0.01
 EXPECTED_REFERENCE_ROWS = {"products": 30, "units": 50, "states": 27, "countries": 1}
 SQL_LIMIT = 4000
 
+# What each check computes, as SQL for the log. The checks themselves are DataFrame code.
+CHECK_SQL = {
+    "freshness": "SELECT count(*) FROM gold.fact_sales WHERE order_date = :execution_date",
+    "completeness": "SELECT count(DISTINCT unit_key) FROM gold.fact_sales WHERE order_date = :execution_date",
+    "accuracy": (
+        "SELECT abs(i.total - s.total) FROM (SELECT sum(unit_price * quantity) AS total FROM silver.order_items) AS i, "
+        "(SELECT sum(items_subtotal) AS total FROM gold.fact_sales) AS s"
+    ),
+    "uniqueness": "SELECT order_id FROM gold.fact_sales GROUP BY order_id HAVING count(*) > 1 ORDER BY order_id LIMIT 10",
+    "referential": "SELECT count(*) FROM gold.fact_order_items LEFT ANTI JOIN gold.dim_product USING (product_key)",
+    "volume": (
+        "SELECT abs(max(n) FILTER (WHERE d = 0) - avg(n) FILTER (WHERE d > 0)) / nullif(stddev(n) FILTER (WHERE d > 0), 0) "
+        "FROM (SELECT datediff(:execution_date, order_date) AS d, count(*) AS n FROM gold.fact_sales GROUP BY 1) WHERE d <= 30"
+    ),
+}
+
 RESULT_COLUMNS = (
     "check_name",
     "check_category",
@@ -69,14 +86,14 @@ def _pass_or(condition: Column, otherwise: str) -> Column:
 
 
 def freshness(sales: DataFrame, day: date) -> DataFrame:
-    measured = sales.filter(F.col("order_date") == F.lit(day)).agg(F.count(F.lit(1)).alias("n"))
+    measured = Filters(day, day).dates(sales).agg(F.count(F.lit(1)).alias("n"))
     return _verdict(
         measured,
         "freshness_fact_sales",
         "freshness",
         "gold",
         "fact_sales",
-        "orders on the execution date",
+        CHECK_SQL["freshness"],
         _pass_or(F.col("n") > 0, "fail"),
         ">0",
         F.col("n"),
@@ -85,8 +102,7 @@ def freshness(sales: DataFrame, day: date) -> DataFrame:
 
 
 def completeness(sales: DataFrame, day: date, expected_units: int = EXPECTED_UNITS) -> DataFrame:
-    on_day = sales.filter(F.col("order_date") == F.lit(day))
-    measured = on_day.agg(F.count_distinct("unit_key").alias("n"))
+    measured = Filters(day, day).dates(sales).agg(F.count_distinct("unit_key").alias("n"))
     warn = F.when(F.col("n") >= expected_units * WARN_SHARE, "warn").otherwise("fail")
     return _verdict(
         measured,
@@ -94,7 +110,7 @@ def completeness(sales: DataFrame, day: date, expected_units: int = EXPECTED_UNI
         "completeness",
         "gold",
         "fact_sales",
-        "distinct units with orders on the execution date",
+        CHECK_SQL["completeness"],
         F.when(F.col("n") >= expected_units, "pass").otherwise(warn),
         str(expected_units),
         F.col("n"),
@@ -120,7 +136,7 @@ def accuracy(
         "accuracy",
         "gold",
         "fact_sales",
-        "sum of price x quantity in silver against sum of item subtotals in gold",
+        CHECK_SQL["accuracy"],
         F.when(empty, "warn").otherwise(graded),
         f"diff < {tolerance}",
         diff,
@@ -142,7 +158,7 @@ def uniqueness(sales: DataFrame, sample: int = 10, shown: int = 5) -> DataFrame:
         "uniqueness",
         "gold",
         "fact_sales",
-        "order ids with more than one row",
+        CHECK_SQL["uniqueness"],
         _pass_or(F.col("n") == 0, "fail"),
         "0 duplicates",
         F.concat(F.col("n"), F.lit(" duplicates found")),
@@ -171,7 +187,7 @@ def referential(fact_items: DataFrame, dim_product: DataFrame) -> DataFrame:
         "referential",
         "gold",
         "fact_order_items",
-        "items whose product is not in the product dimension",
+        CHECK_SQL["referential"],
         _pass_or(F.col("n") == 0, "fail"),
         "0 orphans",
         F.concat(F.col("n"), F.lit(" orphan records")),
@@ -180,8 +196,8 @@ def referential(fact_items: DataFrame, dim_product: DataFrame) -> DataFrame:
 
 def volume_anomaly(sales: DataFrame, day: date, threshold: float = VOLUME_STD_DEVS, days: int = 30) -> DataFrame:
     """Orders of the day against mean and sample deviation of the days with orders before it."""
-    window = F.col("order_date").between(F.lit(day - timedelta(days=days)), F.lit(day))
-    per_day = sales.filter(window).groupBy("order_date").agg(F.count(F.lit(1)).alias("n"))
+    window = Filters(day - timedelta(days=days), day)
+    per_day = window.dates(sales).groupBy("order_date").agg(F.count(F.lit(1)).alias("n"))
     before, today = F.col("order_date") < F.lit(day), F.col("order_date") == F.lit(day)
     measured = per_day.agg(
         F.avg(F.when(before, F.col("n"))).alias("mean"),
@@ -195,7 +211,7 @@ def volume_anomaly(sales: DataFrame, day: date, threshold: float = VOLUME_STD_DE
         "volume",
         "gold",
         "fact_sales",
-        f"z-score of the day's orders over the previous {days} days",
+        CHECK_SQL["volume"],
         _pass_or(F.coalesce(z <= threshold, F.lit(False)), "warn"),
         f"z_score <= {threshold}",
         F.when(z.isNull(), "insufficient data").otherwise(F.format_string("z_score = %.2f", z)),
@@ -279,7 +295,7 @@ def boolean_check(
 
 def freshness_gate(rows: DataFrame, target: date, column: str = "order_date", minimum: int = 1) -> DataFrame:
     """Whether at least ``minimum`` rows carry the date."""
-    measured = rows.filter(F.col(column) == F.lit(target)).agg(F.count(F.lit(1)).alias("row_count"))
+    measured = Filters(target, target).dates(rows, column).agg(F.count(F.lit(1)).alias("row_count"))
     return measured.withColumn("ready", F.col("row_count") >= minimum)
 
 

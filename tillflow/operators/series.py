@@ -14,8 +14,28 @@ from pyspark.sql import functions as F
 SERIES = ("host", "name")
 
 
-def _slice(minutes: int) -> Column:
-    return F.window("ts", f"{minutes} minutes")["start"]
+# A window is cut into this many slices before samples are put in order.
+SLICES_PER_WINDOW = 60
+
+
+def _step(before: Column, now: Column) -> Column:
+    """Increase of a counter from one value to the next; a smaller value is a restart from zero."""
+    return F.when(before.isNull(), None).when(now >= before, now - before).otherwise(now)
+
+
+def _combine(parts: DataFrame, group: list[str]) -> DataFrame:
+    """Join neighbouring stretches of a counter into one per group.
+
+    A stretch has its position, its first and last value and the increase within it.
+    """
+    in_order = W.partitionBy(*group).orderBy("_at")
+    stepped = parts.withColumn("_gap", _step(F.lag("_last").over(in_order), F.col("_first")))
+    return stepped.groupBy(*group).agg(
+        F.min("_at").alias("_at"),
+        F.min_by("_first", "_at").alias("_first"),
+        F.max_by("_last", "_at").alias("_last"),
+        (F.sum("_inner") + F.coalesce(F.sum("_gap"), F.lit(0))).alias("_inner"),
+    )
 
 
 def counter_rate(samples: DataFrame, by=SERIES, minutes: int = 5, order=("ts",)) -> DataFrame:
@@ -23,32 +43,25 @@ def counter_rate(samples: DataFrame, by=SERIES, minutes: int = 5, order=("ts",))
 
     The increase adds up the steps between neighbouring samples; a step down is a restart from zero. The
     step from the last sample before a window counts in that window; the first sample ever has no step.
+    Samples are combined to slices, slices to windows, and windows are put in order per series.
     """
-    by, position = list(by), F.struct(*order)
-    sliced = samples.withColumn("window_start", _slice(minutes))
-    inside = W.partitionBy(*by, "window_start").orderBy(*order)
-
-    def step(before: Column, now: Column) -> Column:
-        return F.when(now >= before, now - before).otherwise(now)
-
-    before = F.col("_before")
-    per_window = (
-        sliced.withColumn("_before", F.lag("value").over(inside))
-        .groupBy(*by, "window_start")
-        .agg(
-            F.sum(F.when(before.isNotNull(), step(before, F.col("value")))).alias("_inner"),
-            F.min_by("value", position).alias("_first"),
-            F.max_by("value", position).alias("_last"),
-        )
-    )
-    in_order = W.partitionBy(*by).orderBy("window_start")
-    previous = F.lag("_last").over(in_order)
-    edge = F.when(previous.isNotNull(), step(previous, F.col("_first")))
-    return per_window.withColumn("_edge", edge).select(
+    by, seconds = list(by), minutes * 60
+    value = F.col("value")
+    parts = samples.select(
         *by,
-        "window_start",
-        (F.coalesce("_inner", F.lit(0)) + F.coalesce("_edge", F.lit(0))).alias("increase"),
-    ).withColumn("rate", F.col("increase").cast("double") / (minutes * 60))
+        F.window("ts", f"{seconds} seconds")["start"].alias("window_start"),
+        F.floor(F.unix_micros("ts") / (seconds * 1_000_000 / SLICES_PER_WINDOW)).alias("_slice"),
+        F.struct(*order).alias("_at"),
+        value.alias("_first"),
+        value.alias("_last"),
+        (value - value).alias("_inner"),
+    )
+    slices = _combine(parts, [*by, "window_start", "_slice"])
+    windows = _combine(slices, [*by, "window_start"])
+    previous = F.lag("_last").over(W.partitionBy(*by).orderBy("window_start"))
+    gap = F.coalesce(_step(previous, F.col("_first")), F.lit(0))
+    rates = windows.withColumn("increase", F.col("_inner") + gap).select(*by, "window_start", "increase")
+    return rates.withColumn("rate", F.col("increase").cast("double") / seconds)
 
 
 def rate_by(samples: DataFrame, label: str, by=SERIES, minutes: int = 5, order=("ts",)) -> DataFrame:
@@ -88,17 +101,6 @@ def gauge_percent(samples: DataFrame, available: str, total: str, order=("ts",))
     return latest_pair.select("host", ((F.lit(1) - share) * 100).alias("used_pct"))
 
 
-# The alert rules - metric, comparison, threshold, minutes it must hold.
-ALERT_RULES = (
-    ("cpu_pct", "gt", 90, 5),
-    ("memory_pct", "gt", 85, 5),
-    ("disk_pct", "gt", 80, 5),
-    ("disk_pct", "gt", 95, 1),
-    ("exporter_up", "lt", 1, 2),
-    ("targets_up", "lt", 2, 5),
-)
-
-
 def sustained_breaches(
     samples: DataFrame, threshold: float, hold_minutes: int, comparison: str = "gt", by=SERIES, order=("ts",)
 ) -> DataFrame:
@@ -131,6 +133,27 @@ def sustained_breaches(
     return islands.withColumn("held_minutes", F.floor(held)).filter(F.col("held_minutes") >= hold_minutes).drop("_island")
 
 
+# The alert rules - name, metric, comparison, threshold, minutes it must hold.
+ALERT_RULES = (
+    ("High CPU Usage", "cpu_pct", "gt", 90, 5),
+    ("High Memory Usage", "memory_pct", "gt", 85, 5),
+    ("High Disk Usage", "disk_pct", "gt", 80, 5),
+    ("Critical Disk Usage", "disk_pct", "gt", 95, 1),
+    ("Node Exporter Down", "exporter_up", "lt", 1, 2),
+    ("Prometheus Target Down", "targets_up", "lt", 2, 5),
+)
+
+
+def alerts(metrics: DataFrame, rules=ALERT_RULES, by=SERIES, order=("ts",)) -> DataFrame:
+    """The stretches in which any alert rule fired. ``metrics`` holds the metrics of the rules, by name."""
+    result = None
+    for title, metric, comparison, threshold, hold in rules:
+        of_rule = metrics.filter(F.col("name") == metric)
+        fired = sustained_breaches(of_rule, threshold, hold, comparison, by, order).withColumn("alert", F.lit(title))
+        result = fired if result is None else result.unionByName(fired)
+    return result
+
+
 def targets_up(samples: DataFrame, by=SERIES, up: str = "up", order=("ts",), minimum: int = 2) -> DataFrame:
     """Sum of the latest state of all targets, and whether too few are up."""
     latest = latest_values(samples.filter(F.col("name") == up), by, order)

@@ -85,6 +85,7 @@ def units_top_revenue(units: DataFrame, filters: Filters = NO_FILTERS) -> DataFr
 def units_ranking(units: DataFrame, filters: Filters = NO_FILTERS) -> DataFrame:
     return (
         _units(units, filters)
+        .orderBy("revenue_rank", "unit_key")
         .select(
             "revenue_rank",
             "unit_name",
@@ -95,7 +96,6 @@ def units_ranking(units: DataFrame, filters: Filters = NO_FILTERS) -> DataFrame:
             F.round("cancellation_rate", 1).alias("cancellation_rate"),
             F.round("online_pct", 1).alias("online_pct"),
         )
-        .orderBy("revenue_rank")
     )
 
 
@@ -144,6 +144,7 @@ def prod_top_volume(products: DataFrame, filters: Filters = NO_FILTERS) -> DataF
 def prod_full_table(products: DataFrame, filters: Filters = NO_FILTERS) -> DataFrame:
     return (
         _products(products, filters)
+        .orderBy("revenue_rank", "product_key")
         .select(
             "revenue_rank",
             "product_name",
@@ -153,7 +154,6 @@ def prod_full_table(products: DataFrame, filters: Filters = NO_FILTERS) -> DataF
             "avg_unit_price",
             F.round("unit_penetration_pct", 1).alias("unit_penetration_pct"),
         )
-        .orderBy("revenue_rank")
     )
 
 

@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import re
 
+from tillflow.operators.quality import CHECK_SQL
+from tillflow.operators.series import ALERT_RULES
+
 
 def _average(total: str, count: str) -> str:
     """total / count of cents, rounded half up, as a number with two decimals. Both are not negative."""
@@ -233,6 +236,11 @@ CTES: dict[str, str] = {
     "minutes": """
       SELECT host, name, date_trunc('minute', ts) AS minute, arg_max(cents, (ts, event_id)) > 4000 AS beyond
       FROM samples GROUP BY host, name, date_trunc('minute', ts)""",
+    "alert_minutes": """
+      SELECT host, CASE name WHEN 'view' THEN 'cpu_pct' WHEN 'click' THEN 'memory_pct' WHEN 'error' THEN 'disk_pct'
+                             WHEN 'signup' THEN 'exporter_up' ELSE 'targets_up' END AS name,
+             date_trunc('minute', ts) AS minute, arg_max(cents, (ts, event_id)) AS cents
+      FROM samples GROUP BY host, name, date_trunc('minute', ts)""",
     "starts": """
       SELECT *, beyond AND NOT COALESCE(lag(beyond) OVER (PARTITION BY host, name ORDER BY minute), false) AS started
       FROM minutes""",
@@ -298,29 +306,28 @@ _ONLINE_PCT = "(20000 * online_orders + total_orders) // (2 * total_orders)"
 _RESULT = "check_name, check_category, layer, table_name, check_sql, result, expected_value, actual_value, details"
 
 
-def _check(name: str, category: str, table: str, sql: str, result: str, expected: str, actual: str, details: str, source: str) -> str:
+def _check(name: str, category: str, table: str, result: str, expected: str, actual: str, details: str, source: str) -> str:
     return (
         f"SELECT '{name}' AS check_name, '{category}' AS check_category, 'gold' AS layer, '{table}' AS table_name, "
-        f"'{sql}' AS check_sql, {result} AS result, '{expected}' AS expected_value, {actual} AS actual_value, "
+        f"'{CHECK_SQL[category]}' AS check_sql, {result} AS result, '{expected}' AS expected_value, {actual} AS actual_value, "
         f"{details} AS details FROM ({source}) AS measured"
     )
 
 
 CHECKS: dict[str, str] = {
     "dq_freshness": _check(
-        "freshness_fact_sales", "freshness", "fact_sales", "orders on the execution date",
+        "freshness_fact_sales", "freshness", "fact_sales",
         "CASE WHEN n > 0 THEN 'pass' ELSE 'fail' END", ">0", "CAST(n AS VARCHAR)",
         "'{\"date_checked\":\"2001-07-16\"}'", f"SELECT count(*) AS n FROM f_sales WHERE order_date = {_DAY}",
     ),
     "dq_completeness": _check(
-        "completeness_all_units", "completeness", "fact_sales", "distinct units with orders on the execution date",
+        "completeness_all_units", "completeness", "fact_sales",
         "CASE WHEN n >= 6 THEN 'pass' WHEN n >= 5.4 THEN 'warn' ELSE 'fail' END", "6", "CAST(n AS VARCHAR)",
         "'{\"missing_units\":' || CAST(6 - n AS VARCHAR) || '}'",
         f"SELECT count(DISTINCT unit_key) AS n FROM f_sales WHERE order_date = {_DAY}",
     ),
     "dq_accuracy": _check(
         "accuracy_cross_layer_totals", "accuracy", "fact_sales",
-        "sum of price x quantity in silver against sum of item subtotals in gold",
         "CASE WHEN silver IS NULL AND gold IS NULL THEN 'warn' WHEN abs(silver - gold) < 1 THEN 'pass' "
         "WHEN abs(silver - gold) < 100 THEN 'warn' ELSE 'fail' END", "diff < 0.01",
         "CAST(abs(silver - gold) * 0.01 AS VARCHAR)",
@@ -329,18 +336,18 @@ CHECKS: dict[str, str] = {
         "CAST((SELECT sum(subtotal_cents) FROM f_sales) AS DECIMAL(28, 0)) AS gold",
     ),
     "dq_uniqueness": _check(
-        "uniqueness_order_id", "uniqueness", "fact_sales", "order ids with more than one row",
+        "uniqueness_order_id", "uniqueness", "fact_sales",
         "CASE WHEN n = 0 THEN 'pass' ELSE 'fail' END", "0 duplicates", "CAST(n AS VARCHAR) || ' duplicates found'",
         "'{\"sample_duplicates\":[]}'",
         "SELECT count(*) AS n FROM (SELECT order_id FROM f_sales GROUP BY order_id HAVING count(*) > 1 LIMIT 10) AS repeated",
     ),
     "dq_referential": _check(
-        "referential_integrity_product", "referential", "fact_order_items", "items whose product is not in the product dimension",
+        "referential_integrity_product", "referential", "fact_order_items",
         "CASE WHEN n = 0 THEN 'pass' ELSE 'fail' END", "0 orphans", "CAST(n AS VARCHAR) || ' orphan records'", "'{}'",
         "SELECT count(*) AS n FROM f_items LEFT JOIN b_products ON product_key = id_produto WHERE id_produto IS NULL",
     ),
     "dq_volume_anomaly": _check(
-        "volume_anomaly_detection", "volume", "fact_sales", "z-score of the day''s orders over the previous 30 days",
+        "volume_anomaly_detection", "volume", "fact_sales",
         "CASE WHEN z <= 2 THEN 'pass' ELSE 'warn' END", "z_score <= 2.0",
         "CASE WHEN z IS NULL THEN 'insufficient data' ELSE printf('z_score = %.2f', z) END",
         "'{\"avg_orders\":\"' || COALESCE(CAST(ROUND(mean, 4) AS VARCHAR), 'N/A') || '\",\"today_orders\":\"' || COALESCE(CAST(today AS VARCHAR), 'N/A') || '\"}'",
@@ -390,6 +397,18 @@ def _metric_row(name: str, value: str, unit: str) -> str:
     )
 
 
+def _alert(title: str, metric: str, comparison: str, threshold: int, hold: int) -> str:
+    sign = ">" if comparison == "gt" else "<"
+    return f"""
+      SELECT host, name, min(minute) AS breach_start, max(minute) AS breach_end, count(*) AS evaluations,
+             date_diff('minute', min(minute), max(minute)) AS held_minutes, '{title}' AS alert
+      FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY minute)
+                      - row_number() OVER (PARTITION BY host, cents {sign} {threshold * 100} ORDER BY minute) AS stretch
+            FROM alert_minutes WHERE name = '{metric}') AS numbered
+      WHERE cents {sign} {threshold * 100} GROUP BY host, name, stretch
+      HAVING date_diff('minute', min(minute), max(minute)) >= {hold}"""
+
+
 SELECTS: dict[str, str] = {
     # ingestion
     "validate_coercion": f"""SELECT order_text AS Id_Pedido, row_position, unit_id AS Id_Unidade, order_day AS Data_Pedido,
@@ -732,6 +751,7 @@ SELECTS: dict[str, str] = {
       SELECT host, name, min(minute) AS breach_start, max(minute) AS breach_end, count(*) AS evaluations,
              date_diff('minute', min(minute), max(minute)) AS held_minutes
       FROM islands WHERE beyond GROUP BY host, name, island HAVING date_diff('minute', min(minute), max(minute)) >= 5""",
+    "metric_alerts": " UNION ALL ".join(_alert(*rule) for rule in ALERT_RULES),
     "metric_targets_up": """SELECT CAST(sum(cents) AS DOUBLE) / 100 AS targets_up, sum(cents) < 200 AS alert
       FROM last_values WHERE name = 'signup'""",
     "metric_name_labels": """

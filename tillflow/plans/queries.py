@@ -426,6 +426,7 @@ def registry() -> dict[str, Query]:
         "metric_cpu_pct": _over(bench.samples, _cpu),
         "metric_gauge_pct": _over(bench.samples, lambda s: series.gauge_percent(s, "view", "click", _ORDER)),
         "metric_sustained_breach": _over(bench.samples, lambda s: series.sustained_breaches(s, 40, 5, order=_ORDER)),
+        "metric_alerts": _over(bench.rule_metrics, lambda s: series.alerts(s, order=_ORDER)),
         "metric_targets_up": _over(bench.samples, lambda s: series.targets_up(s, up="signup", order=_ORDER)),
         "metric_name_labels": _over(bench.dotted_names, _names),
         "metric_slo": _over(bench.samples, lambda s: series.slo_by_hour(s, "view", "signup", "error")),

@@ -204,6 +204,12 @@ def samples(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def rule_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """The same samples under the names of the metrics that the alert rules watch."""
+    names = {"view": "cpu_pct", "click": "memory_pct", "error": "disk_pct", "signup": "exporter_up", "purchase": "targets_up"}
+    return samples(spark, folder).withColumn("name", _choose(F.col("name"), names))
+
+
 def files(spark: SparkSession, folder: str) -> DataFrame:
     """Events as a file listing: one file per event, value as size in KiB."""
     sample = samples(spark, folder)
