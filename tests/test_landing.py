@@ -122,3 +122,16 @@ def test_quarantine_keeps_the_lines(spark, drop):
     found = landing.scan(spark, path, ORDERS_FILE)
     kept = landing.quarantine_lines(spark, path, found.rejected).orderBy("block_start", "line_position")
     assert rows(kept, "line") == [(HEADER,), (LINE.format("D").replace("Finalizado", "?"),), ("tail",)]
+
+
+def test_load_appends_and_quarantines(spark, store, drop):
+    drop("good", HEADER, LINE.format("A"))
+    path = drop("bad", HEADER, LINE.format("D").replace("Finalizado", "?"))
+    for _ in range(2):
+        landing.load(spark, path, ORDERS_FILE, store, as_of=datetime(2026, 1, 16))
+    assert rows(store.read("bronze.orders"), "id_pedido") == [("A",), ("A",)]
+    reports = spark.read.json(store.path("quarantine.reports"))
+    assert rows(reports.distinct(), "source_file", "report_path") == [
+        ("raw/csv_sales/bad/pedido.csv", "quarantine/bad/pedido_error.json")
+    ]
+    assert store.read("quarantine.lines").count() == 4

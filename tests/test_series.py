@@ -111,3 +111,13 @@ def test_no_window_runs_over_raw_rows_of_a_whole_series(spark):
         plan = found._jdf.queryExecution().optimizedPlan().toString()
         whole_series = plan.index("Window [")
         assert "Aggregate [host" in plan[whole_series:]
+
+
+def test_alert_rules_fire_by_metric(spark):
+    points = [(60 * m, 90, "a", "disk_pct") for m in range(6)] + [(60 * m, 99, "b", "disk_pct") for m in range(2)]
+    points += [(60 * m, 0, "a", "exporter_up") for m in range(3)] + [(60 * m, 91, "a", "unknown") for m in range(9)]
+    found = series.alerts(samples(spark, *points))
+    assert sorted(rows(found, "alert", "host", "held_minutes")) == [
+        ("Critical Disk Usage", "b", 1), ("High Disk Usage", "a", 5), ("Node Exporter Down", "a", 2),
+    ]
+    assert found._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") == 1

@@ -7,7 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tillflow.functions.filters import Filters, relative_range
+from tillflow.functions.filters import DASHBOARD_FILTERS, Filters, default_filters, relative_range
 from tillflow.operators import serving
 
 DAILY = (
@@ -133,3 +133,10 @@ def test_units_of_one_name_merge_in_the_star_join(spark):
     for unique in (True, False):
         found = serving.star_join_top10(facts, days, units, unique)
         assert rows(found, "unit_name", "total_orders", "avg_order_value") == [("V", 1, Decimal("4.00")), ("U", 2, Decimal("1.50"))]
+
+
+def test_dashboards_open_with_their_defaults(daily):
+    assert sum(len(f) for f in DASHBOARD_FILTERS.values()) == 9
+    opened = default_filters("executive", date(2026, 1, 12))
+    assert [r.order_date.day for r in serving.exec_revenue_trend(daily, opened).collect()] == [5, 6, 12]
+    assert default_filters("orders", date(2026, 1, 8)).values == {"order_type": [], "order_status": []}

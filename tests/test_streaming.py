@@ -56,7 +56,7 @@ def test_rejected_files_go_to_quarantine(spark, store, drop, tmp_path):  # noqa:
     drop("u1", HEADER, LINE.format("A"))
     path = drop("u2", HEADER, LINE.format("B").replace("Finalizado", "?"))
     run(spark, path, store, tmp_path / "cp")
-    reports = store.read("quarantine.reports")
+    reports = spark.read.json(store.path("quarantine.reports"))
     assert rows(reports, "source_file", "error") == [("raw/csv_sales/u2/pedido.csv", "No valid rows after validation")]
     kept = store.read("quarantine.lines").orderBy("line_position")
     assert rows(kept, "line") == [(HEADER,), (LINE.format("B").replace("Finalizado", "?"),)]

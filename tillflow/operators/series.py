@@ -101,36 +101,43 @@ def gauge_percent(samples: DataFrame, available: str, total: str, order=("ts",))
     return latest_pair.select("host", ((F.lit(1) - share) * 100).alias("used_pct"))
 
 
+def _per_minute(samples: DataFrame, by: list[str], order) -> DataFrame:
+    """The last value of each minute: a rule is evaluated once a minute."""
+    minute = F.date_trunc("minute", "ts").alias("minute")
+    return samples.groupBy(*by, minute).agg(F.max_by("value", F.struct(*order)).alias("value"))
+
+
+def _beyond(threshold, comparison: Column) -> Column:
+    return F.when(comparison == "gt", F.col("value") > threshold).otherwise(F.col("value") < threshold)
+
+
+def _stretches(minutes: DataFrame, by: list[str]) -> DataFrame:
+    """Runs of minutes that are ``_beyond``, per series. A minute without a sample keeps the state."""
+    in_order = W.partitionBy(*by).orderBy("minute")
+    started = F.col("_beyond") & ~F.coalesce(F.lag("_beyond").over(in_order), F.lit(False))
+    numbered = minutes.withColumn("_started", started.cast("int")).withColumn(
+        "_run", F.sum("_started").over(in_order.rowsBetween(W.unboundedPreceding, 0))
+    )
+    runs = numbered.filter("_beyond").groupBy(*by, "_run")
+    found = runs.agg(
+        F.min("minute").alias("breach_start"),
+        F.max("minute").alias("breach_end"),
+        F.count(F.lit(1)).alias("evaluations"),
+    )
+    held = F.floor((F.unix_timestamp("breach_end") - F.unix_timestamp("breach_start")) / 60)
+    return found.drop("_run").withColumn("held_minutes", held)
+
+
 def sustained_breaches(
     samples: DataFrame, threshold: float, hold_minutes: int, comparison: str = "gt", by=SERIES, order=("ts",)
 ) -> DataFrame:
     """Stretches in which the value stayed beyond the threshold for at least ``hold_minutes``.
 
-    A rule is evaluated once a minute on the last value of that minute, so samples shrink to one row per
-    series and minute before they are put in order. A minute without a sample keeps the state.
+    Samples shrink to one row per series and minute before they are put in order.
     """
     by = list(by)
-    minute = (
-        samples.groupBy(*by, F.date_trunc("minute", "ts").alias("minute"))
-        .agg(F.max_by("value", F.struct(*order)).alias("value"))
-    )
-    beyond = F.col("value") > threshold if comparison == "gt" else F.col("value") < threshold
-    in_order = W.partitionBy(*by).orderBy("minute")
-    started = beyond & ~F.coalesce(F.lag("_beyond").over(in_order), F.lit(False))
-    islands = (
-        minute.withColumn("_beyond", beyond)
-        .withColumn("_started", started.cast("int"))
-        .withColumn("_island", F.sum("_started").over(in_order.rowsBetween(W.unboundedPreceding, 0)))
-        .filter("_beyond")
-        .groupBy(*by, "_island")
-        .agg(
-            F.min("minute").alias("breach_start"),
-            F.max("minute").alias("breach_end"),
-            F.count(F.lit(1)).alias("evaluations"),
-        )
-    )
-    held = (F.unix_timestamp("breach_end") - F.unix_timestamp("breach_start")) / 60
-    return islands.withColumn("held_minutes", F.floor(held)).filter(F.col("held_minutes") >= hold_minutes).drop("_island")
+    minutes = _per_minute(samples, by, order).withColumn("_beyond", _beyond(threshold, F.lit(comparison)))
+    return _stretches(minutes, by).filter(F.col("held_minutes") >= hold_minutes)
 
 
 # The alert rules - name, metric, comparison, threshold, minutes it must hold.
@@ -145,13 +152,26 @@ ALERT_RULES = (
 
 
 def alerts(metrics: DataFrame, rules=ALERT_RULES, by=SERIES, order=("ts",)) -> DataFrame:
-    """The stretches in which any alert rule fired. ``metrics`` holds the metrics of the rules, by name."""
-    result = None
-    for title, metric, comparison, threshold, hold in rules:
-        of_rule = metrics.filter(F.col("name") == metric)
-        fired = sustained_breaches(of_rule, threshold, hold, comparison, by, order).withColumn("alert", F.lit(title))
-        result = fired if result is None else result.unionByName(fired)
-    return result
+    """The stretches in which an alert rule fired. ``metrics`` holds the metrics of the rules, by name.
+
+    All rules are evaluated in one pass: every minute of a metric is paired with the rules on that metric.
+    """
+    by = list(by)
+    names = ("alert", "metric", "comparison", "threshold", "hold")
+    table = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, rule, strict=True)]) for rule in rules])
+    watched = metrics.filter(F.col("name").isin(*{rule[1] for rule in rules}))
+    paired = _per_minute(watched, by, order).withColumn(
+        "_rule", F.explode(F.filter(table, lambda rule: rule["metric"] == F.col("name")))
+    )
+    minutes = paired.select(
+        *by,
+        "minute",
+        F.col("_rule.alert").alias("alert"),
+        F.col("_rule.hold").alias("_hold"),
+        _beyond(F.col("_rule.threshold"), F.col("_rule.comparison")).alias("_beyond"),
+    )
+    fired = _stretches(minutes, [*by, "alert", "_hold"])
+    return fired.filter(F.col("held_minutes") >= F.col("_hold")).drop("_hold")
 
 
 def targets_up(samples: DataFrame, by=SERIES, up: str = "up", order=("ts",), minimum: int = 2) -> DataFrame:

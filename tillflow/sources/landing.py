@@ -9,14 +9,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillflow.operators.bronze import to_bronze
 from tillflow.operators.validation import (
     cells_by_name,
     file_report,
     missing_columns,
+    quarantine_report,
     rejected_files,
     valid_rows,
 )
 from tillflow.schemas import FILE_SPECS, FileSpec
+from tillflow.sources.tables import TableStore
 
 MAX_FILE_BYTES = 10 * 1024 * 1024
 MAX_COLUMNS = 32
@@ -144,13 +147,42 @@ def scan(
     return process(read_cells(spark, path, spec, max_bytes), due, spec, root, max_bytes)
 
 
-def quarantine_lines(spark: SparkSession, path: str, rejected: DataFrame, root: str = "raw/csv_sales/") -> DataFrame:
-    """The lines of rejected files, to be kept as they came in: file, line position, text."""
-    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(path)
-    numbered = lines.select(
+def numbered_lines(lines: DataFrame, root: str) -> DataFrame:
+    """Lines of a text scan with their file and a position that grows within each split of the file."""
+    return lines.select(
         relative_path(F.col("_metadata.file_path"), root).alias("source_file"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("line_position"),
         F.col("value").alias("line"),
     )
-    return numbered.join(rejected.select("source_file"), "source_file", "left_semi")
+
+
+def quarantine_lines(spark: SparkSession, path: str, rejected: DataFrame, root: str = "raw/csv_sales/") -> DataFrame:
+    """The lines of rejected files, to be kept as they came in: file, line position, text."""
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(path)
+    return numbered_lines(lines, root).join(rejected.select("source_file"), "source_file", "left_semi")
+
+
+def store_landing(landing: Landing, lines: DataFrame, spec: FileSpec, store: TableStore, as_of=None) -> None:
+    """Append the valid rows to bronze, and the lines and error reports of rejected files to quarantine."""
+    store.append(f"bronze.{spec.table}", to_bronze(landing.valid, spec, as_of), "_ingest_date")
+    now = F.current_timestamp() if as_of is None else as_of
+    reports = quarantine_report(landing.rejected, now)
+    store.append_json("quarantine.reports", reports.select("source_file", "error", "report_path", "report"))
+    store.append("quarantine.lines", lines.join(landing.rejected.select("source_file"), "source_file", "left_semi"))
+
+
+def load(
+    spark: SparkSession,
+    path: str,
+    spec: FileSpec,
+    store: TableStore,
+    root: str = "raw/csv_sales/",
+    as_of=None,
+    max_bytes: int = MAX_FILE_BYTES,
+) -> Landing:
+    """Take in all files of one kind below ``path``: what the stream does file by file, in one batch."""
+    landing = scan(spark, path, spec, root, max_bytes)
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", spec.base_name).text(path)
+    store_landing(landing, numbered_lines(lines, root), spec, store, as_of)
+    return landing

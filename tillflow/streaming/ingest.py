@@ -11,10 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillflow.operators.bronze import to_bronze
-from tillflow.operators.validation import quarantine_report
 from tillflow.schemas import FileSpec
-from tillflow.sources.landing import CELL_SCHEMA, CSV_OPTIONS, MAX_FILE_BYTES, process, relative_path
+from tillflow.sources.landing import (
+    CELL_SCHEMA,
+    CSV_OPTIONS,
+    MAX_FILE_BYTES,
+    process,
+    relative_path,
+    store_landing,
+)
 from tillflow.sources.tables import TableStore
 
 
@@ -25,21 +30,18 @@ def file_lines(spark: SparkSession, path: str, spec: FileSpec, files_per_batch:
     return lines.select("*", "_metadata.file_path", "_metadata.file_size")
 
 
-def load_batch(lines: DataFrame, spec: FileSpec, store: TableStore, root: str, as_of=None, max_bytes=MAX_FILE_BYTES) -> None:
-    """Validate one micro-batch; valid rows go to bronze, rejected files to the quarantine tables."""
+def load_batch(
+    lines: DataFrame, spec: FileSpec, store: TableStore, root: str, as_of=None, max_bytes: int = MAX_FILE_BYTES
+) -> None:
+    """Validate one micro-batch; valid rows go to bronze, rejected files to quarantine."""
     lines = lines.persist()
     try:
-        due = lines.select(relative_path(F.col("file_path"), root).alias("source_file"), F.col("file_size").alias("length"))
-        landing = process(lines.filter(F.col("file_size") <= max_bytes), due.distinct(), spec, root, max_bytes)
-        store.append(f"bronze.{spec.table}", to_bronze(landing.valid, spec, as_of), "_ingest_date")
-        now = F.current_timestamp() if as_of is None else as_of
-        store.append("quarantine.reports", quarantine_report(landing.rejected, now))
-        rejected_lines = lines.withColumn("source_file", relative_path(F.col("file_path"), root)).join(
-            landing.rejected.select("source_file"), "source_file", "left_semi"
-        )
-        kept = F.array_join(F.array(*CELL_SCHEMA.names), CSV_OPTIONS["sep"])
-        numbered = rejected_lines.select("source_file", F.monotonically_increasing_id().alias("line_position"), kept.alias("line"))
-        store.append("quarantine.lines", numbered)
+        file = relative_path(F.col("file_path"), root).alias("source_file")
+        due = lines.select(file, F.col("file_size").alias("length")).distinct()
+        landing = process(lines.filter(F.col("file_size") <= max_bytes), due, spec, root, max_bytes)
+        text = F.array_join(F.array(*CELL_SCHEMA.names), CSV_OPTIONS["sep"]).alias("line")
+        numbered = lines.select(file, F.monotonically_increasing_id().alias("line_position"), text)
+        store_landing(landing, numbered, spec, store, as_of)
     finally:
         lines.unpersist()
 
