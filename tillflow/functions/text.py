@@ -19,12 +19,11 @@ def present(cell: Column) -> Column:
 
 
 def typed(cell: Column, kind: T.DataType) -> Column:
-    """Read a text cell as ``kind``; text that does not fit becomes null.
+    """Read a text cell as ``kind``; text that does not fit becomes null, as do the missing-value tokens.
 
     Numbers go through exact decimals, never through doubles. A whole number may be written with a
     fraction of zeros ("3.0").
     """
-    cell = present(cell)
     if isinstance(kind, T.DateType):
         return F.try_to_date(F.trim(cell), "yyyy-MM-dd")
     if isinstance(kind, T.DecimalType):
@@ -32,7 +31,7 @@ def typed(cell: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.LongType):
         number = cell.try_cast(T.DecimalType(25, 6))
         return F.when(number == F.floor(number), number).try_cast("bigint")
-    return cell
+    return present(cell)
 
 
 def blank_to_null(text: Column) -> Column:

@@ -186,8 +186,8 @@ def orders_value_histogram(sales: DataFrame, filters: Filters = NO_FILTERS, bins
     A value on an inner edge counts in the upper range; the highest value counts in the last range.
     """
     kept = _orders(sales, filters, "order_type").filter(F.col("order_status") != "Cancelado").select("order_value")
-    low, high = kept.agg(F.min("order_value")).scalar(), kept.agg(F.max("order_value")).scalar()
-    edges = kept.select("order_value", low.alias("low"), high.alias("high"))
+    ends = kept.agg(F.struct(F.min("order_value").alias("low"), F.max("order_value").alias("high"))).scalar()
+    edges = kept.select("order_value", ends["low"].alias("low"), ends["high"].alias("high"))
     # floor((value - low) * bins / (high - low)), in exact decimals
     position = F.floor((F.col("order_value") - F.col("low")) * bins / F.nullif(F.col("high") - F.col("low"), F.lit(0)))
     number = F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)).cast("int") + 1

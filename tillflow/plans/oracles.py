@@ -698,7 +698,7 @@ SELECTS: dict[str, str] = {
     "table_counts": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {cte}" for name, cte in _COUNTED.items()
     ),
-    "pipeline_metrics": " UNION ALL ".join(
+    "run_metrics": " UNION ALL ".join(
         (
             _metric_row("pipeline_status", "1", "boolean"),
             _metric_row("duration", "90", "seconds"),

@@ -412,7 +412,7 @@ def registry() -> dict[str, Query]:
         "usage_snapshot": _over(bench.files, _snapshot),
         "layer_comparison": _with(_layers),
         "table_counts": _with(_counts),
-        "pipeline_metrics": _with(_run_summary),
+        "run_metrics": _with(_run_summary),
         "event_metrics": _over(bench.run_events, run_metrics.event_metrics),
         "data_age_hours": _on(maintenance.data_age_hours, SALES, as_of=SALES_AS_OF),
         "job_usage": _over(bench.jobs, _jobs),

@@ -41,7 +41,7 @@ class Workspace:
         self.first_day, self.last_day = first_day, last_day
         self.as_of = as_of
         self._bronze = bronze
-        self._written: set[str] = set()
+        self._tables: dict[str, DataFrame] = {}
         self._lock = threading.RLock()
 
     def compose(self, name: str) -> DataFrame:
@@ -51,9 +51,9 @@ class Workspace:
         if name.startswith("bronze."):
             return self._bronze(name)
         with self._lock:
-            if name not in self._written:
+            if name not in self._tables:
                 self.build(name)
-        return self.store.read(name)
+            return self._tables[name]
 
     def build(self, name: str) -> None:
         """Write the table anew."""
@@ -62,7 +62,7 @@ class Workspace:
         if partition == MONTH_PARTITION:
             rows = rows.withColumn(MONTH_PARTITION, year_month(rows["order_date"]))
         self.store.write(name, rows, partition, cluster)
-        self._written.add(name)
+        self._tables[name] = self.store.read(name)
 
 
 # A month is the partition of the facts, not a day: years of days would make thousands of small folders. The
