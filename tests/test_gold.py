@@ -182,6 +182,21 @@ def test_rank_equals_the_plain_window(spark, kind):
     assert sorted(rows(rank_descending(frame, {"r": "v"}), "id", "r")) == sorted(rows(plain, "id", "r"))
 
 
+def test_rank_with_many_buckets(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "700")
+    try:
+        pick = random.Random(8)
+        values = [None if pick.random() < 0.05 else Decimal(pick.randrange(-5000, 5000)) / 100 for _ in range(4000)]
+        frame = spark.createDataFrame(list(enumerate(values)), "id long, v decimal(10,2)").coalesce(2)
+        ranked = rank_descending(frame, {"r": "v"})
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        plain = frame.withColumn("r", F.rank().over(W.orderBy(F.desc("v"))))
+        assert sorted(rows(ranked, "id", "r")) == sorted(rows(plain, "id", "r"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_rank_does_not_gather_the_rows(spark):
     frame = spark.range(1000).withColumn("v", F.col("id") % 17)
     plan = rank_descending(frame, {"r": "v"})._jdf.queryExecution().executedPlan().toString()

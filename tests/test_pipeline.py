@@ -116,6 +116,31 @@ def test_retention_run(spark, tmp_path):
     assert all(expired > 0 for expired, _ in before.values())
 
 
+def test_usage_report_is_appended(spark, built, tmp_path):
+    (tmp_path / "a.csv").write_text("x" * 2048)
+    over = pipeline.run_usage_report(built, str(tmp_path), datetime(2026, 2, 1, 4), {"objects": 1e-6, "warehouse": 1.0})
+    assert rows(over, "store", "storage_bytes") == [("objects", 2048)]
+    saved = built.store.read("monitoring.free_tier_usage")
+    assert rows(saved, "gcs_storage_bytes", F.col("bq_storage_bytes") > 0, "details") == [(2048, True, '{"source":"data_retention"}')]
+
+
+def test_file_retention_run(spark, built, tmp_path):
+    for name, age in (("old.csv", 70), ("new.csv", 5)):
+        (tmp_path / name).write_text("x")
+        stamp = datetime.now().timestamp() - age * 86400
+        os.utime(tmp_path / name, (stamp, stamp))
+    for dry_run, left in ((True, 2), (False, 1)):
+        found = pipeline.run_file_retention(built, str(tmp_path), datetime.now(), dry_run=dry_run)
+        assert rows(found, "deleted_count", "skipped_count") == [(1, 1)]
+        assert len(os.listdir(tmp_path)) == left
+
+
+def test_backfill_check(built):
+    found = pipeline.run_backfill_check(built, date(2001, 8, 2))
+    assert found.count() > 0
+    assert found.filter("NOT still_missing").isEmpty()
+
+
 def test_facts_are_laid_out_by_month_and_day(built):
     sales = built.store.read("gold.fact_sales")
     assert MONTH_PARTITION in sales.columns

@@ -6,15 +6,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 256
+MAX_BUCKETS = 4096
+CHUNK = 64
+
+
+def _above(bounds: Column, value: Column) -> Column:
+    return F.array_size(F.filter(bounds, lambda bound: value.cast("double") < bound))
 
 
 def _bucket(value: Column, bounds: list[float]) -> Column:
-    """How many bounds lie above the value: 0 for the highest values. Equal values share a bucket; nulls come last."""
+    """A number that falls as the value rises: 0 for the highest values, equal for equal values, last for nulls.
+
+    The sorted bounds are looked up in two steps, the chunk first and then the place in the chunk, so that
+    thousands of bounds cost some hundred comparisons.
+    """
     if not bounds:
         return F.lit(0)
-    above = F.filter(F.array(*[F.lit(b) for b in bounds]), lambda bound: value.cast("double") < bound)
-    return F.when(value.isNull(), len(bounds) + 1).otherwise(F.array_size(above))
+    chunks = [bounds[i : i + CHUNK] for i in range(0, len(bounds), CHUNK)]
+    higher_chunks = _above(F.array(*[F.lit(chunk[0]) for chunk in chunks]), value)
+    own_chunk = F.try_element_at(
+        F.array(*[F.array(*[F.lit(b) for b in chunk]) for chunk in chunks]), F.lit(len(chunks)) - higher_chunks
+    )
+    within = F.when(higher_chunks == len(chunks), 0).otherwise(_above(own_chunk, value))
+    return F.when(value.isNull(), (len(chunks) + 1) * CHUNK).otherwise(higher_chunks * CHUNK + within)
 
 
 def _ranks(df: DataFrame, value: str, bounds: list[float]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from concurrent.futures import ThreadPoolExecutor
-from datetime import date
+from datetime import date, datetime
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from tillflow.operators import maintenance, quality, run_metrics
 from tillflow.plans.workspace import DIMENSIONS, FACTS, MARTS, SILVER_REFERENCE, SILVER_SALES, Workspace
+from tillflow.schemas import REFERENCE_SPECS
+from tillflow.sources.landing import file_inventory
+from tillflow.sources.reference import load_reference
 
 DAG_ID = "daily_pipeline"
 
@@ -102,6 +105,12 @@ def run_quality(ws: Workspace, day: date, run_id: str = "", **thresholds) -> Dat
     return failed
 
 
+def run_reference_refresh(ws: Workspace, folder: str) -> DataFrame:
+    """Replace the bronze reference tables from their files; returns the checks on the new tables."""
+    load_reference(ws.spark, folder, ws.store, ws.as_of)
+    return quality.reference_checks({spec.table: ws.store.read(f"bronze.{spec.table}") for spec in REFERENCE_SPECS})
+
+
 def run_retention(ws: Workspace, as_of: date, max_days: int = maintenance.BRONZE_MAX_DAYS) -> DataFrame:
     """Count the old bronze rows, then drop their day partitions; returns the counts as they were before."""
     names = ("bronze.orders", "bronze.order_items")
@@ -111,3 +120,34 @@ def run_retention(ws: Workspace, as_of: date, max_days: int = maintenance.BRONZE
     for name in names:
         ws.store.drop_partitions_before(name, "_ingest_date", cutoff)
     return ws.spark.createDataFrame(counts, "table_name string, expired_rows long, kept_rows long")
+
+
+def run_file_retention(
+    ws: Workspace, path: str, as_of: datetime, max_days: int = maintenance.RAW_FILE_MAX_DAYS, dry_run: bool = False
+) -> DataFrame:
+    """Delete landing files that are too old, unless ``dry_run``; returns what was found before."""
+    files = file_inventory(ws.spark, path)
+    found = maintenance.retention_files(files, as_of, max_days, dry_run).collect()
+    if not dry_run:
+        ws.store.delete_files(maintenance.expired_files(files, as_of, max_days))
+    return ws.spark.createDataFrame(
+        found, "deleted_count long, deleted_bytes long, skipped_count long, dry_run boolean"
+    )
+
+
+def run_usage_report(ws: Workspace, landing: str, as_of: datetime, limits_gb: dict[str, float] | None = None) -> DataFrame:
+    """Append a snapshot of the sizes of landing files and tables; returns the stores above the alert level."""
+    objects = file_inventory(ws.spark, landing).select(F.lit("objects").alias("store"), "length")
+    tables = file_inventory(ws.spark, ws.store.root).select(F.lit("warehouse").alias("store"), "length")
+    usage = maintenance.storage_usage(objects.unionByName(tables), limits_gb)
+    ws.store.append("monitoring.free_tier_usage", maintenance.usage_snapshot(usage, as_of), "snapshot_date")
+    return maintenance.usage_alert(usage)
+
+
+def run_backfill_check(ws: Workspace, as_of: date, days: int = 30) -> DataFrame:
+    """The gaps of the last days, each with whether bronze has rows for it by now."""
+    gaps = maintenance.detect_gaps(ws.table("gold.fact_sales"), as_of, days)
+    missing = maintenance.validate_backfill(gaps, ws.table("bronze.orders"), days)
+    return gaps.join(missing.withColumn("still_missing", F.lit(True)), "missing_date", "left").select(
+        "missing_date", F.coalesce("still_missing", F.lit(False)).alias("still_missing")
+    )
