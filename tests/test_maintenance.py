@@ -183,6 +183,27 @@ def test_a_bad_reference_file_does_not_stop_the_others(spark, store, tmp_path):
     assert reference.load_reference(spark, target, store).filter("status = 'loaded'").count() == 4
 
 
+def test_relational_tables_are_read_in_key_ranges(spark):
+    """No database here: the reader is given a stand-in for ``spark.read`` that records what it is asked for."""
+    from types import SimpleNamespace
+
+    asked = []
+
+    def jdbc(url, table, *ranges, properties):
+        asked.append((table, *ranges))
+        if table.startswith("("):
+            return spark.createDataFrame([(3, 90)], "low long, high long")
+        return spark.createDataFrame([(3, "x", True)], "id_produto long, nome_produto string, other boolean")
+
+    read = reference.jdbc_reader(SimpleNamespace(read=SimpleNamespace(jdbc=jdbc)), "jdbc:x", {}, partitions=4)
+    found = read(next(s for s in REFERENCE_SPECS if s.table == "products"))
+    assert found.columns == ["id_produto", "nome_produto"]
+    assert asked == [
+        ("(SELECT min(id_produto) AS low, max(id_produto) AS high FROM produto) ends",),
+        ("produto", "id_produto", 3, 91, 4),
+    ]
+
+
 def test_retry_waits_and_gives_up():
     waited, calls = [], []
 

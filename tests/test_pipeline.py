@@ -135,6 +135,19 @@ def test_file_retention_run(spark, built, tmp_path):
         assert len(os.listdir(tmp_path)) == left
 
 
+def test_reference_refresh(spark, tmp_path):
+    from test_maintenance import source_tables
+
+    from tillflow.sources.reference import extract_reference
+
+    extract_reference(spark, source_tables(spark), str(tmp_path / "files"))
+    ws = workspace(spark, tmp_path / "lake")
+    checks = dict(rows(pipeline.run_reference_refresh(ws, str(tmp_path / "files")), "check_name", "status"))
+    assert checks["countries_row_count"] == "OK"
+    assert checks["products_row_count"] == "WARN"
+    assert checks["orphan_units"] == "OK"
+
+
 def test_backfill_check(built):
     found = pipeline.run_backfill_check(built, date(2001, 8, 2))
     assert found.count() > 0

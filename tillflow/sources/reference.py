@@ -23,11 +23,25 @@ _STATUS = T.StructType(
 )
 
 
-def jdbc_reader(spark: SparkSession, url: str, properties: dict[str, str]) -> Callable[[ReferenceSpec], DataFrame]:
-    """A reader of the relational source. Needs the source's JDBC driver on the class path."""
+def jdbc_reader(
+    spark: SparkSession, url: str, properties: dict[str, str], partitions: int = 8
+) -> Callable[[ReferenceSpec], DataFrame]:
+    """A reader of the relational source. Needs the source's JDBC driver on the class path.
+
+    A table is read in ranges of its key, so that no task gets all of it.
+    """
 
     def read(spec: ReferenceSpec) -> DataFrame:
-        return spark.read.jdbc(url, spec.source_table, properties=properties).select(*spec.renames.values())
+        key = spec.key
+        ends = f"(SELECT min({key}) AS low, max({key}) AS high FROM {spec.source_table}) ends"
+        low, high = spark.read.jdbc(url, ends, properties=properties).first()
+        if low is None:
+            rows = spark.read.jdbc(url, spec.source_table, properties=properties)
+        else:
+            rows = spark.read.jdbc(
+                url, spec.source_table, key, int(low), int(high) + 1, partitions, properties=properties
+            )
+        return rows.select(*spec.renames.values())
 
     return read
 
