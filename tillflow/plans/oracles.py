@@ -18,10 +18,6 @@ def _average(total: str, count: str) -> str:
     return f"CAST((2 * ({total}) + ({count})) // (2 * NULLIF({count}, 0)) AS DOUBLE) / 100"
 
 
-def _signed_average(total: str, count: str) -> str:
-    return f"SIGN({total}) * CAST((2 * ABS({total}) + ({count})) // (2 * NULLIF({count}, 0)) AS DOUBLE) / 100"
-
-
 def _percent(part: str, whole: str) -> str:
     return f"CAST((20000 * ({part}) + ({whole})) // (2 * NULLIF({whole}, 0)) AS DOUBLE) / 100"
 
@@ -60,9 +56,6 @@ def _bronze_orders(status: str, days: int) -> str:
       FROM orders"""
 
 
-_CENTS = "CAST({0} AS DOUBLE) / 100"
-_D = "CAST(o_orderdate AS DATE)"
-
 CTES: dict[str, str] = {
     "b_countries": "SELECT r_regionkey AS id_pais, '  ' || r_name || ' ' AS nome_pais FROM region",
     "b_states": "SELECT n_nationkey AS id_estado, n_regionkey AS id_pais, '  ' || n_name || ' ' AS nome_estado FROM nation",
@@ -80,16 +73,15 @@ CTES: dict[str, str] = {
       FROM lineitem""",
     "s_orders": """
       SELECT id_pedido AS order_id, id_unidade AS unit_id,
-             CASE WHEN upper(tipo_pedido) LIKE '%ONLINE%' THEN 'ONLINE' WHEN upper(tipo_pedido) LIKE '%FISIC%' THEN 'PHYSICAL'
-                  ELSE 'UNKNOWN' END AS order_type,
+             CASE tipo_pedido WHEN 'Loja Online' THEN 'ONLINE' WHEN 'Loja Fisica' THEN 'PHYSICAL' ELSE 'UNKNOWN' END AS order_type,
              status AS order_status, data_pedido AS order_date, value_cents, fee_cents, value_cents - fee_cents AS subtotal_cents,
-             CASE WHEN tipo_pedido = 'Loja Online' AND trim(endereco_entrega) <> '' THEN trim(endereco_entrega) END AS delivery_address,
+             nullif(trim(endereco_entrega), '') AS delivery_address,
              source_file, ingested_at, ingest_date
       FROM b_orders
       WHERE ingested_at = (SELECT max(later.ingested_at) FROM b_orders AS later WHERE later.id_pedido = b_orders.id_pedido)""",
     "s_items": """
       SELECT id_item_pedido AS order_item_id, id_pedido AS order_id, id_produto AS product_id, qtd AS quantity, price_cents,
-             qtd * price_cents AS line_cents, CASE WHEN trim(observacao) <> '' THEN trim(observacao) END AS observation,
+             qtd * price_cents AS line_cents, nullif(trim(observacao), '') AS observation,
              source_file, ingest_date
       FROM (SELECT *, row_number() OVER (PARTITION BY id_item_pedido
                     ORDER BY ingest_date DESC, source_file DESC, id_pedido DESC, id_produto DESC, qtd DESC, price_cents DESC) AS nth
@@ -120,32 +112,32 @@ CTES: dict[str, str] = {
              monthname(full_date) AS month_name, strftime(full_date, '%Y-%m') AS year_month,
              dayname(full_date) AS day_of_week_name, dayofweek(full_date) IN (0, 6) AS is_weekend,
              count(DISTINCT order_id) AS total_orders,
-             count(DISTINCT CASE WHEN order_type = 'ONLINE' THEN order_id END) AS online_orders,
-             count(DISTINCT CASE WHEN order_type = 'PHYSICAL' THEN order_id END) AS physical_orders,
+             count(DISTINCT order_id) FILTER (order_type = 'ONLINE') AS online_orders,
+             count(DISTINCT order_id) FILTER (order_type = 'PHYSICAL') AS physical_orders,
              CAST(sum(value_cents) AS BIGINT) AS revenue_cents,
-             CAST(sum(CASE WHEN order_type = 'ONLINE' THEN value_cents ELSE 0 END) AS BIGINT) AS online_cents,
-             CAST(sum(CASE WHEN order_type = 'PHYSICAL' THEN value_cents ELSE 0 END) AS BIGINT) AS physical_cents,
+             CAST(COALESCE(sum(value_cents) FILTER (order_type = 'ONLINE'), 0) AS BIGINT) AS online_cents,
+             CAST(COALESCE(sum(value_cents) FILTER (order_type = 'PHYSICAL'), 0) AS BIGINT) AS physical_cents,
              {_average("sum(value_cents)", "count(value_cents)")} AS avg_order_value,
              CAST(sum(fee_cents) AS BIGINT) AS fee_cents,
              {_average("sum(fee_cents)", "count(fee_cents)")} AS avg_delivery_fee,
              CAST(sum(total_items) AS BIGINT) AS total_items_sold,
              {_count_average("sum(total_items)", "count(*)")} AS avg_items_per_order,
              count(DISTINCT unit_key) AS active_units,
-             count(DISTINCT CASE WHEN order_status = 'Finalizado' THEN order_id END) AS completed_orders,
-             count(DISTINCT CASE WHEN order_status = 'Cancelado' THEN order_id END) AS canceled_orders,
-             count(DISTINCT CASE WHEN order_status = 'Pendente' THEN order_id END) AS pending_orders
+             count(DISTINCT order_id) FILTER (order_status = 'Finalizado') AS completed_orders,
+             count(DISTINCT order_id) FILTER (order_status = 'Cancelado') AS canceled_orders,
+             count(DISTINCT order_id) FILTER (order_status = 'Pendente') AS pending_orders
       FROM d_days JOIN f_sales USING (date_key) GROUP BY date_key, full_date""",
     "m_units": f"""
       SELECT unit_id AS unit_key, unit_id, unit_name, state_name, country_name,
              count(DISTINCT order_id) AS total_orders,
-             count(DISTINCT CASE WHEN order_type = 'ONLINE' THEN order_id END) AS online_orders,
-             count(DISTINCT CASE WHEN order_type = 'PHYSICAL' THEN order_id END) AS physical_orders,
+             count(DISTINCT order_id) FILTER (order_type = 'ONLINE') AS online_orders,
+             count(DISTINCT order_id) FILTER (order_type = 'PHYSICAL') AS physical_orders,
              CAST(sum(value_cents) AS BIGINT) AS revenue_cents,
              (2 * sum(value_cents) + count(value_cents)) // (2 * count(value_cents)) AS average_cents,
              CAST(sum(total_items) AS BIGINT) AS total_items_sold,
              {_count_average("sum(total_items)", "count(*)")} AS avg_items_per_order,
-             count(DISTINCT CASE WHEN order_status = 'Finalizado' THEN order_id END) AS completed_orders,
-             count(DISTINCT CASE WHEN order_status = 'Cancelado' THEN order_id END) AS canceled_orders,
+             count(DISTINCT order_id) FILTER (order_status = 'Finalizado') AS completed_orders,
+             count(DISTINCT order_id) FILTER (order_status = 'Cancelado') AS canceled_orders,
              min(order_date) AS first_order_date, max(order_date) AS last_order_date,
              date_diff('day', min(order_date), max(order_date)) + 1 AS days_active,
              rank() OVER (ORDER BY sum(value_cents) DESC) AS revenue_rank,
@@ -602,7 +594,7 @@ SELECTS: dict[str, str] = {
     **CHECKS,
     "dq_all": _ALL_CHECKS,
     "dq_failures": f"SELECT * FROM ({_ALL_CHECKS}) AS results WHERE result = 'fail'",
-    "dq_log_rows": f"""SELECT 12 AS check_id_length, {_RESULT}, {_DAY} AS execution_date,
+    "dq_log_rows": f"""SELECT CAST(12 AS BIGINT) AS check_id_length, {_RESULT}, {_DAY} AS execution_date,
       TIMESTAMP '2002-01-01 12:00:00' AS execution_timestamp, 'run_1' AS dag_run_id, CAST(0 AS DOUBLE) AS duration_seconds
       FROM ({_ALL_CHECKS}) AS results""",
     "dq_latest": f"""SELECT check_name, result, actual_value, TIMESTAMP '2002-01-01 12:00:00' AS execution_timestamp
