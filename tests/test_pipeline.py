@@ -166,11 +166,17 @@ def test_facts_are_laid_out_by_month_and_day(built):
     assert trend.count() == sales.filter("order_date between '1997-03-01' and '1997-03-09'").select("order_date").distinct().count()
 
 
-def test_registered_table_can_be_queried_by_name(spark, built):
-    built.store.register("shop_gold", "gold.fact_sales")
-    built.store.register("shop_gold", "gold.agg_daily_sales")
-    assert spark.sql("SELECT count(*) FROM shop_gold.fact_sales").first()[0] == built.store.read("gold.fact_sales").count()
-    assert spark.sql("SELECT sum(total_orders) FROM shop_gold.agg_daily_sales").first()[0] == built.store.read("gold.fact_sales").count()
+def test_built_tables_can_be_queried_by_name(spark, built):
+    names = pipeline.publish_catalog(built, "shop_")
+    assert len(names) == len(BUILDERS)
+    orders = built.store.read("gold.fact_sales").count()
+    assert spark.sql("SELECT count(*) FROM shop_gold.fact_sales").first()[0] == orders
+    assert spark.sql("SELECT sum(total_orders) FROM shop_gold.agg_daily_sales").first()[0] == orders
+    weekday = spark.sql(
+        "SELECT day_of_week_name, sum(total_orders) AS total_orders FROM shop_gold.agg_daily_sales GROUP BY day_of_week_name"
+    )
+    shown = serving.exec_revenue_by_weekday(built.store.read("gold.agg_daily_sales"))
+    assert sorted(rows(weekday)) == sorted(rows(shown, "day_of_week_name", "total_orders"))
 
 
 def test_as_of_is_the_only_clock(built):

@@ -1,6 +1,6 @@
 """Data-quality checks. Every check gives a frame of one row per verdict with the same columns.
 
-Thresholds are arguments; their defaults are the reference values of the platform's configuration.
+Thresholds are arguments; the defaults below are fixed values.
 """
 
 from __future__ import annotations

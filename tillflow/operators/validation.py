@@ -73,6 +73,7 @@ def file_report(raw: DataFrame, spec: FileSpec) -> DataFrame:
 
 def report_messages(report: DataFrame) -> DataFrame:
     """The counts of :func:`file_report` as text, one array per file; rules that dropped nothing say nothing."""
+    # The texts
     noun = F.when(F.col("source_file").endswith("item_pedido.csv"), "items").otherwise("orders")
     said = F.array(
         F.when(F.col("null_required") > 0, F.format_string("Dropped %d rows with null required fields", "null_required")),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.operators import maintenance, quality, run_metrics
-from tillflow.plans.workspace import DIMENSIONS, FACTS, MARTS, SILVER_REFERENCE, SILVER_SALES, Workspace
+from tillflow.plans.workspace import BUILDERS, DIMENSIONS, FACTS, MARTS, SILVER_REFERENCE, SILVER_SALES, Workspace
 from tillflow.schemas import REFERENCE_SPECS
 from tillflow.sources.landing import file_inventory
 from tillflow.sources.reference import load_reference
@@ -105,6 +105,14 @@ def run_quality(ws: Workspace, day: date, run_id: str = "", **thresholds) -> Dat
     return failed
 
 
+def publish_catalog(ws: Workspace, prefix: str = "") -> list[str]:
+    """Make the built tables known to the catalog as ``layer.table``, so that SQL can name them."""
+    built = [name for name in BUILDERS if ws.store.exists(name)]
+    for name in built:
+        ws.store.register(prefix + name.split(".")[0], name)
+    return [prefix + name for name in built]
+
+
 def run_reference_refresh(ws: Workspace, folder: str) -> DataFrame:
     """Replace the bronze reference tables from their files; returns the checks on the new tables."""
     load_reference(ws.spark, folder, ws.store, ws.as_of)

@@ -1,4 +1,4 @@
-"""Fixed schemas: landing files, bronze tables and monitoring tables."""
+"""Schemas of landing files, bronze tables and monitoring tables, required columns and domains."""
 
 from __future__ import annotations
 
