@@ -9,8 +9,10 @@ from compare import connect, difference
 from conftest import SMALL
 
 import __spark_entry__ as contract
+from tillflow.plans import oracles
+from tillflow.plans.queries import registry
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = registry(), oracles.oracle_sql()
 needs_data = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no benchmark tables")
 
 
