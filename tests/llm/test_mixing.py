@@ -1,0 +1,93 @@
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+
+import pytest
+from helpers import WORD, frame
+
+from tillflow.llm import mixing
+
+COLUMNS = ["doc_id", "size", "source_size", "target", "taken"]
+
+
+def targets(sizes: dict, weights=(3, 1, 2), share=1.5, ceiling=2.0):
+    """Share out, cut, and share the excess again until no source is above its ceiling."""
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s) + ([None] if None in sizes else [])
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    fixed, total = {}, share * sum(sizes.values())
+    while True:
+        free = [s for s in names if s not in fixed]
+        left = total - sum(fixed.values())
+        given = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+        above = [s for s in free if given[s] > ceiling * sizes[s]]
+        if not above:
+            return fixed | given
+        fixed |= {s: ceiling * sizes[s] for s in above}
+
+
+def corpus(n, seed=1):
+    draw = random.Random(seed)
+    sources = ["big"] * 6 + ["a", "b", "Ä", "c", None]
+    return [(i, " ".join("w" * draw.choice([1, 3, 9, 40, 200])), None, draw.choice(sources), 0) for i in range(n)]
+
+
+@pytest.mark.parametrize("n", [40, 3000])
+def test_targets_words_and_bounds(spark, n):
+    rows = corpus(n)
+    found = mixing.plan_mix(frame(spark, rows)).collect()
+    assert sorted(r["doc_id"] for r in found) == list(range(n))
+    source = {r[0]: r[3] for r in rows}
+    size = {r[0]: len(WORD.findall(r[1])) for r in rows}
+    sizes, taken, longest = defaultdict(int), defaultdict(int), defaultdict(int)
+    for i, s in source.items():
+        sizes[s] += size[i]
+        longest[s] = max(longest[s], size[i])
+    wanted = targets(sizes)
+    for r in found:
+        s = source[r["doc_id"]]
+        assert r["size"] == size[r["doc_id"]] and r["source_size"] == sizes[s]
+        assert r["target"] == pytest.approx(wanted[s])
+        assert r["taken"] % r["size"] == 0 and r["taken"] <= 2 * r["size"]
+        taken[s] += r["taken"]
+    assert all(abs(taken[s] - wanted[s]) <= longest[s] for s in sizes)
+
+
+def test_documents_keep_their_probability(spark):
+    """Over many equal documents the copies come as often as expected."""
+    rows = [(i, "a b c", None, "xyz"[i % 3], 0) for i in range(6000)]
+    found = mixing.plan_mix(frame(spark, rows)).collect()
+    by_half = defaultdict(list)
+    for r in found:
+        by_half[r["doc_id"] % 3, r["doc_id"] < 3000].append(r["copies"])
+    for (s, _), copies in by_half.items():
+        expected = [r["target"] / r["source_size"] for r in found if r["doc_id"] % 3 == s][0]
+        assert sum(copies) / len(copies) == pytest.approx(expected, abs=0.06)
+        assert set(copies) <= {int(expected), int(expected) + 1, 2}
+
+
+def test_reruns_agree_and_no_python_runs(spark):
+    docs = frame(spark, corpus(500))
+    plan = mixing.plan_mix(docs)
+    assert sorted(plan.collect()) == sorted(mixing.plan_mix(docs.repartition(5)).collect())
+    assert "Python" not in plan._jdf.queryExecution().toString()
+
+
+def test_nulls_empty_texts_and_repeated_rows(spark):
+    rows = [(1, "a b", None, "s", 0)] * 700 + [(None, None, None, None, None)] * 3 + [(2, "", "en", "s", 0), (3, "x " * 50_000, "en", "t", 0)]
+    found = mixing.plan_mix(frame(spark, rows)).collect()
+    assert len(found) == 705
+    assert {r["taken"] for r in found if r["doc_id"] in (None, 2)} == {0}
+    assert all(r["taken"] <= 2 * r["size"] for r in found)
+    assert abs(sum(r["taken"] for r in found if r["doc_id"] == 1) - next(r["target"] for r in found if r["doc_id"] == 1)) <= 2
+    assert mixing.plan_mix(frame(spark, [])).collect() == []
+
+
+def test_rows_of_the_mix(spark):
+    rows = [*corpus(200), (500, "p q", "en", "big", 1), (500, "p q", "de", "big", 2)]
+    docs = frame(spark, rows).withColumnRenamed("n_chars", "mark")
+    plan = mixing.plan_mix(docs).groupBy("doc_id").sum("copies").collect()
+    found = mixing.mix(docs)
+    assert found.columns == docs.columns
+    counts = {r[0]: r[1] for r in found.groupBy("doc_id").count().collect()}
+    assert counts == {r[0]: r[1] for r in plan if r[1]}

@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+from helpers import by_id, documents, frame
+
+from tillflow.llm import pii
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        n = int(c) * (1 + i % 2)
+        total += n - 9 if n > 9 else n
+    return total % 10 == 0
+
+
+def reference(text):
+    out = []
+    for kind, pattern in BASE.items():
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            if (
+                kind == "email"
+                or (kind == "ip" and all(int(p) <= 255 for p in m[0].split(".")))
+                or (kind == "card" and 13 <= len(digits) <= 19 and luhn(digits))
+                or (kind == "phone" and 9 <= len(digits) <= 15)
+            ):
+                out.append((kind, m.start(), m.end()))
+    return out
+
+
+TEXTS = [
+    "", None, "nothing", "a@b.c_x@d.e.f @x.y a@b", "x@y.z@w.v", "1.2.3.4.5.6.7.8 256.1.1.1 0001.2.3.004 1.2.3",
+    "4111 1111 1111 1111 and 4111-1111-1111-1112, 4111111111111111.", "+1 (988) 555-2485 +1+23456789 +1 ((( +49 30 123456 7890",
+    "😀 ä a@b.de 😀 10.0.0.1", "1 " * 30_000, "9" * 60_000, "a." * 40_000 + "@b.c", "+" * 20_000 + "1", "a@" * 9000, "1." * 30_000,
+    "IBAN DE89 3704 0044 0532 0130 00 and GB82WEST12345698765432, DE89 3704 0044 0532 0130 01",
+]
+
+
+def spans(row, base=True):
+    return [(s["kind"], s["start"], s["end"]) for s in row["pii"] if not base or s["kind"] in BASE]
+
+
+def test_base_spans_are_those_of_the_plain_expressions(spark):
+    draw = random.Random(3)
+    noise = ["".join(draw.choices("0123456789.+@- ()ab%", k=draw.randint(5, 300))) for _ in range(400)]
+    texts = [*TEXTS, *noise]
+    found = by_id(pii.find(documents(spark, *texts)))
+    for i, text in enumerate(texts):
+        assert spans(found[i]) == reference(text), text[:200]
+
+
+def test_account_numbers_need_their_checksum(spark):
+    row = pii.find(documents(spark, TEXTS[-1])).collect()[0]
+    found = [TEXTS[-1][s["start"] : s["end"]] for s in row["pii"] if s["kind"] == "iban"]
+    assert found == ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"]
+
+
+def test_context_moves_the_score(spark):
+    docs = documents(spark, "call +49 30 1234567", "order +49 30 1234567", "x +49 30 1234567")
+    scores = [r["pii"][0]["score"] for r in pii.find(docs).orderBy("doc_id").collect()]
+    assert scores == pytest.approx([0.8, 0.3, 0.6])
+
+
+def test_redaction(spark):
+    docs = documents(spark, "mail a@b.de, host 10.0.0.1!", "clean", None, "").withColumnRenamed("lang", "pii")
+    found = pii.redact(docs)
+    assert found.columns == docs.columns
+    assert [r["text"] for r in found.orderBy("doc_id").collect()] == ["mail <email>, host <ip>!", "clean", None, ""]
+    assert [r["pii"] for r in found.collect()] == ["en"] * 4
+
+
+def test_overlapping_spans_become_one(spark):
+    text = "+4111 1111 1111 1111"
+    row = pii.redact(documents(spark, text)).collect()[0]
+    assert not re.search("[0-9]", row["text"])
+
+
+def test_no_python_runs_and_no_rows(spark):
+    found = pii.find(frame(spark, []))
+    assert found.collect() == [] and "Python" not in found._jdf.queryExecution().toString()
