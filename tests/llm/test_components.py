@@ -11,7 +11,7 @@ def test_matches_union_find(spark):
     draw = random.Random(5)
     links = [(draw.randrange(400), draw.randrange(400)) for _ in range(260)] + [(i, i + 1) for i in range(500, 540)]
     nodes = {n for link in links for n in link if link[0] != link[1]}
-    expected = roots(nodes, links)
+    expected = roots(nodes, [(a, b) for a, b in links if a != b])
     found = components(spark.createDataFrame([*links, (None, 3), (7, 7)], "a bigint, b bigint"))
     assert {r["node"]: r["component"] for r in found.collect()} == expected
 

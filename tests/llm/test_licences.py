@@ -22,7 +22,7 @@ def test_reference_lines(spark):
         spark,
         "Prose here.\nReleased under the MIT License.\nMore prose.",
         "Licensed under the Apache License, Version 2.0.",
-        "This work is licensed under the GNU General Public License, version 3. And LICENSED under CC BY-NC 4.0!",
+        "This work is licensed under the GNU General Public License, version 3. LICENSED under CC BY-NC 4.0!",
         "A licence to kill.",
     )
     assert [r["licences"] for r in found] == [["MIT"], ["Apache-2.0"], ["CC-BY-NC-4.0", "GPL-3.0"], []]

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillflow.llm.common import mixed, unit
 
@@ -277,8 +278,9 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
             columns = [pa.array(found, pa.string()), pa.array(score), pa.array(entropy), pa.array(rejected)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*names, *added])
 
-    kind = docs.schema.add("lang_pred", "string").add("score", "double").add("cross_entropy", "double").add("rejected", "boolean")
-    return docs.mapInArrow(run, kind)
+    kinds = [T.StringType(), T.DoubleType(), T.DoubleType(), T.BooleanType()]
+    fields = [T.StructField(name, kind) for name, kind in zip(added, kinds, strict=True)]
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *fields]))
 
 
 def fold(doc_id: Column) -> Column:

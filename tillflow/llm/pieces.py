@@ -20,6 +20,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from tillflow.llm.common import SLICE_ROWS
 
@@ -207,10 +208,8 @@ def encode(docs: DataFrame, model: bytes) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays([*part.columns, *added], [*names, "ids", "begins", "ends"])
 
-    kind = docs.schema
-    for name in ("ids", "begins", "ends"):
-        kind = kind.add(name, "array<int>")
-    return docs.mapInArrow(run, kind)
+    added = [T.StructField(name, T.ArrayType(T.IntegerType())) for name in ("ids", "begins", "ends")]
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
 
 
 def decode(encoded: DataFrame, model: bytes) -> DataFrame:
@@ -226,4 +225,4 @@ def decode(encoded: DataFrame, model: bytes) -> DataFrame:
                 texts = [library.decode(ids.values.to_pylist()) if ids.values is not None and len(ids.values) else "" for ids in part.column("ids")]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*names, "decoded"])
 
-    return encoded.mapInArrow(run, encoded.schema.add("decoded", "string"))
+    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())]))

@@ -134,14 +134,14 @@ def _spans(text: Column, kind: Kind) -> Column:
     return F.when(F.rlike(text, F.lit(kind.needs)), found).otherwise(none)
 
 
-def find(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``pii``, an array of ``kind, start, end, score``, kinds in the order of KINDS, then by start.
+def find(docs: DataFrame, text: str = "text", into: str = "pii") -> DataFrame:
+    """``docs`` with a column ``into``, an array of ``kind, start, end, score``, kinds in the order of KINDS, then by start.
 
     A null or empty text has no spans. Kinds are found apart from each other, so spans of two kinds may overlap. Other
-    columns are kept; a column named ``pii`` is replaced. Rows are independent, repeated rows get equal spans.
+    columns are kept; a column of that name is replaced. Rows are independent, repeated rows get equal spans.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    return docs.withColumn("pii", F.concat(*[_spans(whole, kind) for kind in KINDS]))
+    return docs.withColumn(into, F.concat(*[_spans(whole, kind) for kind in KINDS]))
 
 
 def shown(spans: Column) -> Column:
@@ -152,7 +152,7 @@ def shown(spans: Column) -> Column:
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in angle brackets; overlapping spans become one, named by the first."""
     names = docs.columns
-    spans = F.array_sort(F.transform("pii", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("end"), s["kind"].alias("kind"))))
+    spans = F.array_sort(F.transform("_pii", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("end"), s["kind"].alias("kind"))))
     state = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(state: Column, s: Column) -> Column:
@@ -165,6 +165,6 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     def join(state: Column) -> Column:
         return F.concat(F.array_join(state["out"], ""), F.substr(text, (state["at"] + 1).cast("int"), F.length(text)))
 
-    found = find(docs, text)
-    clean = F.when(F.size("pii") > 0, F.aggregate(spans, state, step, join)).otherwise(F.col(text))
+    found = find(docs, text, "_pii")
+    clean = F.when(F.size("_pii") > 0, F.aggregate(spans, state, step, join)).otherwise(F.col(text))
     return found.withColumn("_clean", clean).select(*[F.col("_clean").alias(n) if n == text else F.col(f"`{n}`") for n in names])
