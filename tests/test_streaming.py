@@ -62,6 +62,40 @@ def test_rejected_files_go_to_quarantine(spark, store, drop, tmp_path):  # noqa:
     assert rows(kept, "line") == [(HEADER,), (LINE.format("B").replace("Finalizado", "?"),)]
 
 
+def test_a_repeated_batch_changes_nothing_and_empty_cells_survive(spark, store, drop, tmp_path):  # noqa: F811
+    drop("u1", HEADER, LINE.format("A"))
+    bad = "1;D;;2026-01-15;42.90;;5.00;?"
+    drop("empty")
+    path = drop("u2", HEADER, bad)
+    texts = landing.read_texts(spark, path, ORDERS_FILE)
+    for _ in range(3):
+        ingest.load_batch(texts, ORDERS_FILE, store, as_of=NOW, batch="orders_x_0", path=path)
+    assert rows(store.read("bronze.orders"), "id_pedido") == [("A",)]
+    reports = spark.read.json(store.path("quarantine.reports"))
+    assert sorted(rows(reports, "source_file")) == [("raw/csv_sales/empty/pedido.csv",), ("raw/csv_sales/u2/pedido.csv",)]
+    assert rows(store.read("quarantine.lines").orderBy("line_position"), "line") == [(HEADER,), (bad,)]
+
+
+def test_a_batch_that_failed_half_way_is_completed(spark, store, drop):  # noqa: F811
+    drop("u2", HEADER, LINE.format("D").replace("Finalizado", "?"))
+    path = drop("u1", HEADER, LINE.format("A"))
+    texts = landing.read_texts(spark, path, ORDERS_FILE)
+    now, _ = ingest.batch_time(spark, store, "orders_x_1", NOW)
+    store.append("bronze.orders", to_bronze(landing.scan(spark, path, ORDERS_FILE).valid, ORDERS_FILE, now), "_ingest_date")
+    ingest.load_batch(texts, ORDERS_FILE, store, as_of=NOW, batch="orders_x_1", path=path)
+    assert store.read("bronze.orders").count() == 1
+    assert store.read("quarantine.lines").count() == 2
+
+
+def test_size_limit_in_the_stream(spark, store, drop, tmp_path):  # noqa: F811
+    drop("u1", HEADER, LINE.format("A"))
+    path = drop("big", HEADER, *[LINE.format(f"E{i}") for i in range(50)])
+    ingest.ingest_stream(spark, path, ORDERS_FILE, store, str(tmp_path / "cp"), as_of=NOW, max_bytes=2000).awaitTermination()
+    assert rows(store.read("bronze.orders"), "id_pedido") == [("A",)]
+    assert rows(spark.read.json(store.path("quarantine.reports")), "source_file") == [("raw/csv_sales/big/pedido.csv",)]
+    assert store.read("quarantine.lines").count() == 51
+
+
 def test_items_may_come_before_their_order(spark, store, drop, tmp_path):  # noqa: F811
     path = drop("u1", ITEM_HEADER, "A;I1;1;2;3.00;", name="item_pedido.csv")
     run(spark, path, store, tmp_path / "cp_items", ITEMS_FILE)

@@ -13,6 +13,10 @@ NULL_TOKENS = (
 )
 
 
+# The time of an ISO timestamp; its date is taken as it is written.
+_TIME_OF_DAY = r"(?<=^\d{4}-\d\d-\d\d)[T ]([01]\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d+)?)?(Z|[+-]\d\d:?\d\d)?$"
+
+
 def present(cell: Column) -> Column:
     """The cell, or null where its text stands for a missing value."""
     return F.when(~cell.isin(*NULL_TOKENS), cell)
@@ -22,10 +26,11 @@ def typed(cell: Column, kind: T.DataType) -> Column:
     """Read a text cell as ``kind``; text that does not fit becomes null, as do the missing-value tokens.
 
     Numbers go through exact decimals, never through doubles. A whole number may be written with a
-    fraction of zeros ("3.0").
+    fraction of zeros ("3.0"). A timestamp gives its day.
     """
     if isinstance(kind, T.DateType):
-        return F.try_to_date(F.trim(cell), "yyyy-MM-dd")
+        day = F.regexp_replace(F.trim(cell), _TIME_OF_DAY, "")
+        return F.try_to_date(day, "yyyy-MM-dd")
     if isinstance(kind, T.DecimalType):
         return cell.try_cast(kind)
     if isinstance(kind, T.LongType):

@@ -1,13 +1,15 @@
-"""Landing files: semicolon-separated text, one header line, found by base name under a folder tree."""
+"""Landing files: semicolon-separated text, one header line, found by base name under a folder tree.
+
+A file is read as one text (files are small, see MAX_FILE_BYTES, and Spark packs many of them into a task) and cut into
+records and cells by its own header, so neither the number nor the names of its columns are fixed.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillflow.operators.bronze import to_bronze
 from tillflow.operators.validation import (
@@ -19,26 +21,16 @@ from tillflow.operators.validation import (
     valid_rows,
 )
 from tillflow.schemas import FILE_SPECS, FileSpec
-from tillflow.sources.tables import TableStore
+from tillflow.sources.tables import TableStore, list_files
 
 MAX_FILE_BYTES = 10 * 1024 * 1024
-MAX_COLUMNS = 32
+ROOT = "raw/csv_sales/"
 PROCESSING_FAILED = "Processing failed. See the job log for details."
 
-_CELLS = [f"c{i}" for i in range(MAX_COLUMNS)]
-CELL_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in _CELLS])
-
-# A quoted cell may hold line breaks, so a file is parsed as one piece. Files are small (see MAX_FILE_BYTES)
-# and Spark packs many of them into a task.
-CSV_OPTIONS = {
-    "sep": ";",
-    "encoding": "UTF-8",
-    "header": "false",
-    "multiLine": "true",
-    "escape": '"',
-    "mode": "PERMISSIVE",
-    "recursiveFileLookup": "true",
-}
+# A quote means something at the beginning of a cell only. Repetition is possessive, so a scan is linear.
+_CELL = r'(?:"(?:[^"]|"")*+")?[^;\r\n]*+'
+_RECORD = f"{_CELL}(?:;{_CELL})*+"
+_QUOTED = r'(?s)^"((?:[^"]|"")*+)"(.*)$'
 
 
 def relative_path(path: Column, root: str) -> Column:
@@ -48,12 +40,12 @@ def relative_path(path: Column, root: str) -> Column:
 
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """Path, size and modification time of every file below ``path``. File contents are not read.
+    """Path, size and modification time of every file below ``path``, those of zero bytes included.
 
-    Spark's file sources leave out files of zero bytes.
+    File contents are not read. Paths and sizes pass through the driver, as in any listing: give the folder of a day or
+    a shop, not of all history.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "length", "modificationTime")
+    return list_files(spark, path)
 
 
 def route(path: Column, prefix: str) -> Column:
@@ -70,11 +62,16 @@ def oversized(files: DataFrame, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
     return files.filter(F.col("length") > max_bytes).select("source_file", text.alias("error"))
 
 
-def read_cells(spark: SparkSession, path: str, spec: FileSpec, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
-    """Every line of the files of one kind as text cells. The size limit prunes the file listing."""
-    reader = spark.read.schema(CELL_SCHEMA).options(**CSV_OPTIONS, pathGlobFilter=spec.base_name)
-    lines = reader.csv(path).select("*", "_metadata.file_path", "_metadata.file_size")
-    return lines.filter(F.col("file_size") <= max_bytes)
+def whole_files(reader, path: str, spec: FileSpec, root: str) -> DataFrame:
+    """Files of one kind as one text each; the same for batch and stream readers."""
+    texts = reader.format("text").options(wholetext="true", recursiveFileLookup="true", pathGlobFilter=spec.base_name)
+    named = texts.load(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"))
+    return named.filter(route(F.col("file"), root) == spec.table)
+
+
+def read_texts(spark: SparkSession, path: str, spec: FileSpec, root: str = ROOT, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+    """The texts of the files of one kind. The size limit prunes the file listing."""
+    return whole_files(spark.read, path, spec, root).filter(F.col("size") <= max_bytes)
 
 
 @dataclass(frozen=True)
@@ -86,81 +83,90 @@ class Landing:
     rejected: DataFrame
 
 
-def split_files(cells: DataFrame, spec: FileSpec, root: str = "raw/csv_sales/") -> tuple[DataFrame, DataFrame]:
-    """Text rows by column name, and the files that cannot be read at all.
+def cells(record: Column) -> Column:
+    """The cells of a record. In a quoted cell a doubled quote stands for one, and separators are text."""
+    found = F.regexp_extract_all(F.concat(F.lit(";"), record), F.lit(f";({_CELL})"), F.lit(1))
+
+    def plain(cell: Column) -> Column:
+        inner = F.replace(F.regexp_extract(cell, _QUOTED, 1), F.lit('""'), F.lit('"'))
+        return F.when(F.rlike(cell, F.lit(_QUOTED)), F.concat(inner, F.regexp_extract(cell, _QUOTED, 2))).otherwise(cell)
+
+    return F.transform(found, plain)
 
-    The header is the first line of each file. Files are brought together by path: a file is at most
-    MAX_FILE_BYTES, so no task gets an unbounded group. Files that lack a column give no rows; files with
-    more cells in a line than in the header are broken.
+
+def split_files(texts: DataFrame, spec: FileSpec) -> tuple[DataFrame, DataFrame]:
+    """Text rows by column name, and the files that cannot be read at all; ``_source_file`` is the full path.
+
+    The header is the first record of each file and tells its width, unnamed columns included. Files that lack a column
+    give no rows; files with more cells in a record than in the header are broken. Blank lines are skipped.
     """
-    numbered = cells.select(
-        relative_path(F.col("file_path"), root).alias("_source_file"),
-        F.monotonically_increasing_id().alias("_row"),
-        F.array(*_CELLS).alias("_cells"),
-    )
-    in_file = W.partitionBy("_source_file").orderBy("_row")
-    whole_file = W.partitionBy("_source_file")
-    header = F.transform(F.first("_cells").over(in_file), lambda name: F.trim(name))
-    width = F.array_size(F.array_compact("_header"))
-    too_wide = F.exists(F.slice("_cells", width + 1, MAX_COLUMNS), lambda cell: cell.isNotNull())
-    lines = (
-        numbered.withColumn("_header", header)
-        .withColumn("_nth", F.row_number().over(in_file))
-        .withColumn("_file_broken", F.max(too_wide).over(whole_file))
-    )
-    broken = lines.filter((F.col("_nth") == 1) & F.col("_file_broken")).select(
-        F.col("_source_file").alias("source_file"), F.lit(PROCESSING_FAILED).alias("error")
-    )
+    records = F.filter(F.regexp_extract_all("value", F.lit(_RECORD), F.lit(0)), lambda r: F.trim(r) != "")
+    files = texts.select(F.col("file").alias("_source_file"), records.alias("_records")).filter(F.size("_records") > 0)
+    files = files.withColumn("_header", F.transform(cells(F.col("_records")[0]), lambda name: F.trim(name)))
+    too_wide = F.exists("_records", lambda record: F.array_size(cells(record)) > F.array_size("_header"))
+    files = files.withColumn("_broken", too_wide)
+    broken = files.filter("_broken").select(F.col("_source_file").alias("source_file"), F.lit(PROCESSING_FAILED).alias("error"))
     complete = F.array_size(missing_columns(F.col("_header"), spec)) == 0
-    rows = lines.filter((F.col("_nth") > 1) & ~F.col("_file_broken") & complete)
+    rows = files.filter(~F.col("_broken") & complete).select("_source_file", "_header", F.posexplode("_records").alias("_row", "_record"))
+    rows = rows.filter("_row > 0").withColumn("_cells", cells(F.col("_record")))
     return rows.select(*cells_by_name(F.col("_header"), F.col("_cells"), spec), "_source_file", "_row"), broken
 
 
-def process(
-    cells: DataFrame,
-    files: DataFrame,
-    spec: FileSpec,
-    root: str = "raw/csv_sales/",
-    max_bytes: int = MAX_FILE_BYTES,
-) -> Landing:
-    """Parse and validate the lines of one kind of file.
+def process(texts: DataFrame, files: DataFrame, spec: FileSpec, root: str = ROOT, max_bytes: int = MAX_FILE_BYTES) -> Landing:
+    """Parse and validate the files of one kind.
 
-    ``files`` lists the files that were due (``source_file``, ``length``), so that a file without any line
-    is rejected too. The same function serves batch loads and streaming micro-batches.
+    ``files`` lists the files that were due (``source_file``, ``length``), so that a file without any line is rejected too.
+    Files are told apart by their full paths; the results name them from ``root`` on. The same function serves batch
+    loads and streaming micro-batches.
     """
-    rows, broken = split_files(cells, spec, root)
+    rows, broken = split_files(texts, spec)
     report = file_report(rows, spec)
     too_big = oversized(files, max_bytes)
     unreadable = broken.unionByName(too_big)
     empty = rejected_files(files.join(unreadable, "source_file", "left_anti"), report)
-    return Landing(valid_rows(rows, spec), report, unreadable.unionByName(empty))
+
+    def named(frame: DataFrame, column: str) -> DataFrame:
+        return frame.withColumn(column, relative_path(F.col(column), root))
+
+    rejected = unreadable.unionByName(empty).withColumn("path", F.col("source_file"))
+    return Landing(named(valid_rows(rows, spec), "_source_file"), named(report, "source_file"), named(rejected, "source_file"))
+
+
+def due_files(spark: SparkSession, path: str, spec: FileSpec, root: str = ROOT) -> DataFrame:
+    """The files of one kind below ``path`` with their sizes; ``source_file`` is the full path."""
+    files = file_inventory(spark, path).filter(route(F.col("path"), root) == spec.table)
+    return files.select(F.col("uri").alias("source_file"), "length", "modificationTime")
 
 
 def scan(
-    spark: SparkSession, path: str, spec: FileSpec, root: str = "raw/csv_sales/", max_bytes: int = MAX_FILE_BYTES
+    spark: SparkSession, path: str, spec: FileSpec, root: str = ROOT, max_bytes: int = MAX_FILE_BYTES
 ) -> Landing:
     """Read, route and validate all files of one kind below ``path``."""
-    due = file_inventory(spark, path).select(
-        relative_path(F.col("path"), root).alias("source_file"), "length", "modificationTime"
-    )
-    due = due.filter(F.element_at(F.split("source_file", "/"), -1) == spec.base_name)
-    return process(read_cells(spark, path, spec, max_bytes), due, spec, root, max_bytes)
+    return process(read_texts(spark, path, spec, root, max_bytes), due_files(spark, path, spec, root), spec, root, max_bytes)
+
 
+def text_lines(texts: DataFrame) -> DataFrame:
+    """The lines of whole texts as they came in: ``file, line_position, line``."""
+    body = F.regexp_replace("value", r"\r?\n$", "")
+    return texts.select("file", F.posexplode(F.split(body, r"\r?\n")).alias("line_position", "line"))
 
-def numbered_lines(lines: DataFrame, root: str) -> DataFrame:
-    """Lines of a text scan with their file and a position that grows within each split of the file."""
-    return lines.select(
-        relative_path(F.col("_metadata.file_path"), root).alias("source_file"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("line_position"),
-        F.col("value").alias("line"),
-    )
+
+def long_lines(spark: SparkSession, path: str | list[str], spec: FileSpec) -> DataFrame:
+    """The lines of files that are too large to be one text, read in splits: ``file, line_position, line``."""
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", spec.base_name).text(path)
+    return lines.select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line_position"), F.col("value").alias("line"))
 
 
-def quarantine_lines(spark: SparkSession, path: str, rejected: DataFrame, root: str = "raw/csv_sales/") -> DataFrame:
-    """The lines of rejected files, to be kept as they came in: file, line position, text."""
-    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(path)
-    return numbered_lines(lines, root).join(rejected.select("source_file"), "source_file", "left_semi")
+def quarantine_lines(texts: DataFrame, rejected: DataFrame, root: str = ROOT, more: DataFrame | None = None) -> DataFrame:
+    """The lines of rejected files, to be kept as they came in: file, line position, text.
+
+    ``texts`` are the files that were parsed; ``more`` has lines of the ones above the size limit.
+    """
+    kept = text_lines(texts.join(rejected.select(F.col("path").alias("file")), "file", "left_semi"))
+    if more is not None:
+        big = rejected.filter(F.startswith("error", F.lit("File exceeds"))).select(F.col("path").alias("file"))
+        kept = kept.select("file", F.col("line_position").cast("bigint"), "line").union(more.join(big, "file", "left_semi"))
+    return kept.select(relative_path(F.col("file"), root).alias("source_file"), F.col("line_position").cast("bigint"), "line")
 
 
 def store_landing(landing: Landing, lines: DataFrame, spec: FileSpec, store: TableStore, as_of=None) -> None:
@@ -169,7 +175,7 @@ def store_landing(landing: Landing, lines: DataFrame, spec: FileSpec, store: Tab
     now = F.current_timestamp() if as_of is None else as_of
     reports = quarantine_report(landing.rejected, now)
     store.append_json("quarantine.reports", reports.select("source_file", "error", "report_path", "report"))
-    store.append("quarantine.lines", lines.join(landing.rejected.select("source_file"), "source_file", "left_semi"))
+    store.append("quarantine.lines", lines)
 
 
 def load(
@@ -177,12 +183,13 @@ def load(
     path: str,
     spec: FileSpec,
     store: TableStore,
-    root: str = "raw/csv_sales/",
+    root: str = ROOT,
     as_of=None,
     max_bytes: int = MAX_FILE_BYTES,
 ) -> Landing:
     """Take in all files of one kind below ``path``: what the stream does file by file, in one batch."""
-    landing = scan(spark, path, spec, root, max_bytes)
-    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", spec.base_name).text(path)
-    store_landing(landing, numbered_lines(lines, root), spec, store, as_of)
+    texts = read_texts(spark, path, spec, root, max_bytes)
+    landing = process(texts, due_files(spark, path, spec, root), spec, root, max_bytes)
+    lines = quarantine_lines(texts, landing.rejected, root, long_lines(spark, path, spec))
+    store_landing(landing, lines, spec, store, as_of)
     return landing

@@ -1,49 +1,104 @@
 """Files are taken in as they land: micro-batches of new files, validated like a batch load.
 
-The file source's checkpoint remembers which files were taken. A batch that is repeated after a failure, or a
-file that is delivered again, appends its rows again; the silver layer keeps one row per key.
-Items are kept even when their order has not landed yet; the silver layer decides.
+The file source's checkpoint remembers which files were taken. A batch notes its time before it writes; when it is
+repeated after a failure it takes that time again and leaves out the files whose rows are already there under it, so a
+repeat changes nothing. A file that is delivered again is a new file: its rows are appended, and the silver layer keeps one
+row per key. Items are kept even when their order has not landed yet; the silver layer decides. Files of zero bytes,
+which Spark's sources do not show, are rejected with the batch that follows them.
 """
 
 from __future__ import annotations
 
+import hashlib
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillflow.schemas import FileSpec
 from tillflow.sources.landing import (
-    CELL_SCHEMA,
-    CSV_OPTIONS,
     MAX_FILE_BYTES,
+    ROOT,
+    due_files,
+    long_lines,
     process,
+    quarantine_lines,
     relative_path,
     store_landing,
+    whole_files,
 )
 from tillflow.sources.tables import TableStore
 
 
-def file_lines(spark: SparkSession, path: str, spec: FileSpec, files_per_batch: int = 1000) -> DataFrame:
-    """The lines of new files of one kind, with where they come from."""
-    reader = spark.readStream.schema(CELL_SCHEMA).options(**CSV_OPTIONS, pathGlobFilter=spec.base_name)
-    lines = reader.option("maxFilesPerTrigger", files_per_batch).csv(path)
-    return lines.select("*", "_metadata.file_path", "_metadata.file_size")
+def file_texts(spark: SparkSession, path: str, spec: FileSpec, root: str = ROOT, files_per_batch: int = 1000) -> DataFrame:
+    """New files of one kind, each as one text."""
+    return whole_files(spark.readStream.option("maxFilesPerTrigger", files_per_batch), path, spec, root)
+
+
+def batch_time(spark: SparkSession, store: TableStore, batch: str, as_of=None) -> tuple[datetime, bool]:
+    """The time a batch was first started, and whether it was started before."""
+    note = f"batches.{batch}"
+    if store.exists(note):
+        return store.read(note).first()[0], True
+    now = as_of or datetime.now(timezone.utc)
+    store.write(note, spark.createDataFrame([(now,)], "started timestamp"))
+    return store.read(note).first()[0], False
+
+
+def _without_taken(frame: DataFrame, column: str, store: TableStore, name: str, taken=None) -> DataFrame:
+    """Rows of files that a table does not hold yet."""
+    if not store.exists(name):
+        return frame
+    rows = store.read(name) if taken is None else store.read(name).filter(taken)
+    return frame.join(rows.select(F.col(column)).distinct(), column, "left_anti")
 
 
 def load_batch(
-    lines: DataFrame, spec: FileSpec, store: TableStore, root: str, as_of=None, max_bytes: int = MAX_FILE_BYTES
+    texts: DataFrame,
+    spec: FileSpec,
+    store: TableStore,
+    root: str = ROOT,
+    as_of=None,
+    max_bytes: int = MAX_FILE_BYTES,
+    batch: str = "",
+    path: str | None = None,
 ) -> None:
-    """Validate one micro-batch; valid rows go to bronze, rejected files to quarantine."""
-    lines = lines.persist()
+    """Validate one micro-batch; valid rows go to bronze, rejected files to quarantine.
+
+    ``batch`` names the batch over all its attempts. ``path`` is the folder to look for empty files in.
+    """
+    spark = texts.sparkSession
+    if batch:
+        as_of, again = batch_time(spark, store, batch, as_of)
+    else:
+        again = False
+    small = texts.filter(F.col("size") <= max_bytes).persist()  # the large ones are never held as one text
     try:
-        file = relative_path(F.col("file_path"), root).alias("source_file")
-        due = lines.select(file, F.col("file_size").alias("length")).distinct()
-        landing = process(lines.filter(F.col("file_size") <= max_bytes), due, spec, root, max_bytes)
-        text = F.array_join(F.array(*CELL_SCHEMA.names), CSV_OPTIONS["sep"]).alias("line")
-        numbered = lines.select(file, F.monotonically_increasing_id().alias("line_position"), text)
-        store_landing(landing, numbered, spec, store, as_of)
+        due = texts.select(F.col("file").alias("source_file"), F.col("size").alias("length"))
+        if path is not None:
+            empty = due_files(spark, path, spec, root).filter("length = 0").withColumn("_name", relative_path(F.col("source_file"), root))
+            empty = empty.withColumnRenamed("source_file", "_path").withColumnRenamed("_name", "source_file")
+            if store.has_files("quarantine.reports"):
+                known = spark.read.schema("source_file string").json(store.path("quarantine.reports")).distinct()
+                empty = empty.join(known, "source_file", "left_anti")
+            due = due.union(empty.select(F.col("_path").alias("source_file"), "length"))
+        landing = process(small, due, spec, root, max_bytes)
+        large = [row["file"] for row in texts.filter(F.col("size") > max_bytes).select("file").collect()]
+        more = long_lines(spark, large, spec) if large else None
+        lines = quarantine_lines(small, landing.rejected, root, more)
+        if again:
+            now = F.col("_ingest_timestamp") == F.lit(as_of)
+            valid = _without_taken(landing.valid, "_source_file", store, f"bronze.{spec.table}", now)
+            rejected = landing.rejected
+            if store.has_files("quarantine.reports"):
+                known = spark.read.schema("source_file string").json(store.path("quarantine.reports")).distinct()
+                rejected = rejected.join(known, "source_file", "left_anti")
+            lines = _without_taken(lines, "source_file", store, "quarantine.lines")
+            landing = type(landing)(valid, landing.report, rejected)
+        store_landing(landing, lines, spec, store, as_of)
     finally:
-        lines.unpersist()
+        small.unpersist()
 
 
 def ingest_stream(
@@ -52,15 +107,21 @@ def ingest_stream(
     spec: FileSpec,
     store: TableStore,
     checkpoint: str,
-    root: str = "raw/csv_sales/",
+    root: str = ROOT,
     as_of=None,
     files_per_batch: int = 1000,
     available_now: bool = True,
+    max_bytes: int = MAX_FILE_BYTES,
 ) -> StreamingQuery:
     """Start the ingestion of one kind of file. With ``available_now`` it stops once all present files are in."""
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
+    def take(texts: DataFrame, number: int) -> None:
+        load_batch(texts, spec, store, root, as_of, max_bytes, f"{spec.table}_{stream}_{number}", path)
+
     writer = (
-        file_lines(spark, path, spec, files_per_batch)
-        .writeStream.foreachBatch(lambda lines, _: load_batch(lines, spec, store, root, as_of))
+        file_texts(spark, path, spec, root, files_per_batch)
+        .writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .queryName(f"ingest_{spec.table}")
     )
