@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tillflow.operators.bronze import reference_to_bronze
 from tillflow.schemas import REFERENCE_SPECS, ReferenceSpec
+from tillflow.sources.tables import replace_folder
 
 # Seconds to wait before each new try.
 RETRY_SECONDS = (30, 60, 120)
@@ -72,7 +73,8 @@ def extract_reference(
         header = {bronze: landing for landing, bronze in spec.renames.items()}
         folder = f"{target}/{spec.file_name}"
         ordered = rows.orderBy(spec.key).withColumnsRenamed(header)
-        ordered.write.mode("overwrite").option("sep", ";").option("header", True).csv(folder)
+        ordered.write.mode("overwrite").option("sep", ";").option("header", True).csv(f"{folder}.new")
+        replace_folder(spark, f"{folder}.new", folder)
         written = spark.read.schema(_text_schema(spec)).option("sep", ";").option("header", True).csv(folder)
         return spec.source_table, "success", written.count()
 
@@ -105,7 +107,10 @@ def read_reference(spark: SparkSession, folder: str, spec: ReferenceSpec, as_of=
 
 
 def load_reference(spark: SparkSession, folder: str, store, as_of=None) -> DataFrame:
-    """Replace the four bronze reference tables; one row per table with its row count or its error."""
+    """Replace the four bronze reference tables; one row per table with its row count or its error.
+
+    A table whose file cannot be read stays as it was.
+    """
     outcome = []
     for spec in REFERENCE_SPECS:
         try:
