@@ -121,3 +121,20 @@ def test_alert_rules_fire_by_metric(spark):
         ("Critical Disk Usage", "b", 1), ("High Disk Usage", "a", 5), ("Node Exporter Down", "a", 2),
     ]
     assert found._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") == 1
+
+
+def test_a_gap_ends_a_breach(spark):
+    """Two samples ten hours apart say nothing about the time between them."""
+    frame = samples(spark, (0, 99, "a", "disk_pct"), (36_000, 99, "a", "disk_pct"))
+    assert series.sustained_breaches(frame, 95, 1).count() == 0
+    assert series.alerts(frame).count() == 0
+    assert series.sustained_breaches(frame, 95, 1, stale_minutes=600).count() == 1
+
+
+def test_silent_series_take_the_state_of_their_rule(spark):
+    frame = samples(spark, (0, 50, "a", "disk_pct"), (0, 1, "a", "exporter_up"), (590, 1, "b", "exporter_up"))
+    found = series.alerts_without_data(frame, START + timedelta(seconds=600))
+    assert sorted(rows(found, "alert", "host", "state"), key=str) == sorted([
+        ("Critical Disk Usage", "a", "NoData"), ("High CPU Usage", None, "NoData"), ("High Disk Usage", "a", "NoData"),
+        ("High Memory Usage", None, "NoData"), ("Node Exporter Down", "a", "Alerting"), ("Prometheus Target Down", None, "Alerting"),
+    ], key=str)

@@ -12,6 +12,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SERIES = ("host", "name")
+#: Minutes that a sample speaks for.
+STALE_MINUTES = 5
 
 
 # A window is cut into this many slices before samples are put in order.
@@ -111,10 +113,15 @@ def _beyond(threshold, comparison: Column) -> Column:
     return F.when(comparison == "gt", F.col("value") > threshold).otherwise(F.col("value") < threshold)
 
 
-def _stretches(minutes: DataFrame, by: list[str]) -> DataFrame:
-    """Runs of minutes that are ``_beyond``, per series. A minute without a sample keeps the state."""
+def _stretches(minutes: DataFrame, by: list[str], stale_minutes: int) -> DataFrame:
+    """Runs of minutes that are ``_beyond``, per series.
+
+    A sample counts for ``stale_minutes``; a longer gap ends the run, as nothing is known about it.
+    """
     in_order = W.partitionBy(*by).orderBy("minute")
-    started = F.col("_beyond") & ~F.coalesce(F.lag("_beyond").over(in_order), F.lit(False))
+    gap = F.unix_timestamp("minute") - F.unix_timestamp(F.lag("minute").over(in_order))
+    goes_on = F.coalesce(F.lag("_beyond").over(in_order) & (gap <= 60 * stale_minutes), F.lit(False))
+    started = F.col("_beyond") & ~goes_on
     numbered = minutes.withColumn("_started", started.cast("int")).withColumn(
         "_run", F.sum("_started").over(in_order.rowsBetween(W.unboundedPreceding, 0))
     )
@@ -129,7 +136,13 @@ def _stretches(minutes: DataFrame, by: list[str]) -> DataFrame:
 
 
 def sustained_breaches(
-    samples: DataFrame, threshold: float, hold_minutes: int, comparison: str = "gt", by=SERIES, order=("ts",)
+    samples: DataFrame,
+    threshold: float,
+    hold_minutes: int,
+    comparison: str = "gt",
+    by=SERIES,
+    order=("ts",),
+    stale_minutes: int = STALE_MINUTES,
 ) -> DataFrame:
     """Stretches in which the value stayed beyond the threshold for at least ``hold_minutes``.
 
@@ -137,28 +150,34 @@ def sustained_breaches(
     """
     by = list(by)
     minutes = _per_minute(samples, by, order).withColumn("_beyond", _beyond(threshold, F.lit(comparison)))
-    return _stretches(minutes, by).filter(F.col("held_minutes") >= hold_minutes)
+    return _stretches(minutes, by, stale_minutes).filter(F.col("held_minutes") >= hold_minutes)
 
 
-# The alert rules - name, metric, comparison, threshold, minutes it must hold.
+# The alert rules - name, metric, comparison, threshold, minutes it must hold, state without data.
 ALERT_RULES = (
-    ("High CPU Usage", "cpu_pct", "gt", 90, 5),
-    ("High Memory Usage", "memory_pct", "gt", 85, 5),
-    ("High Disk Usage", "disk_pct", "gt", 80, 5),
-    ("Critical Disk Usage", "disk_pct", "gt", 95, 1),
-    ("Node Exporter Down", "exporter_up", "lt", 1, 2),
-    ("Prometheus Target Down", "targets_up", "lt", 2, 5),
+    ("High CPU Usage", "cpu_pct", "gt", 90, 5, "NoData"),
+    ("High Memory Usage", "memory_pct", "gt", 85, 5, "NoData"),
+    ("High Disk Usage", "disk_pct", "gt", 80, 5, "NoData"),
+    ("Critical Disk Usage", "disk_pct", "gt", 95, 1, "NoData"),
+    ("Node Exporter Down", "exporter_up", "lt", 1, 2, "Alerting"),
+    ("Prometheus Target Down", "targets_up", "lt", 2, 5, "Alerting"),
 )
+_RULE_FIELDS = ("alert", "metric", "comparison", "threshold", "hold", "no_data")
+
+
+def _rule_table(rules) -> Column:
+    return F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(_RULE_FIELDS, rule, strict=True)]) for rule in rules])
 
 
-def alerts(metrics: DataFrame, rules=ALERT_RULES, by=SERIES, order=("ts",)) -> DataFrame:
+def alerts(
+    metrics: DataFrame, rules=ALERT_RULES, by=SERIES, order=("ts",), stale_minutes: int = STALE_MINUTES
+) -> DataFrame:
     """The stretches in which an alert rule fired. ``metrics`` holds the metrics of the rules, by name.
 
     All rules are evaluated in one pass: every minute of a metric is paired with the rules on that metric.
     """
     by = list(by)
-    names = ("alert", "metric", "comparison", "threshold", "hold")
-    table = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, rule, strict=True)]) for rule in rules])
+    table = _rule_table(rules)
     watched = metrics.filter(F.col("name").isin(*{rule[1] for rule in rules}))
     paired = _per_minute(watched, by, order).withColumn(
         "_rule", F.explode(F.filter(table, lambda rule: rule["metric"] == F.col("name")))
@@ -170,10 +189,25 @@ def alerts(metrics: DataFrame, rules=ALERT_RULES, by=SERIES, order=("ts",)) -> D
         F.col("_rule.hold").alias("_hold"),
         _beyond(F.col("_rule.threshold"), F.col("_rule.comparison")).alias("_beyond"),
     )
-    fired = _stretches(minutes, [*by, "alert", "_hold"])
+    fired = _stretches(minutes, [*by, "alert", "_hold"], stale_minutes)
     return fired.filter(F.col("held_minutes") >= F.col("_hold")).drop("_hold")
 
 
+def alerts_without_data(
+    metrics: DataFrame, as_of, rules=ALERT_RULES, by=SERIES, stale_minutes: int = STALE_MINUTES
+) -> DataFrame:
+    """The rules whose series has been silent for too long at ``as_of``, with the state that the rule takes then.
+
+    A rule without any series is silent too; its row has null series columns.
+    """
+    by, now = list(by), F.lit(as_of).cast("timestamp")
+    listed = metrics.sparkSession.range(1).select(F.inline(_rule_table(rules))).select("alert", F.col("metric").alias("_metric"), "no_data")
+    last = metrics.filter("ts IS NOT NULL").groupBy(*by).agg(F.max("ts").alias("last_seen"))
+    silent = F.col("last_seen").isNull() | (F.unix_timestamp(now) - F.unix_timestamp("last_seen") > 60 * stale_minutes)
+    found = listed.join(last.withColumn("_name", F.col("name")), F.col("_metric") == F.col("_name"), "left")
+    return found.filter(silent).select(*by, "alert", "last_seen", F.col("no_data").alias("state"))
+
+
 def targets_up(samples: DataFrame, by=SERIES, up: str = "up", order=("ts",), minimum: int = 2) -> DataFrame:
     """Sum of the latest state of all targets, and whether too few are up."""
     latest = latest_values(samples.filter(F.col("name") == up), by, order)
@@ -210,14 +244,20 @@ def parse_metric_name(dotted: Column) -> Column:
     return parsed
 
 
-def slo_by_hour(samples: DataFrame, duration: str, success: str, failure: str, accuracy: int = 10000) -> DataFrame:
-    """Per hour: 95th percentile of durations, success rate and failures, each with its alert level."""
+def slo_by_hour(samples: DataFrame, duration: str, success: str, failure: str) -> DataFrame:
+    """Per hour: 95th percentile of durations, success rate and failures, each with its alert level.
+
+    The percentile is the least duration that 95 of 100 do not exceed, exactly: durations are counted per hour and
+    value first, so ties cost nothing, and the counts are then summed up in order.
+    """
     of = {name: F.col("name") == name for name in (duration, success, failure)}
-    hours = samples.groupBy(F.date_trunc("hour", "ts").alias("hour")).agg(
-        F.percentile_approx(F.when(of[duration], F.col("value")), F.lit(0.95), F.lit(accuracy)).alias("p95_duration"),
-        F.count_if(of[success]).alias("successes"),
-        F.count_if(of[failure]).alias("failures"),
-    )
+    hour = F.date_trunc("hour", "ts").alias("hour")
+    hours = samples.groupBy(hour).agg(F.count_if(of[success]).alias("successes"), F.count_if(of[failure]).alias("failures"))
+    counted = samples.filter(of[duration] & F.col("value").isNotNull()).groupBy(hour, "value").agg(F.count(F.lit(1)).alias("n"))
+    totals = counted.groupBy("hour").agg(F.sum("n").alias("total"))
+    upto = F.sum("n").over(W.partitionBy("hour").orderBy("value"))
+    reached = counted.withColumn("_upto", upto).join(totals, "hour").filter(F.col("_upto") * 100 >= F.col("total") * 95)
+    hours = hours.join(reached.groupBy("hour").agg(F.min("value").alias("p95_duration")), "hour", "left")
     runs = F.nullif(F.col("successes") + F.col("failures"), F.lit(0))
     rated = hours.withColumn("success_pct", F.round(F.col("successes") * F.lit(100).cast("decimal(10,0)") / runs, 2).cast("double"))
     # The alert levels
