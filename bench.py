@@ -78,9 +78,7 @@ def main() -> None:
         spark,
         lambda name: source.BRONZE_TABLES[name](spark, folder),
         store,
-        source.FIRST_DAY,
-        source.LAST_DAY,
-        source.REFERENCE_LOADED_AT,
+        as_of=source.REFERENCE_LOADED_AT,
     )
     times = {
         "build_silver": timed(lambda: pipeline.build_silver(ws)),

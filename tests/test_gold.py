@@ -213,3 +213,10 @@ def test_average_ignores_missing_fees_and_rounds_half_up(spark):
     )
     found = marts.agg_daily_sales(dimensions.dim_date(spark, date(2025, 1, 1), date(2025, 1, 1)), fact)
     assert rows(found, "avg_order_value", "avg_delivery_fee", "online_pct") == [(Decimal("1.01"), Decimal("0.13"), 100.0)]
+
+
+def test_days_cover_the_years_of_the_orders(spark):
+    orders = spark.createDataFrame([(date(2025, 3, 1),), (date(2035, 6, 9),), (None,)], "order_date date")
+    days = dimensions.dim_date_of(orders)
+    assert rows(days.selectExpr("min(full_date)", "max(full_date)", "count(*)")) == [(date(2025, 1, 1), date(2035, 12, 31), 4017)]
+    assert dimensions.dim_date_of(orders.limit(0)).count() == 0

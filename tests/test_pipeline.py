@@ -21,7 +21,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no benchmark t
 
 def workspace(spark, root, bronze=None):
     bronze = bronze or (lambda name: bench.BRONZE_TABLES[name](spark, SMALL))
-    return Workspace(spark, bronze, TableStore(spark, str(root)), bench.FIRST_DAY, bench.LAST_DAY, bench.REFERENCE_LOADED_AT)
+    return Workspace(spark, bronze, TableStore(spark, str(root)), as_of=bench.REFERENCE_LOADED_AT)
 
 
 @pytest.fixture(scope="module")

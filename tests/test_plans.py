@@ -156,7 +156,7 @@ def test_hot_partition_is_split_when_written(spark, tmp_path):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
     def files(name: str) -> int:
-        return sum(found.endswith(".parquet") for found in os.listdir(tmp_path / "t" / "months" / f"ym={name}"))
+        return sum(found.endswith(".parquet") for found in os.listdir(f"{store.path('t.months')}/ym={name}"))
 
     assert files("2026-01") >= 8  # a share is split along the tasks that produced it
     assert sorted(files(f"2025-{m:02d}") for m in range(1, 13))[6] <= 4

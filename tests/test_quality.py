@@ -65,7 +65,7 @@ def test_uniqueness(spark):
     one = once.unionByName(once.filter("order_id = '7'"))
     assert verdict(quality.uniqueness(one)) == ("fail", "1 duplicates found")
     many = quality.uniqueness(once.unionByName(once))
-    assert verdict(many) == ("fail", "10 duplicates found")
+    assert verdict(many) == ("fail", "30 duplicates found")
     assert json.loads(many.first().details) == {"sample_duplicates": ["0", "1", "10", "11", "12"]}
 
 

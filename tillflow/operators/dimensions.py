@@ -15,9 +15,21 @@ OPEN_END = datetime(9999, 12, 31, 23, 59, 59)
 
 
 def dim_date(spark: SparkSession, first: date = DEFAULT_FIRST_DAY, last: date = DEFAULT_LAST_DAY) -> DataFrame:
+    """The days of a given range."""
+    return _described(dates.days_between(spark, first, last, "d"))
+
+
+def dim_date_of(orders: DataFrame) -> DataFrame:
+    """The days of all years from the first to the last order."""
+    ends = orders.agg(F.min("order_date").alias("first"), F.max("order_date").alias("last")).filter("first IS NOT NULL")
+    last = F.make_date(F.year("last"), F.lit(12), F.lit(31))
+    return _described(ends.select(F.explode(F.sequence(F.trunc("first", "year"), last)).alias("d")))
+
+
+def _described(days: DataFrame) -> DataFrame:
     day, weekday = F.col("d"), F.dayofweek("d")
     month_start = F.trunc(day, "MM")
-    return dates.days_between(spark, first, last, "d").select(
+    return days.select(
         dates.date_key(day).alias("date_key"),
         day.alias("full_date"),
         F.year(day).alias("year"),

@@ -35,10 +35,19 @@ def detect_gaps(sales: DataFrame, as_of: date, days: int = 30) -> DataFrame:
     return gaps.orderBy("missing_date")
 
 
-def validate_backfill(gaps: DataFrame, bronze_orders: DataFrame, limit: int = 7) -> DataFrame:
-    """Of the first ``limit`` gaps, the days that bronze still has no rows for."""
+def validate_backfill(
+    gaps: DataFrame, bronze_orders: DataFrame, limit: int = 7, first: date | None = None, last: date | None = None
+) -> DataFrame:
+    """Of the first ``limit`` gaps, the days that bronze still has no rows for.
+
+    ``first`` and ``last`` bound the gaps; they reach the scan as literals. Bronze rows of other days than the few
+    that are checked are dropped before the shuffle.
+    """
     checked = gaps.orderBy("missing_date").limit(limit)
-    landed = bronze_orders.select(F.col("data_pedido").alias("missing_date")).distinct()
+    landed = bronze_orders.select(F.col("data_pedido").alias("missing_date"))
+    if first is not None and last is not None:
+        landed = landed.filter(F.col("missing_date").between(F.lit(first), F.lit(last)))
+    landed = landed.join(F.broadcast(checked), "missing_date", "left_semi").distinct()
     return checked.join(landed, "missing_date", "left_anti").orderBy("missing_date")
 
 

@@ -50,12 +50,20 @@ def _aliased(columns: dict[str, Column]) -> list[Column]:
     return [column.alias(name) for name, column in columns.items()]
 
 
-def _order_metrics(fact: DataFrame, key: str, orders_unique: bool) -> DataFrame:
-    """Sums, counts and distinct orders per ``key``; the columns not asked for are pruned by Catalyst."""
+def _order_metrics(fact: DataFrame, key: str, orders_unique: bool, by: str | None = None) -> DataFrame:
+    """Sums, counts and distinct orders per ``key``; the columns not asked for are pruned by Catalyst.
+
+    With unique orders, ``by`` counts the distinct values of another column in the same pass, as ``distinct_<by>``.
+    """
     sums, flags, known = _sums(), _flags(), F.col("order_id").isNotNull()
     orders = {"total_orders": F.count("order_id")}
     if orders_unique:
         counts = {name: count_where(flag & known) for name, flag in flags.items()}
+        if by:
+            partial = orders | counts | sums
+            per_group = fact.groupBy(key, by).agg(*_aliased(partial))
+            groups = {f"distinct_{by}": F.count(by)}
+            return per_group.groupBy(key).agg(*_aliased(_merged(partial) | groups))
         return fact.groupBy(key).agg(*_aliased(orders | counts | sums))
     held = {name: F.max(flag.cast("int")) for name, flag in flags.items()}
     per_order = fact.groupBy(key, "order_id").agg(*_aliased(held | sums))
@@ -73,8 +81,12 @@ def _mean_of(what: str) -> Column:
 
 def agg_daily_sales(dim_date: DataFrame, fact_sales: DataFrame, orders_unique: bool = False) -> DataFrame:
     """Sales per day, for the days of the date dimension that have orders, newest first."""
-    metrics = _order_metrics(fact_sales, "date_key", orders_unique).filter(F.col("total_orders") > 0)
-    units = fact_sales.groupBy("date_key").agg(F.count_distinct("unit_key").alias("active_units"))
+    if orders_unique:
+        metrics = _order_metrics(fact_sales, "date_key", True, "unit_key").withColumnRenamed("distinct_unit_key", "active_units")
+    else:
+        units = fact_sales.groupBy("date_key").agg(F.count_distinct("unit_key").alias("active_units"))
+        metrics = _order_metrics(fact_sales, "date_key", False).join(units, "date_key")
+    metrics = metrics.filter(F.col("total_orders") > 0)
     days = dim_date.select(
         "date_key",
         F.col("full_date").alias("order_date"),
@@ -87,7 +99,6 @@ def agg_daily_sales(dim_date: DataFrame, fact_sales: DataFrame, orders_unique: b
     )
     return (
         days.join(metrics, "date_key")
-        .join(units, "date_key")
         .select(
             *days.columns,
             "total_orders",

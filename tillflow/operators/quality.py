@@ -147,11 +147,11 @@ def accuracy(
     )
 
 
-def uniqueness(sales: DataFrame, sample: int = 10, shown: int = 5) -> DataFrame:
-    """Orders that occur more than once: looks for up to ``sample`` of them and shows the first ``shown``."""
+def uniqueness(sales: DataFrame, shown: int = 5) -> DataFrame:
+    """Orders that occur more than once: counts all of them and shows the first ``shown``."""
     repeated = sales.groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    first = repeated.orderBy("order_id").limit(sample)
-    measured = first.agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("order_id")).alias("ids"))
+    first = repeated.orderBy("order_id").limit(shown).agg(F.sort_array(F.collect_list("order_id")).alias("ids"))
+    measured = repeated.agg(F.count(F.lit(1)).alias("n")).withColumn("ids", first.scalar())
     return _verdict(
         measured,
         "uniqueness_order_id",
@@ -162,7 +162,7 @@ def uniqueness(sales: DataFrame, sample: int = 10, shown: int = 5) -> DataFrame:
         _pass_or(F.col("n") == 0, "fail"),
         "0 duplicates",
         F.concat(F.col("n"), F.lit(" duplicates found")),
-        F.struct(F.slice("ids", 1, shown).alias("sample_duplicates")),
+        F.struct(F.col("ids").alias("sample_duplicates")),
     )
 
 
@@ -343,6 +343,11 @@ def gold_gate(sales: DataFrame, dim_product: DataFrame, dim_unit: DataFrame) ->
     )
 
 
+def day_gate(sales: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """No sale on a day that the date dimension lacks; such sales would be in no mart."""
+    return _gates(orphan_count(sales, "date_key", dim_date), {"days_covered": F.col("n") == 0})
+
+
 def layer_gate(layers: dict[str, DataFrame]) -> DataFrame:
     """Whether each frame has a row; every side stops at its first row."""
     answers = [

@@ -72,7 +72,7 @@ def file_report(raw: DataFrame, spec: FileSpec) -> DataFrame:
 
 
 def report_messages(report: DataFrame) -> DataFrame:
-    """The counts of :func:`file_report` as text, one array per file; rules that dropped nothing say nothing."""
+    """:func:`file_report` with its counts as texts, one array per file; rules that dropped nothing say nothing."""
     # The texts
     noun = F.when(F.col("source_file").endswith("item_pedido.csv"), "items").otherwise("orders")
     said = F.array(
@@ -80,7 +80,7 @@ def report_messages(report: DataFrame) -> DataFrame:
         F.when(F.col("invalid_status") > 0, F.format_string("Dropped %d rows with invalid Status", "invalid_status")),
         F.when(F.col("duplicates") > 0, F.format_string("Removed %d duplicate %s", F.col("duplicates"), noun)),
     )
-    return report.select("source_file", F.array_compact(said).alias("messages"))
+    return report.withColumn("messages", F.array_compact(said))
 
 
 def rejected_files(files: DataFrame, report: DataFrame) -> DataFrame:

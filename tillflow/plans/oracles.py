@@ -94,7 +94,9 @@ CTES: dict[str, str] = {
                    LEFT JOIN b_countries ON b_states.id_pais = b_countries.id_pais""",
     "d_days": """
       SELECT strftime(day, '%Y%m%d') AS date_key, CAST(day AS DATE) AS full_date
-      FROM range(TIMESTAMP '1995-01-01', TIMESTAMP '2002-01-01', INTERVAL 1 DAY) AS spine(day)""",
+      FROM (SELECT unnest(generate_series(first, last, INTERVAL 1 DAY)) AS day FROM (
+        SELECT date_trunc('year', min(order_date)) AS first, date_trunc('year', max(order_date)) + INTERVAL 1 YEAR - INTERVAL 1 DAY AS last
+        FROM s_orders) AS ends) AS spine""",
     "f_sales": """
       SELECT order_id, strftime(order_date, '%Y%m%d') AS date_key, order_date, unit_id AS unit_key, order_type, order_status,
              value_cents, fee_cents, subtotal_cents,
@@ -234,7 +236,8 @@ CTES: dict[str, str] = {
              date_trunc('minute', ts) AS minute, arg_max(cents, (ts, event_id)) AS cents
       FROM samples GROUP BY host, name, date_trunc('minute', ts)""",
     "starts": """
-      SELECT *, beyond AND NOT COALESCE(lag(beyond) OVER (PARTITION BY host, name ORDER BY minute), false) AS started
+      SELECT *, beyond AND NOT COALESCE(lag(beyond) OVER (PARTITION BY host, name ORDER BY minute)
+                AND minute - lag(minute) OVER (PARTITION BY host, name ORDER BY minute) <= INTERVAL 5 MINUTE, false) AS started
       FROM minutes""",
     "islands": """
       SELECT *, sum(CAST(started AS INTEGER)) OVER (PARTITION BY host, name ORDER BY minute) AS island FROM starts""",
@@ -338,6 +341,18 @@ CHECKS: dict[str, str] = {
         "CASE WHEN n = 0 THEN 'pass' ELSE 'fail' END", "0 orphans", "CAST(n AS VARCHAR) || ' orphan records'", "'{}'",
         "SELECT count(*) AS n FROM f_items LEFT JOIN b_products ON product_key = id_produto WHERE id_produto IS NULL",
     ),
+    "dq_uniqueness_faulty": _check(
+        "uniqueness_order_id", "uniqueness", "fact_sales",
+        "CASE WHEN n = 0 THEN 'pass' ELSE 'fail' END", "0 duplicates", "CAST(n AS VARCHAR) || ' duplicates found'",
+        "'{\"sample_duplicates\":[\"' || array_to_string(ids, '\",\"') || '\"]}'",
+        "SELECT count(*) AS n, list_slice(list_sort(list(order_id)), 1, 5) AS ids FROM f_sales WHERE CAST(order_id AS BIGINT) % 7 = 0",
+    ),
+    "dq_referential_faulty": _check(
+        "referential_integrity_product", "referential", "fact_order_items",
+        "CASE WHEN n = 0 THEN 'pass' ELSE 'fail' END", "0 orphans", "CAST(n AS VARCHAR) || ' orphan records'", "'{}'",
+        "SELECT count(*) AS n FROM f_items LEFT JOIN (SELECT id_produto FROM b_products WHERE id_produto % 10 <> 3) AS known "
+        "ON product_key = id_produto WHERE id_produto IS NULL",
+    ),
     "dq_volume_anomaly": _check(
         "volume_anomaly_detection", "volume", "fact_sales",
         "CASE WHEN z <= 2 THEN 'pass' ELSE 'warn' END", "z_score <= 2.0",
@@ -348,7 +363,7 @@ CHECKS: dict[str, str] = {
         f"max(n) FILTER (order_date = {_DAY}) AS today FROM day_counts) AS moments",
     ),
 }
-_ALL_CHECKS = " UNION ALL ".join(CHECKS.values())
+_ALL_CHECKS = " UNION ALL ".join(sql for name, sql in CHECKS.items() if not name.endswith("_faulty"))
 
 _COUNTED = {
     "bronze.orders": "b_orders", "bronze.order_items": "b_items", "bronze.products": "b_products", "bronze.units": "b_units",
@@ -389,14 +404,25 @@ def _metric_row(name: str, value: str, unit: str) -> str:
     )
 
 
+def _silent(title: str, metric: str, no_data: str) -> str:
+    return f"""
+      SELECT host, name, '{title}' AS alert, last_seen, '{no_data}' AS state
+      FROM (SELECT host, name, max(ts) AS last_seen FROM (
+        SELECT host, ts, CASE name WHEN 'view' THEN 'cpu_pct' WHEN 'click' THEN 'memory_pct' WHEN 'error' THEN 'disk_pct'
+                                   WHEN 'signup' THEN 'exporter_up' ELSE 'targets_up' END AS name FROM samples) AS named
+        WHERE name = '{metric}' GROUP BY host, name) AS latest
+      WHERE epoch({_EVENTS_END}) - floor(epoch(last_seen)) > 300"""
+
+
 def _alert(title: str, metric: str, comparison: str, threshold: int, hold: int) -> str:
     sign = ">" if comparison == "gt" else "<"
     return f"""
       SELECT host, name, min(minute) AS breach_start, max(minute) AS breach_end, count(*) AS evaluations,
              date_diff('minute', min(minute), max(minute)) AS held_minutes, '{title}' AS alert
-      FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY minute)
-                      - row_number() OVER (PARTITION BY host, cents {sign} {threshold * 100} ORDER BY minute) AS stretch
-            FROM alert_minutes WHERE name = '{metric}') AS numbered
+      FROM (SELECT *, sum(CAST(breaks AS INTEGER)) OVER (PARTITION BY host ORDER BY minute) AS stretch
+            FROM (SELECT *, NOT cents {sign} {threshold * 100}
+                            OR COALESCE(minute - lag(minute) OVER (PARTITION BY host ORDER BY minute) > INTERVAL 5 MINUTE, true) AS breaks
+                  FROM alert_minutes WHERE name = '{metric}') AS marked) AS numbered
       WHERE cents {sign} {threshold * 100} GROUP BY host, name, stretch
       HAVING date_diff('minute', min(minute), max(minute)) >= {hold}"""
 
@@ -631,6 +657,13 @@ SELECTS: dict[str, str] = {
       UNION ALL
       SELECT 'state', CAST(id_estado AS BIGINT), nome_estado FROM b_states
       WHERE NOT EXISTS (SELECT 1 FROM b_countries WHERE b_countries.id_pais = b_states.id_pais)""",
+    "dq_orphans_faulty": """
+      SELECT 'unit' AS kind, id_unidade AS id, nome_unidade AS name FROM b_units WHERE id_estado % 5 = 2
+         OR NOT EXISTS (SELECT 1 FROM b_states WHERE b_states.id_estado = b_units.id_estado)
+      UNION ALL
+      SELECT 'state', CAST(id_estado AS BIGINT), nome_estado FROM b_states WHERE id_estado % 5 <> 2
+        AND NOT EXISTS (SELECT 1 FROM b_countries WHERE b_countries.id_pais = b_states.id_pais AND id_pais <> 1)""",
+    "dq_day_gate": "SELECT 'days_covered' AS check_name, count(*) = 0 AS passed FROM f_sales WHERE date_key NOT IN (SELECT date_key FROM d_days)",
     "dq_rates": """
       SELECT 'null_rate' AS check_name, ROUND(CAST(nulls AS DOUBLE) / (n * 4), 6) AS rate,
              CASE WHEN CAST(nulls AS DOUBLE) / (n * 4) > 0.05 THEN 'fail' ELSE 'pass' END AS result
@@ -729,7 +762,7 @@ SELECTS: dict[str, str] = {
              'window_' || strftime(w, '%H') || strftime(w + INTERVAL 2 HOUR, '%H') AS window_label, event_type,
              count(*) AS event_count, CAST(sum(CAST(ROUND(value * 100) AS BIGINT)) AS DOUBLE) / 100 AS total
       FROM (SELECT *, time_bucket(INTERVAL 2 HOUR, ts, TIMESTAMP '2000-01-01 00:00:00') AS w FROM events) AS bucketed
-      WHERE w + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR GROUP BY w, event_type""",
+      GROUP BY w, event_type""",
     # metric series
     "metric_rate": f"SELECT host, name, window_start, {_money('step_cents', 'increase')}, CAST(step_cents AS DOUBLE) / 100 / 3600 AS rate FROM rates",
     "metric_rate_by_label": f"""SELECT name, window_start, {_money("sum(step_cents)", "increase")},
@@ -743,7 +776,8 @@ SELECTS: dict[str, str] = {
       SELECT host, name, min(minute) AS breach_start, max(minute) AS breach_end, count(*) AS evaluations,
              date_diff('minute', min(minute), max(minute)) AS held_minutes
       FROM islands WHERE beyond GROUP BY host, name, island HAVING date_diff('minute', min(minute), max(minute)) >= 5""",
-    "metric_alerts": " UNION ALL ".join(_alert(*rule) for rule in ALERT_RULES),
+    "metric_alerts": " UNION ALL ".join(_alert(*rule[:5]) for rule in ALERT_RULES),
+    "metric_no_data": " UNION ALL ".join(_silent(rule[0], rule[1], rule[5]) for rule in ALERT_RULES),
     "metric_targets_up": """SELECT CAST(sum(cents) AS DOUBLE) / 100 AS targets_up, sum(cents) < 200 AS alert
       FROM last_values WHERE name = 'signup'""",
     "metric_name_labels": """

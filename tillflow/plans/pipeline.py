@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from concurrent.futures import ThreadPoolExecutor
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
@@ -69,6 +69,7 @@ def run_daily(ws: Workspace, day: date, run_id: str = "") -> DataFrame:
         build_marts(ws)
         gold = [ws.store.read(f"gold.{name}") for name in ("fact_sales", "dim_product", "dim_unit")]
         require(quality.gold_gate(*gold), "gold")
+        require(quality.day_gate(gold[0], ws.store.read("gold.dim_date")), "gold")
         succeeded = True
     finally:
         counted = {
@@ -155,7 +156,8 @@ def run_usage_report(ws: Workspace, landing: str, as_of: datetime, limits_gb: di
 def run_backfill_check(ws: Workspace, as_of: date, days: int = 30) -> DataFrame:
     """The gaps of the last days, each with whether bronze has rows for it by now."""
     gaps = maintenance.detect_gaps(ws.table("gold.fact_sales"), as_of, days)
-    missing = maintenance.validate_backfill(gaps, ws.table("bronze.orders"), days)
+    first, last = as_of - timedelta(days=days), as_of - timedelta(days=1)
+    missing = maintenance.validate_backfill(gaps, ws.table("bronze.orders"), days, first, last)
     return gaps.join(missing.withColumn("still_missing", F.lit(True)), "missing_date", "left").select(
         "missing_date", F.coalesce("still_missing", F.lit(False)).alias("still_missing")
     )

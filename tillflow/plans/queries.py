@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,15 +113,14 @@ def _valid(spec) -> Callable[[DataFrame], DataFrame]:
 
 
 def _report(raw: DataFrame) -> DataFrame:
-    report = validation.file_report(raw, ORDERS_FILE)
-    said = validation.report_messages(report)
-    joined = report.join(said, "source_file")
-    return joined.withColumn("messages", F.array_join("messages", "; "))
+    said = validation.report_messages(validation.file_report(raw, ORDERS_FILE))
+    return said.withColumn("messages", F.array_join("messages", "; "))
 
 
 def _rejected(raw: DataFrame) -> DataFrame:
-    files = raw.select(F.col("_source_file").alias("source_file")).distinct()
-    return validation.rejected_files(files, validation.file_report(raw, ORDERS_FILE))
+    """All files have rows here, so the report alone tells which ones kept none."""
+    report = validation.file_report(raw, ORDERS_FILE).filter("rows_kept = 0")
+    return report.select("source_file", F.lit(validation.NO_VALID_ROWS).alias("error"))
 
 
 def _quarantine(raw: DataFrame) -> DataFrame:
@@ -186,7 +185,24 @@ def _reference_checks(ws: Workspace, folder: str) -> DataFrame:
 
 def _backfill(ws: Workspace, folder: str) -> DataFrame:
     gaps = maintenance.detect_gaps(ws.table(SALES), GAP_AS_OF, GAP_DAYS)
-    return maintenance.validate_backfill(gaps, ws.table(B_ORDERS))
+    first, last = GAP_AS_OF - timedelta(days=GAP_DAYS), GAP_AS_OF - timedelta(days=1)
+    return maintenance.validate_backfill(gaps, ws.table(B_ORDERS), first=first, last=last)
+
+
+def _repeated(sales: DataFrame) -> DataFrame:
+    """The fact with every seventh order in it twice."""
+    return sales.unionByName(sales.filter(F.col("order_id").cast("bigint") % 7 == 0))
+
+
+def _faulty_orphans(ws: Workspace, folder: str) -> DataFrame:
+    """Some states and a country are missing."""
+    states = ws.table("bronze.states").filter("id_estado % 5 <> 2")
+    return quality.orphans(ws.table("bronze.units"), states, ws.table("bronze.countries").filter("id_pais <> 1"))
+
+
+def _faulty_referential(ws: Workspace, folder: str) -> DataFrame:
+    """Every tenth product is missing."""
+    return quality.referential(ws.table(ITEMS), ws.table(DIM_PRODUCT).filter("product_key % 10 <> 3"))
 
 
 # --- maintenance ---
@@ -261,7 +277,10 @@ def _stream_dedup(ws: Workspace, folder: str) -> DataFrame:
 
 
 def _stream_rollup(ws: Workspace, folder: str) -> DataFrame:
-    return _streamed(ws.spark, rollup.rollup_by_window(_stream(ws.spark, folder), "event_type", "value"))
+    out = f"{shared_dir(ws.spark)}/tillflow/{ws.spark.sparkContext.applicationId}/streams/{uuid.uuid4().hex}"
+    windows = rollup.rollup_by_window(_stream(ws.spark, folder), "event_type", "value")
+    rollup.upsert_available(windows, f"{out}/table", f"{out}/checkpoint")
+    return rollup.current_windows(ws.spark, f"{out}/table", windows.schema, ["window_start", "event_type"])
 
 
 # --- metric series ---
@@ -388,6 +407,10 @@ def registry() -> dict[str, Query]:
         "dq_uniqueness": _check("check_uniqueness"),
         "dq_referential": _check("check_referential_integrity"),
         "dq_volume_anomaly": _check("check_volume_anomaly"),
+        "dq_uniqueness_faulty": _with(lambda ws, folder: quality.uniqueness(_repeated(ws.table(SALES)))),
+        "dq_referential_faulty": _with(_faulty_referential),
+        "dq_orphans_faulty": _with(_faulty_orphans),
+        "dq_day_gate": _on(quality.day_gate, SALES, DAYS),
         "dq_all": _with(_all_checks),
         "dq_failures": _with(lambda ws, folder: quality.failures(_all_checks(ws, folder))),
         "dq_log_rows": _with(_log),
@@ -427,6 +450,7 @@ def registry() -> dict[str, Query]:
         "metric_gauge_pct": _over(bench.samples, lambda s: series.gauge_percent(s, "view", "click", _ORDER)),
         "metric_sustained_breach": _over(bench.samples, lambda s: series.sustained_breaches(s, 40, 5, order=_ORDER)),
         "metric_alerts": _over(bench.rule_metrics, lambda s: series.alerts(s, order=_ORDER)),
+        "metric_no_data": _over(bench.rule_metrics, lambda s: series.alerts_without_data(s, EVENTS_AS_OF)),
         "metric_targets_up": _over(bench.samples, lambda s: series.targets_up(s, up="signup", order=_ORDER)),
         "metric_name_labels": _over(bench.dotted_names, _names),
         "metric_slo": _over(bench.samples, lambda s: series.slo_by_hour(s, "view", "signup", "error")),

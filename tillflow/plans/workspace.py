@@ -22,6 +22,8 @@ Bronze = Callable[[str], DataFrame]
 class Workspace:
     """Bronze tables, and the tables built from them in a store.
 
+    The date dimension spans the years of the orders unless a first and a last day are given.
+
     ``compose`` gives the frame of an operator over the tables it reads; ``table`` gives the written table and
     writes it, and what it needs, on first use. A table is written once per workspace, so that every query
     on a mart does not rebuild the layers below it.
@@ -32,8 +34,8 @@ class Workspace:
         spark: SparkSession,
         bronze: Bronze,
         store: TableStore,
-        first_day: date = dimensions.DEFAULT_FIRST_DAY,
-        last_day: date = dimensions.DEFAULT_LAST_DAY,
+        first_day: date | None = None,
+        last_day: date | None = None,
         as_of: datetime | None = None,
     ) -> None:
         self.spark = spark
@@ -83,7 +85,11 @@ BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     ),
     "silver.orders": lambda w: silver.silver_orders(w.table("bronze.orders")),
     "silver.order_items": lambda w: silver.silver_order_items(w.table("bronze.order_items"), w.table("silver.orders")),
-    "gold.dim_date": lambda w: dimensions.dim_date(w.spark, w.first_day, w.last_day),
+    "gold.dim_date": lambda w: (
+        dimensions.dim_date(w.spark, w.first_day, w.last_day)
+        if w.first_day and w.last_day
+        else dimensions.dim_date_of(w.table("silver.orders"))
+    ),
     "gold.dim_product": lambda w: dimensions.dim_product(w.table("silver.products"), w.as_of),
     "gold.dim_unit": lambda w: dimensions.dim_unit(w.table("silver.units"), w.as_of),
     "gold.dim_geography": lambda w: dimensions.dim_geography(w.table("silver.states"), w.table("silver.countries")),
@@ -124,8 +130,6 @@ def bench_workspace(spark: SparkSession, folder: str, ready: Workspace | None =
             spark,
             lambda name: bench.BRONZE_TABLES[name](spark, folder),
             store,
-            bench.FIRST_DAY,
-            bench.LAST_DAY,
-            bench.REFERENCE_LOADED_AT,
+            as_of=bench.REFERENCE_LOADED_AT,
         )
     return _workspaces[key]

@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 from tillflow.schemas import BRONZE, MONEY
 
-FIRST_DAY = date(1995, 1, 1)
-LAST_DAY = date(2001, 12, 31)
 REFERENCE_LOADED_AT = datetime(2002, 1, 1)
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 DELAY = "2 hours"
@@ -23,7 +24,11 @@ def window_label(start: Column, hours: int) -> Column:
 def rollup_by_window(
     events: DataFrame, by: str, measure: str, time: str = "ts", hours: int = 2, delay: str = DELAY
 ) -> DataFrame:
-    """Count and sum per window and group. A window comes out once, when the watermark has passed its end."""
+    """Count and sum per window and group.
+
+    In append mode a window comes out once, when the watermark has passed its end; in update mode (see
+    :func:`upsert_available`) it comes out whenever it has changed, open windows too.
+    """
     windows = events.withWatermark(time, delay).groupBy(F.window(time, f"{hours} hours").alias("w"), by)
     sums = windows.agg(F.count(F.lit(1)).alias("event_count"), F.sum(measure).alias("total"))
     return sums.select(
@@ -47,3 +52,24 @@ def write_available(stream: DataFrame, path: str, checkpoint: str) -> None:
         .start()
     )
     query.awaitTermination()
+
+
+def upsert_available(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Write what changed in each micro-batch of what the source holds now, one folder a batch, and stop.
+
+    A batch that is repeated replaces its folder. :func:`current_windows` reads the last state of every window.
+    """
+
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    writer = stream.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
+def current_windows(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> DataFrame:
+    """The last row written for each key."""
+    states = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(path)
+    rest = [name for name in schema.names if name not in keys]
+    last = states.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_last"))
+    return last.select(*keys, "_last.*").select(*schema.names)
