@@ -805,5 +805,12 @@ SELECTS: dict[str, str] = {
 }
 
 
+# What the landing files give: the rows that are valid, but for the month whose files lack a column.
+for _name in ("orders", "items"):
+    _file = "pedido" if _name == "orders" else "item_pedido"
+    SELECTS[f"landing_{_name}"] = f"""SELECT * EXCLUDE (row_position) FROM ({SELECTS[f"validated_{_name}"]}) AS landed
+      WHERE source_file <> 'raw/csv_sales/1999/01/{_file}.csv'"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _statement(sql) for name, sql in SELECTS.items()}

@@ -29,7 +29,7 @@ from tillflow.operators import (
 from tillflow.plans.workspace import Workspace, bench_workspace
 from tillflow.schemas import ITEMS_FILE, ORDERS_FILE, REFERENCE_SPECS
 from tillflow.session import shared_dir
-from tillflow.sources import bench
+from tillflow.sources import bench, landing
 from tillflow.sources.tables import TableStore
 from tillflow.streaming import rollup
 
@@ -127,6 +127,18 @@ def _quarantine(raw: DataFrame) -> DataFrame:
     return validation.quarantine_report(_rejected(raw), LOADED_AT)
 
 
+def _landed(spec, source: Callable[[SparkSession, str], DataFrame]) -> Query:
+    """Write the rows as landing files into the shared folder, and read, route and validate the files."""
+
+    def run(ws: Workspace, folder: str) -> DataFrame:
+        base = f"{shared_dir(ws.spark)}/tillflow/{ws.spark.sparkContext.applicationId}/landing/{uuid.uuid4().hex}"
+        ws.store.write_texts(bench.landing_texts(source(ws.spark, folder), spec), f"{base}/{landing.ROOT.rstrip('/')}", spec.base_name)
+        found = landing.scan(ws.spark, base, spec)
+        return found.valid.drop("_row").withColumnRenamed("_source_file", "source_file")
+
+    return _with(run)
+
+
 def _lineage(raw: DataFrame) -> DataFrame:
     return bronze.to_bronze(validation.valid_rows(raw, ORDERS_FILE), ORDERS_FILE, LOADED_AT)
 
@@ -365,6 +377,8 @@ def registry() -> dict[str, Query]:
         "validate_coercion": _over(bench.raw_orders, _coerced),
         "validated_orders": _over(bench.raw_orders, _valid(ORDERS_FILE)),
         "validated_items": _over(bench.raw_items, _valid(ITEMS_FILE)),
+        "landing_orders": _landed(ORDERS_FILE, bench.raw_orders),
+        "landing_items": _landed(ITEMS_FILE, bench.raw_items),
         "validation_report": _over(bench.raw_orders, _report),
         "rejected_files": _over(bench.raw_orders, _rejected),
         "quarantine_report": _over(bench.raw_orders, _quarantine),

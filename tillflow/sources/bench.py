@@ -12,7 +12,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.schemas import BRONZE, MONEY
+from tillflow.schemas import BRONZE, MONEY, FileSpec
 
 REFERENCE_LOADED_AT = datetime(2002, 1, 1)
 
@@ -254,3 +254,26 @@ def dotted_names(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.lit("airflow.scheduler.tasks.running"))
     )
     return load(spark, folder, "events").select("event_id", name.alias("dotted"))
+
+
+def landing_texts(raw: DataFrame, spec: FileSpec) -> DataFrame:
+    """The text of each file of a raw frame, as ``year, month, value``; one file is a month, and stays small.
+
+    Files of 1997 have forty more columns in front, those of 1998 an unnamed one in the middle, and the first one
+    of 1999 lacks its last column.
+    """
+    year, month = F.split("_source_file", "/")[2], F.split("_source_file", "/")[3]
+    cells = [F.coalesce(F.col(name), F.lit("")) for name in spec.columns]
+    extra = [F.lit(";".join(f"x{i}" for i in range(40)))]
+
+    def line(parts: list[Column]) -> Column:
+        plain, wide = F.concat_ws(";", *parts), F.concat_ws(";", *extra, *parts)
+        gap = F.concat_ws(";", *parts[:2], F.lit(""), *parts[2:])
+        short = F.concat_ws(";", *parts[:-1])
+        special = F.when(year == "1997", wide).when(year == "1998", gap).when((year == "1999") & (month == "01"), short)
+        return special.otherwise(plain)
+
+    lines = raw.select(year.alias("year"), month.alias("month"), "_row", line(cells).alias("line"), line([F.lit(c) for c in spec.columns]).alias("head"))
+    files = lines.groupBy("year", "month").agg(F.sort_array(F.collect_list(F.struct("_row", "line"))).alias("lines"), F.first("head").alias("head"))
+    body = F.array_join(F.transform("lines", lambda x: x["line"]), "\n")
+    return files.select("year", "month", F.concat("head", F.lit("\n"), body).alias("value"))
