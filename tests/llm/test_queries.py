@@ -1,0 +1,109 @@
+"""The registered queries over a folder of tables: oracle SQL where there is some, brute force or invariants elsewhere."""
+
+from __future__ import annotations
+
+import hashlib
+import os
+import zlib
+
+import pytest
+from compare import connect, difference
+from conftest import SMALL
+from helpers import by_id, roots, shingle_set
+from test_pii import reference
+from test_url_filter import PAGES, link
+
+import __spark_entry__ as contract
+from tillflow.llm import oracles
+from tillflow.llm.queries import registry
+
+QUERIES = registry()
+pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no benchmark tables")
+
+
+@pytest.fixture(scope="module")
+def con():
+    with connect(SMALL) as connection:
+        yield connection
+
+
+@pytest.fixture(scope="module")
+def texts(con):
+    return dict(con.execute("SELECT doc_id, text FROM documents").fetchall())
+
+
+def test_all_are_registered():
+    assert set(QUERIES) <= set(contract.queries()) and set(oracles.oracle_sql()) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(oracles.oracle_sql()))
+def test_oracles(spark, con, name):
+    assert difference(QUERIES[name](spark, SMALL), con, oracles.oracle_sql()[name]) is None
+
+
+def test_url_oracle_follows_links(spark, tmp_path):
+    rows = [
+        (1, "http://a.com/1", link("https://b.com/1")), (2, "http://b.com/1#top", link("//bad.net/p")), (3, "http://c.com/x", link("y")),
+        (4, "http://c.com/y?q", None), (5, "http://c.com/y", link("/z")), (6, "http://c.com/z", link("http://x.org/fr/")), (7, None, None), (8, "http://bad.net/p", ""),
+    ]
+    spark.createDataFrame(rows, PAGES).write.parquet(str(tmp_path / "pages.parquet"))
+    import duckdb
+
+    with duckdb.connect() as connection:
+        connection.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+        found = QUERIES["op6_url_filter"](spark, str(tmp_path))
+        assert difference(found, connection, oracles.oracle_sql()["op6_url_filter"]) is None
+
+
+def test_near_dedup(spark, texts):
+    sets = {i: shingle_set(t) for i, t in texts.items()}
+    links = [
+        (a, b) for a in sets for b in sets
+        if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+    ]
+    root = roots(sets, links)
+    found = by_id(QUERIES["op1_minhash_near_dedup"](spark, SMALL))
+    assert {i: (r["n_shingles"], r["component_id"]) for i, r in found.items()} == {i: (len(s), root[i]) for i, s in sets.items()}
+
+
+def test_sentence_pieces(spark, texts):
+    spm = pytest.importorskip("sentencepiece")
+    from tillflow.llm.tokenizers import tokenizer_model
+
+    library = spm.SentencePieceProcessor(model_proto=tokenizer_model())
+    for i, row in by_id(QUERIES["op3_sentencepiece"](spark, SMALL)).items():
+        ids = library.encode(texts[i] or "")
+        digests = [hashlib.sha256(x.encode()).hexdigest() for x in (",".join(map(str, ids)), library.decode(ids))]
+        assert [row["n_tokens"], row["ids_sha256"], row["decoded_sha256"]] == [len(ids), *digests]
+
+
+def test_personal_data(spark, texts):
+    for i, row in by_id(QUERIES["op7_personal_data"](spark, SMALL)).items():
+        expected = reference(texts[i])
+        assert [row[f"n_{k}"] for k in ("email", "ip", "card", "phone")] == [sum(s[0] == k for s in expected) for k in ("email", "ip", "card", "phone")]
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in expected)
+        assert row["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert row["spans"].startswith(joined)
+
+
+def test_language_on_the_held_out_fold(spark, con):
+    langs = dict(con.execute("SELECT doc_id, lang FROM documents").fetchall())
+    found = by_id(QUERIES["op9_language_id"](spark, SMALL))
+    held = [i for i in langs if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert {i for i, r in found.items() if r["held_out"]} == set(held)
+    assert sum(found[i]["lang_pred"] == langs[i] for i in held) >= 0.9 * len(held)
+
+
+def test_shards(spark, texts):
+    found = by_id(QUERIES["op4_kd_shards"](spark, SMALL))
+    sizes = [0] * 16
+    for i, r in found.items():
+        assert r["size"] == len((texts[i] or "").encode()) + 1
+        sizes[r["shard"]] += r["size"]
+    assert len(found) == len(texts) and max(sizes) - min(sizes) <= 2 * max(len((t or "").encode()) for t in texts.values())
+
+
+def test_pipeline(spark, texts):
+    found = QUERIES["pipeline"](spark, SMALL).collect()
+    assert found and {r["doc_id"] for r in found} <= set(texts)
+    assert all(r["n_tokens"] == len(r["ids"]) for r in found)

@@ -59,11 +59,12 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
 )
 
 #: Every known sentence holds one of these words, so texts without any need no further look.
-TRIGGER = "(?i)licen[sc]e|permission|copyright|warranty|free software|redistribution|rights reserved|under cc"
-SENTENCE_END = r"[.!?;]+(?=\s|$)|\n"
+TRIGGER = "(?i)licen[sc]e|permission|copyright|warranty|software|redistribution|reserved"
+SENTENCE_END = r"[.!?;]+(?:[ \t\n\r\f]|$)|\n"
+NOT_NORMAL = "[^a-z0-9.]+"
 
 
-def _sequence(ids: tuple[str, ...]) -> str:
+def sequence(ids: tuple[str, ...]) -> str:
     return "".join(f"<{name}>" for name in ids)
 
 
@@ -71,7 +72,7 @@ def identifiers(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in order."""
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
     sentences = F.transform(
-        F.split(F.lower(text), SENTENCE_END), lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9.]+", " "))
+        F.split(F.lower(text), SENTENCE_END), lambda s: F.trim(F.regexp_replace(s, NOT_NORMAL, " "))
     )
     found = F.filter(F.transform(sentences, lambda s: F.try_element_at(known, s)), lambda x: x.isNotNull())
     return F.when(F.rlike(text, F.lit(TRIGGER)), found).otherwise(F.array().cast("array<string>"))
@@ -85,7 +86,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     found = docs.withColumn("sentences", identifiers(F.coalesce(F.col(text), F.lit(""))))
     start = F.struct(F.concat_ws("", F.transform("sentences", lambda x: F.concat(F.lit("<"), x, F.lit(">")))).alias("left"), F.array().cast("array<string>").alias("found"))
-    rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(_sequence(ids)).alias("ids")) for name, ids in RULES])
+    rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(sequence(ids)).alias("ids")) for name, ids in RULES])
 
     def step(state: Column, rule: Column) -> Column:
         named = F.concat(state["found"], F.array(rule["name"]))
