@@ -40,8 +40,12 @@ HEADLINES = (
     "dq_all",
     "detect_gaps",
     "retention_rows",
+    "landing_orders",
+    "landing_items",
     "validated_orders",
     "validation_report",
+    "fact_sales",
+    "fact_order_items",
     "metric_rate",
     "metric_sustained_breach",
     "stream_two_hour_rollup",
