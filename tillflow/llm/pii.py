@@ -144,6 +144,11 @@ def find(docs: DataFrame, text: str = "text", into: str = "pii") -> DataFrame:
     return docs.withColumn(into, F.concat(*[_spans(whole, kind) for kind in KINDS]))
 
 
+def count(spans: Column, kind: str) -> Column:
+    """How many of the spans are of a kind."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+
 def shown(spans: Column) -> Column:
     """``kind:start:end`` of the spans, joined by commas."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
