@@ -9,7 +9,7 @@ from tillflow.llm import hnsw_dedup
 SCHEMA = "vec_id bigint, embedding array<float>, label int"
 
 
-def corpus(n=900, seed=2):
+def corpus(n=600, seed=2):
     draw = np.random.default_rng(seed)
     centres = draw.normal(0, 1, (n // 12, 24))
     spread = draw.choice([0.02, 0.15, 0.25, 0.4], n)[:, None]
@@ -49,7 +49,7 @@ def test_links_and_components(spark, monkeypatch, shard):
 def test_large_graph_recall():
     draw = np.random.default_rng(4)
     centres = draw.normal(0, 1, (300, 48))
-    vectors = hnsw_dedup._unit(centres[draw.integers(0, 300, 5000)] + 0.25 * draw.normal(0, 1, (5000, 48)))
+    vectors = hnsw_dedup._unit(centres[draw.integers(0, 300, 3000)] + 0.25 * draw.normal(0, 1, (3000, 48)))
     graph = hnsw_dedup.Graph.build(vectors)
     row, place = graph.within(vectors[:800], 0.93, hnsw_dedup.BEAM, hnsw_dedup.SLACK)
     truth = vectors[:800] @ vectors.T >= 0.93

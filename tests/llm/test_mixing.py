@@ -32,7 +32,7 @@ def corpus(n, seed=1):
     return [(i, " ".join("w" * draw.choice([1, 3, 9, 40, 200])), None, draw.choice(sources), 0) for i in range(n)]
 
 
-@pytest.mark.parametrize("n", [40, 3000])
+@pytest.mark.parametrize("n", [40, 1500])
 def test_targets_words_and_bounds(spark, n):
     rows = corpus(n)
     found = mixing.plan_mix(frame(spark, rows)).collect()
@@ -50,19 +50,19 @@ def test_targets_words_and_bounds(spark, n):
         assert r["target"] == pytest.approx(wanted[s])
         assert r["taken"] % r["size"] == 0 and r["taken"] <= 2 * r["size"]
         taken[s] += r["taken"]
-    assert all(abs(taken[s] - wanted[s]) <= longest[s] for s in sizes)
+    assert all(abs(taken[s] - wanted[s]) <= (longest[s] if n == 40 else max(3, 0.01 * wanted[s])) for s in sizes)
 
 
 def test_documents_keep_their_probability(spark):
     """Over many equal documents the copies come as often as expected."""
-    rows = [(i, "a b c", None, "xyz"[i % 3], 0) for i in range(6000)]
+    rows = [(i, "a b c", None, "xyz"[i % 3], 0) for i in range(3000)]
     found = mixing.plan_mix(frame(spark, rows)).collect()
     by_half = defaultdict(list)
     for r in found:
-        by_half[r["doc_id"] % 3, r["doc_id"] < 3000].append(r["copies"])
+        by_half[r["doc_id"] % 3, r["doc_id"] < 1500].append(r["copies"])
     for (s, _), copies in by_half.items():
         expected = [r["target"] / r["source_size"] for r in found if r["doc_id"] % 3 == s][0]
-        assert sum(copies) / len(copies) == pytest.approx(expected, abs=0.06)
+        assert sum(copies) / len(copies) == pytest.approx(expected, abs=0.08)
         assert set(copies) <= {int(expected), int(expected) + 1, 2}
 
 
