@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillflow.llm import hnsw_dedup, kd_shards, lang_id, licences, mixing, near_dedup, pieces, pii, url_filter, va_search
+from tillflow.llm import hnsw_dedup, kd_shards, lang_id, licences, mixing, near_dedup, oracles, pieces, pii, url_filter, va_search
 from tillflow.llm.common import table
 from tillflow.llm.tokenizers import tokenizer_model
 
@@ -86,4 +86,4 @@ def registry() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
