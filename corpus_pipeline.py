@@ -36,11 +36,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sentence_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document of the mix, with a checksum of what they decode to."""
-    model = tokenizer_model()
-    encoded = pieces.encode(docs.select("doc_id", "lang", "source", "text"), model).drop("text", "begins", "ends")
-    decoded = pieces.decode(encoded, model)
+    encoded = pieces.encode(docs.select("doc_id", "lang", "source", "text"), tokenizer_model(), decoded=True)
     n_tokens, checksum = F.array_size("ids").cast("bigint"), F.sha2("decoded", 256)
-    return decoded.select("doc_id", "lang", "source", "ids", n_tokens.alias("n_tokens"), checksum.alias("decoded_sha256"))
+    return encoded.select("doc_id", "lang", "source", "ids", n_tokens.alias("n_tokens"), checksum.alias("decoded_sha256"))
 
 
 STAGES = [

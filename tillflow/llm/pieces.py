@@ -22,11 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tillflow.llm.common import SLICE_ROWS
-
 MARK = "▁"
 _WORD = re.compile(" +[^ ]*")
-KEPT_WORDS, KEPT_IDS = 300_000, 2_000_000
+KEPT_WORDS, KEPT_IDS = 150_000, 1_000_000
+SLICE_ROWS = 200  # rows that a task holds as Python and numpy objects
 
 
 class Normaliser:
@@ -181,19 +180,26 @@ def _load(model: bytes) -> Pieces:
     return Pieces(model)
 
 
-def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in arrays])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays), kind))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays), pa.int32()))
+
 
+def _decode(library, ids: pa.Array) -> pa.Array:
+    """The library's text of each list of ids; empty for null and for no ids."""
+    found = [library.decode(own) if own else "" for own in ids.to_pylist()]
+    return pa.array(found, pa.string())
 
-def encode(docs: DataFrame, model: bytes) -> DataFrame:
+
+def encode(docs: DataFrame, model: bytes, decoded: bool = False) -> DataFrame:
     """``docs`` with ``ids``, ``begins`` and ``ends``: the pieces of ``text`` and the source bytes of each.
 
     ``model`` is the content of a model file: tasks need no file of their own. No begin or end ids, no sampling. Null
-    and empty texts have no pieces. All other columns are kept; columns named like the three are replaced.
+    and empty texts have no pieces. With ``decoded`` the ids are also decoded, in the same pass, into a column of that name.
+    All other columns are kept; columns named like the new ones are replaced.
     """
-    docs = docs.drop("ids", "begins", "ends")
-    names = docs.columns
+    docs = docs.drop("ids", "begins", "ends", *["decoded"] * decoded)
+    names = [*docs.columns, "ids", "begins", "ends", *["decoded"] * decoded]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _load(model)
@@ -201,28 +207,26 @@ def encode(docs: DataFrame, model: bytes) -> DataFrame:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(at, SLICE_ROWS)
                 ids, spans = pieces.encode([t or "" for t in part.column("text").to_pylist()])
-                added = [
-                    _lists(ids, pa.int32()),
-                    _lists([s[0] for s in spans], pa.int32()),
-                    _lists([s[1] for s in spans], pa.int32()),
-                ]
-                yield pa.RecordBatch.from_arrays([*part.columns, *added], [*names, "ids", "begins", "ends"])
-
-    added = [T.StructField(name, T.ArrayType(T.IntegerType())) for name in ("ids", "begins", "ends")]
+                added = [_lists(ids), _lists([s[0] for s in spans]), _lists([s[1] for s in spans])]
+                if decoded:
+                    added.append(_decode(pieces.library, added[0]))
+                yield pa.RecordBatch.from_arrays([*part.columns, *added], names)
+
+    lists = T.ArrayType(T.IntegerType())
+    added = [T.StructField(n, T.StringType() if n == "decoded" else lists) for n in names[len(docs.columns) :]]
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
 
 
 def decode(encoded: DataFrame, model: bytes) -> DataFrame:
     """``encoded`` with ``decoded``, the text that the library makes of ``ids``; null or no ids give an empty text."""
     encoded = encoded.drop("decoded")
-    names = encoded.columns
+    names = [*encoded.columns, "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = _load(model).library
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(at, SLICE_ROWS)
-                texts = [library.decode(ids.values.to_pylist()) if ids.values is not None and len(ids.values) else "" for ids in part.column("ids")]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*names, "decoded"])
+                yield pa.RecordBatch.from_arrays([*part.columns, _decode(library, part.column("ids"))], names)
 
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())]))

@@ -24,11 +24,9 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    model = tokenizer_model()
-    encoded = pieces.encode(table(spark, folder, "documents").select("doc_id", "text"), model)
-    decoded = pieces.decode(encoded.select("doc_id", "ids"), model)
+    encoded = pieces.encode(table(spark, folder, "documents").select("doc_id", "text"), tokenizer_model(), decoded=True)
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return decoded.select(
+    return encoded.select(
         "doc_id",
         F.array_size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(ids, 256).alias("ids_sha256"),
