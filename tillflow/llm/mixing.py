@@ -6,7 +6,8 @@ weighed by their words, until one of them is settled: the direction is drawn so
 probability, and the words taken together never change. What remains of a pair meets the next document. Blocks of some 64
 documents are folded in parallel, the one that remains of each goes to the next level of the tree, and the last block
 of a source also holds some 256 documents held back from the start, largest first, so that what remains at the very
-end, and is rounded by its probability alone, is a short document.
+end is a short document. It is rounded to the nearer side, and what this is off the target is evened out by turning over
+documents of the last block, largest first, as long as that brings the source closer.
 """
 
 from __future__ import annotations
@@ -93,16 +94,36 @@ def _step(state: Column, new: Column) -> Column:
     return F.when(old.isNull(), F.struct(new.alias("carry"), state["done"].alias("done"))).otherwise(met)
 
 
+def _evened(done: Column, rest: Column, taken: Column, base: Column) -> Column:
+    """The settled documents of the last block with the residual's rounding error evened out among them."""
+    start = F.struct(
+        ((taken.cast("double") - rest["p"]) * rest["size"]).alias("off"), F.array(_settled(rest, taken)).cast(_DONE).alias("done")
+    )
+    largest_first = F.array_sort(done, lambda a, b: F.when(a["size"] != b["size"], b["size"] - a["size"]).otherwise(F.when(a["mark"] < b["mark"], -1).when(a["mark"] > b["mark"], 1).otherwise(0)).cast("int"))
+
+    def step(state: Column, d: Column) -> Column:
+        up = d["copies"] <= base
+        change = F.when(up, d["size"]).otherwise(-d["size"])
+        closer = F.abs(state["off"] + change) < F.abs(state["off"])
+        turned = d.withField("copies", d["copies"] + F.when(up, 1).otherwise(-1))
+        kept = F.concat(state["done"], F.array(F.when(closer, turned).otherwise(d)))
+        return F.struct((state["off"] + F.when(closer, change).otherwise(0)).alias("off"), kept.alias("done"))
+
+    return F.aggregate(largest_first, start, step, lambda state: state["done"])
+
+
 def _fold(members: DataFrame, keys: list[str], last: bool) -> tuple[DataFrame, DataFrame | None]:
     """Settle all members of a block but one, or all in the last block: the settled rows, and the rest."""
     start = F.struct(F.lit(None).cast(_MEMBER).alias("carry"), F.array().cast(_DONE).alias("done"))
     folded = members.groupBy(*keys, "source_size", "target", "n").agg(F.sort_array(F.collect_list("member")).alias("_members"))
     folded = folded.withColumn("_x", F.aggregate("_members", start, _step)).drop("_members")
     rest = F.col("_x.carry")
-    drawn = unit(F.lit(SEED + 1), rest["draw"]) < rest["p"]
-    open_ = F.lit(False) if last else (rest["p"] > SETTLED) & (rest["p"] < 1 - SETTLED)
-    taken = drawn if last else rest["p"] > 0.5
-    done = F.when(open_, F.col("_x.done")).otherwise(F.concat("_x.done", F.array(_settled(rest, taken))))
+    taken = rest["p"] > 0.5
+    if last:
+        open_, done = F.lit(False), _evened(F.col("_x.done"), rest, taken, rest["base"])
+    else:
+        open_ = (rest["p"] > SETTLED) & (rest["p"] < 1 - SETTLED)
+        done = F.when(open_, F.col("_x.done")).otherwise(F.concat("_x.done", F.array(_settled(rest, taken))))
     folded = materialise(folded.select("source_no", "source_size", "target", "n", done.alias("_done"), F.when(open_, rest).alias("member")))
     settled = folded.select("source_size", "target", F.explode("_done").alias("_d")).select("_d.*", "source_size", "target")
     return settled, None if last else folded.where("member IS NOT NULL").drop("_done")
