@@ -66,6 +66,30 @@ def test_account_numbers_need_their_checksum(spark):
     assert found == ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"]
 
 
+def test_account_numbers_end_where_their_checksum_says(spark):
+    german, british = "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
+    expected = {
+        f"{german} BIC COBADEFFXXX": [german],
+        "DE89370400440532013000 The bank": ["DE89370400440532013000"],
+        f"{german} 2 items": [german],
+        f"{german} A": [german],
+        f"{german} {british} {german}": [german, british, german],
+        f"REF12 {british}": [british],
+        f"AB12 {german}, {british}x": [german],
+        f"{british}1 {german}4": [],
+        "DE89370400440532013000 GB82 WEST 1234 5698 7654 32 OK": ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"],
+        f"😀 order, invoice, serial: {german} Paid": [german],
+        # Both the number and the number with the next word pass the checksum.
+        f"{german} {next(n for n in range(1, 98) if int(f'370400440532013000{n}131489') % 97 == 1)} items": [german],
+        "AA11 " * 20_000: [],
+    }
+    rows = by_id(pii.find(documents(spark, *expected)))
+    for i, text in enumerate(expected):
+        assert [text[s["start"] : s["end"]] for s in rows[i]["pii"] if s["kind"] == "iban"] == expected[text], text[:200]
+    clean = by_id(pii.redact(documents(spark, f"{german} BIC COBADEFFXXX")))
+    assert clean[0]["text"] == "<iban> BIC COBADEFFXXX"
+
+
 def test_context_moves_the_score(spark):
     docs = documents(spark, "call +49 30 1234567", "order +49 30 1234567", "x +49 30 1234567")
     scores = [r["pii"][0]["score"] for r in pii.find(docs).orderBy("doc_id").collect()]

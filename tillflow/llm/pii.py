@@ -3,11 +3,13 @@
 Every kind has one expression whose matches are leftmost and do not overlap. The pieces of text between the matches give
 their places, so one pass splits and one pass extracts. The expressions are written so that a scan stays linear on long
 runs of letters, digits or blanks: repetition is possessive where what follows cannot begin inside it, and no
-match is tried from the middle of a run whose beginning has failed (unless the last match ended there).
+match is tried from the middle of a run whose beginning has failed (unless the last match ended there). The end of an
+account number shows by its checksum only, so its expression looks ahead over the longest run (at most 34 characters and
+the blanks between them) from each word that may begin one, and the prefixes of the run that end with a word are tried.
 
 A span's score starts from what confirmed it (a checksum more than a form), rises with words that speak for the kind
-within CONTEXT characters around it, and falls with words that speak against it. Spans of the four base kinds are
-kept whatever their score; those of the added kind are kept from MIN_SCORE on.
+within CONTEXT characters around it, and falls with words that speak against it. Confirmed spans are kept whatever their
+score.
 """
 
 from __future__ import annotations
@@ -18,7 +20,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CONTEXT = 40
-MIN_SCORE = 0.5
 _SPAN = "struct<kind:string,start:bigint,end:bigint,score:double>"
 
 
@@ -31,6 +32,7 @@ class Kind:
     speaks_for: str
     speaks_against: str = "(?i)order|version|isbn|serial|invoice"
     base: bool = True
+    ahead: bool = False  # a match is one character, its first group the run that the span begins
 
 
 _MAIL = "A-Za-z0-9._%+-"
@@ -55,14 +57,24 @@ KINDS = (
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", r"\+[0-9]", 0.6, r"(?i)phone|tel\b|call|mobile|fax"),
     Kind(
         "iban",
-        "(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+        # The run takes one more letter or digit if its last word goes on, so that this word is no end.
+        "(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30}+[A-Za-z0-9]?))[A-Z]",
         "[A-Z]{2}[0-9]{2}",
         0.7,
         r"(?i)iban|bank|account|konto|\bbic\b",
         base=False,
+        ahead=True,
     ),
 )
 
+# Characters of an account number by country.
+_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
 
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
@@ -105,11 +117,27 @@ def _valid(kind: str, match: Column) -> Column:
         return F.when(F.length(_digits(match)).between(13, 19), _luhn(_digits(match))).otherwise(False)
     if kind == "phone":
         return F.length(_digits(match)).between(9, 15)
-    if kind == "iban":
-        return _mod_97(match)
     return F.lit(True)
 
 
+def _account(run: Column) -> Column:
+    """The account number that a run begins with, null if none: of the prefixes that end with a word and pass the checksum
+
+    the one as long as its country has it, else the longest.
+    """
+    words = F.split(run, " ")
+    prefixes = F.transform(F.sequence(F.lit(1), F.size(words)), lambda n: F.array_join(F.slice(words, 1, n), " "))
+    passed = F.filter(prefixes, lambda p: ~F.rlike(p, F.lit("[a-z]")) & _mod_97(p))
+    lengths = F.create_map(*[F.lit(x) for n, codes in _LENGTHS.items() for code in codes.split() for x in (code, n)])
+    usual = F.coalesce(F.try_element_at(lengths, F.left(run, F.lit(2))), F.lit(0))
+
+    def rank(p: Column) -> Column:
+        length = F.length(F.regexp_replace(p, " ", ""))
+        return F.struct((length == usual).alias("usual"), length.alias("length"), p.alias("number"))
+
+    return F.array_max(F.transform(passed, rank))["number"]
+
+
 def _spans(text: Column, kind: Kind) -> Column:
     """The valid spans of one kind, in order. Places are counted in code points, the end is exclusive."""
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{_SPAN}>").alias("found"))
@@ -117,19 +145,22 @@ def _spans(text: Column, kind: Kind) -> Column:
     def step(state: Column, part: Column) -> Column:
         begin = state["at"] + F.length(part["0"])
         end = begin + F.coalesce(F.length(part["1"]), F.lit(0))
+        past = begin + 1 if kind.ahead else end
         around = F.substr(text, F.greatest(begin - CONTEXT + 1, F.lit(1)).cast("int"), (end - begin + 2 * CONTEXT).cast("int"))
         score = F.lit(kind.score) + F.when(F.rlike(around, F.lit(kind.speaks_for)), 0.2).otherwise(0.0)
         score = score - F.when(F.rlike(around, F.lit(kind.speaks_against)), 0.3).otherwise(0.0)
         span = F.struct(F.lit(kind.name).alias("kind"), begin.alias("start"), end.alias("end"), score.alias("score"))
         valid = F.when(part["1"].isNull(), False).otherwise(_valid(kind.name, part["1"]))
+        if kind.ahead:
+            valid = valid & (begin >= F.coalesce(F.try_element_at(state["found"], F.lit(-1))["end"], F.lit(0)))
         found = F.when(valid, F.concat(state["found"], F.array(span.cast(_SPAN)))).otherwise(state["found"])
-        return F.struct(end.alias("at"), found.alias("found"))
+        return F.struct(past.alias("at"), found.alias("found"))
 
     between = F.split(text, kind.pattern, -1)
-    parts = F.arrays_zip(between.alias("0"), F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("1"))
-    found = F.aggregate(parts, start, step, lambda state: state["found"])
-    if not kind.base:
-        found = F.filter(found, lambda span: span["score"] >= MIN_SCORE)
+    matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(int(kind.ahead)))
+    if kind.ahead:
+        matches = F.transform(matches, _account)
+    found = F.aggregate(F.arrays_zip(between.alias("0"), matches.alias("1")), start, step, lambda state: state["found"])
     none = F.array().cast(f"array<{_SPAN}>")
     return F.when(F.rlike(text, F.lit(kind.needs)), found).otherwise(none)
 
