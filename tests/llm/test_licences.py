@@ -12,6 +12,66 @@ to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies
 whom the Software is furnished to do so, subject to the following conditions:""".replace("\n", " ")
 NOTICE = "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
 
+WRAPPED_MIT = """MIT License
+
+Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY."""
+WRAPPED_APACHE = """Copyright 2020 Somebody
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS."""
+WRAPPED_GPL3 = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+WRAPPED_GPL2 = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+You should have received a copy of the GNU General Public License along
+with this program; if not, write to the Free Software Foundation, Inc."""
+WRAPPED_BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+WRAPPED = {
+    WRAPPED_MIT: (["MIT"], ["mit-grant", "mit-notice", "mit-warranty"]),
+    WRAPPED_APACHE: (["Apache-2.0"], ["apache2-grant", "apache2-terms", "apache2-copy"]),
+    WRAPPED_GPL3: (["GPL-3.0-or-later"], ["gpl3-grant", "gpl-copy"]),
+    WRAPPED_GPL2: (["GPL-2.0-or-later"], ["gpl2-grant", "gpl-copy"]),
+    WRAPPED_BSD: (["BSD-2-Clause"], ["bsd-grant", "bsd-source", "bsd-binary"]),
+}
+
 
 def scanned(spark, *texts):
     return [r for r in licences.scan(documents(spark, *texts)).orderBy("doc_id").collect()]
@@ -35,6 +95,25 @@ def test_sequences_in_order(spark):
     assert found[2]["licences"] == ["MIT"]
 
 
+def test_wrapped_licences(spark):
+    marks = ["", "# ", " * ", "// ", ";; ", "! ", '.\\" ', "dnl "]
+    texts = [(mark, end, text) for text in WRAPPED for mark in marks for end in ("\n", "\r\n")]
+    found = scanned(spark, *["".join(mark + line + end for line in text.split("\n")) for mark, end, text in texts])
+    for row, (mark, _, text) in zip(found, texts, strict=True):
+        assert (row["licences"], row["sentences"], row["unmatched"]) == (*WRAPPED[text], ""), (mark, text)
+
+
+def test_lines_are_sentences_too_and_words_are_whole(spark):
+    found = scanned(
+        spark,
+        "Released under the\nMIT License\n\nAll rights reserved | ~ Released under the MIT License",
+        "Licensed under the Apache License, Version 2.0\nLicensed under CC BY 4.0\nand more\nAll\n" + "\n" * 50_000 + "rights reserved",
+        "Not released under the MIT License. Released under. the MIT License\nReleased under the MIT Licenses",
+        "software " + "." * 50_000 + ";" * 50_000 + " " * 50_000 + "x" + "\n; " * 50_000 + "All rights reserved",
+    )
+    assert [r["sentences"] for r in found] == [["mit-ref"], ["apache2-ref", "cc-by4-ref", "all-rights"], [], ["all-rights"]]
+
+
 def test_known_sentences_are_normal_and_hold_a_trigger():
     for sentence, name in licences.SENTENCES.items():
         assert re.search(licences.TRIGGER, sentence) or name in ("apache2-terms",), sentence

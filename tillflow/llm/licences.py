@@ -1,13 +1,17 @@
 """Licences in texts by sentence rules, in DataFrame functions only.
 
-A text is cut into sentences, each is normalised (lower case, punctuation and white space squeezed) and looked up among the
-known licence sentences. The identifiers found, in the order of the text, form a sequence in which the licence rules are
+A text is normalised (lower case, comment marks at the beginnings of lines, punctuation and white space squeezed) and
+searched for the known licence sentences. A full stop, exclamation or question mark before white space ends a sentence. The
+end of a line and a semicolon may begin or end one as well, or stand inside: licences are wrapped, references are not. Of two
+known sentences that begin at the same place the longer one counts. The identifiers found, in the order of the text, form a sequence in which the licence rules are
 looked for in their order; a rule takes the identifiers it matches, so that a longer rule stands before one that is
 part of it. Identifiers that no rule takes are reported as well.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,9 +64,23 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
 
 #: Every known sentence holds one of these words, so texts without any need no further look.
 TRIGGER = "(?i)licen[sc]e|permission|copyright|warranty|software|redistribution|reserved"
+#: Sentences of one line, as the oracle SQL cuts them.
 SENTENCE_END = r"[.!?;]+(?:[ \t\n\r\f]|$)|\n"
 NOT_NORMAL = "[^a-z0-9.]+"
 
+#: A bar is put where a sentence must end, a tilde where it may. No match is tried from the middle of a run.
+_STEPS = (
+    ("[|~]", " "),
+    (r"(?m)^[ \t]*+(?:\.\\\"|(?:dnl|rem)(?=[ \t])|[#*/;%!<>'\"-]++)", ""),
+    (r"(?<![.!?;]);++(?:[ \t\n\r\f]|$)", " ~ "),
+    (r"(?<![.!?;])[.!?;]++(?:[ \t\n\r\f]|$)", " | "),
+    (r"[\n\r\f]", "~"),
+    ("(?<![^a-z0-9.|])[^a-z0-9.|~]*+~[^a-z0-9.|]*+", " ~ "),
+    ("[^a-z0-9.|~]+", " "),
+)
+_WORDED = "|".join("(?: ~)? ".join(map(re.escape, s.split(" "))) for s in sorted(SENTENCES, key=len, reverse=True))
+_KNOWN = f"(?<=[|~] )(?:{_WORDED})(?= [|~])"
+
 
 def sequence(ids: tuple[str, ...]) -> str:
     return "".join(f"<{name}>" for name in ids)
@@ -71,10 +89,14 @@ def sequence(ids: tuple[str, ...]) -> str:
 def identifiers(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in order."""
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
-    sentences = F.transform(
-        F.split(F.lower(text), SENTENCE_END), lambda s: F.trim(F.regexp_replace(s, NOT_NORMAL, " "))
-    )
-    found = F.filter(F.transform(sentences, lambda s: F.try_element_at(known, s)), lambda x: x.isNotNull())
+    normal = F.lower(text)
+    for pattern, mark in _STEPS[:-2]:
+        normal = F.regexp_replace(normal, pattern, mark)
+    normal = F.concat(F.lit("| "), normal, F.lit(" |"))
+    for pattern, mark in _STEPS[-2:]:
+        normal = F.regexp_replace(normal, pattern, mark)
+    found = F.regexp_extract_all(normal, F.lit(_KNOWN), F.lit(0))
+    found = F.transform(found, lambda s: F.try_element_at(known, F.replace(s, F.lit(" ~"), F.lit(""))))
     return F.when(F.rlike(text, F.lit(TRIGGER)), found).otherwise(F.array().cast("array<string>"))
 
 
