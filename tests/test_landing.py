@@ -9,8 +9,9 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tillflow.operators.bronze import to_bronze
+from tillflow.plans import queries
 from tillflow.schemas import BRONZE, ITEMS_FILE, ORDERS_FILE
-from tillflow.sources import landing
+from tillflow.sources import bench, landing
 
 HEADER = "Id_Unidade;Id_Pedido;Tipo_Pedido;Data_Pedido;Vlr_Pedido;Endereco_Entrega;Taxa_Entrega;Status"
 LINE = "1;{};Loja Online;2026-01-15;42.90;Rua A;5.00;Finalizado"
@@ -193,3 +194,21 @@ def test_timestamps_give_their_day_and_odd_lines(spark, drop):
         ("B", "2026-01-15", "Rua A"),
         ("C", "2026-01-15", 'Rua "A'),
     ]
+
+
+def test_a_month_above_the_size_limit_is_dealt_to_several_files(spark, monkeypatch):
+    cells = {
+        "Id_Unidade": "1", "Tipo_Pedido": "'Loja Online'", "Data_Pedido": "'1997-03-04'", "Vlr_Pedido": "'10.00'", "Taxa_Entrega": "'1.00'",
+        "Status": "'Finalizado'", "Id_Pedido": "id div 2", "Endereco_Entrega": "repeat('x', 200)", "_source_file": "'raw/csv_sales/1997/03/pedido.csv'",
+    }
+
+    def raw(n):
+        return spark.range(n).selectExpr(*[f"CAST({sql} AS STRING) AS {name}" for name, sql in cells.items()], "id AS _row")
+
+    whole = bench.landing_texts(raw(50_000), ORDERS_FILE).agg(F.max(F.octet_length("value")), F.sum(F.octet_length("value"))).first()
+    assert whole[0] < landing.MAX_FILE_BYTES / 2 < landing.MAX_FILE_BYTES < whole[1]
+    monkeypatch.setattr(bench, "PART_ROWS", 50)
+    found = queries._landed(ORDERS_FILE, lambda spark, folder: raw(400))(spark, "no folder")
+    assert [tuple(r) for r in found.groupBy("source_file").agg(F.count("*"), F.countDistinct("Id_Pedido")).collect()] == [
+        ("raw/csv_sales/1997/03/pedido.csv", 200, 200)
+    ]

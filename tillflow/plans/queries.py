@@ -134,7 +134,8 @@ def _landed(spec, source: Callable[[SparkSession, str], DataFrame]) -> Query:
         base = f"{shared_dir(ws.spark)}/tillflow/{ws.spark.sparkContext.applicationId}/landing/{uuid.uuid4().hex}"
         ws.store.write_texts(bench.landing_texts(source(ws.spark, folder), spec), f"{base}/{landing.ROOT.rstrip('/')}", spec.base_name)
         found = landing.scan(ws.spark, base, spec)
-        return found.valid.drop("_row").withColumnRenamed("_source_file", "source_file")
+        valid = found.valid.drop("_row").withColumnRenamed("_source_file", "source_file")
+        return valid.withColumn("source_file", bench.month_file(F.col("source_file")))
 
     return _with(run)
 

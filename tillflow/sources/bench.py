@@ -256,8 +256,15 @@ def dotted_names(spark: SparkSession, folder: str) -> DataFrame:
     return load(spark, folder, "events").select("event_id", name.alias("dotted"))
 
 
+#: Rows of a landing file, on average; a row has some 200 bytes.
+PART_ROWS = 2_000
+
+
 def landing_texts(raw: DataFrame, spec: FileSpec) -> DataFrame:
-    """The text of each file of a raw frame, as ``year, month, value``; one file is a month, and stays small.
+    """The text of each file of a raw frame, as ``year, month, part, value``.
+
+    A month is dealt by key to files of some PART_ROWS rows, so that no file nears the size limit of landing files however
+    large the table is, and rows of equal keys stay in one file, in their order.
 
     Files of 1997 have forty more columns in front, those of 1998 an unnamed one in the middle, and the first one
     of 1999 lacks its last column.
@@ -273,7 +280,24 @@ def landing_texts(raw: DataFrame, spec: FileSpec) -> DataFrame:
         special = F.when(year == "1997", wide).when(year == "1998", gap).when((year == "1999") & (month == "01"), short)
         return special.otherwise(plain)
 
-    lines = raw.select(year.alias("year"), month.alias("month"), "_row", line(cells).alias("line"), line([F.lit(c) for c in spec.columns]).alias("head"))
-    files = lines.groupBy("year", "month").agg(F.sort_array(F.collect_list(F.struct("_row", "line"))).alias("lines"), F.first("head").alias("head"))
+    lines = raw.select(
+        year.alias("year"),
+        month.alias("month"),
+        F.xxhash64(spec.key).alias("_hash"),
+        "_row",
+        line(cells).alias("line"),
+        line([F.lit(c) for c in spec.columns]).alias("head"),
+    )
+    parts = lines.groupBy("year", "month").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).alias("_parts"))
+    part = F.format_string("shop-%06d", F.pmod("_hash", "_parts"))
+    dealt = lines.join(parts, ["year", "month"]).withColumn("part", part)
+    files = dealt.groupBy("year", "month", "part").agg(
+        F.sort_array(F.collect_list(F.struct("_row", "line"))).alias("lines"), F.first("head").alias("head")
+    )
     body = F.array_join(F.transform("lines", lambda x: x["line"]), "\n")
-    return files.select("year", "month", F.concat("head", F.lit("\n"), body).alias("value"))
+    return files.select("year", "month", "part", F.concat("head", F.lit("\n"), body).alias("value"))
+
+
+def month_file(path: Column) -> Column:
+    """The name of the month that a part file of :func:`landing_texts` belongs to."""
+    return F.regexp_replace(path, "/shop-[0-9]+/", "/")
