@@ -68,3 +68,15 @@ def test_no_rows_repeats_and_extra_columns(spark):
     assert judged(spark, []) == {}
     pages = spark.createDataFrame([(1, "http://a.net/", None, "x")] * 3 + [(None, None, None, None)], PAGES + ", rule string")
     assert sorted(str(r["rule"]) for r in url_filter.judge(pages).collect()) == ["None", "net/", "net/", "net/"]
+
+
+def test_registered_query_follows_long_chains_and_hot_targets(spark, tmp_path):
+    from tillflow.llm.queries import op6_url_filter
+
+    blocked = next(h + p for h, p, v in url_filter.RULES if v == "block")
+    chain = [(i, f"http://c{i}.example/", link(f"http://c{i + 1}.example/" if i < 40 else f"http://{blocked}")) for i in range(41)]
+    hot = [(100 + i, f"http://h{i}.example/", link("http://hot.example/")) for i in range(300)]
+    end = [(500, "http://hot.example/", link(f"http://{blocked}x")), (501, "http://alone.example/", "")]
+    spark.createDataFrame([*chain, *hot, *end], PAGES).write.parquet(str(tmp_path / "pages.parquet"))
+    found = op6_url_filter(spark, str(tmp_path)).collect()
+    assert {r["page_id"]: r["verdict"] for r in found} == {i: "allow" if i == 501 else "block" for i, _, _ in [*chain, *hot, *end]}
