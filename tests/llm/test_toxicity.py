@@ -1,0 +1,137 @@
+from __future__ import annotations
+
+import random
+import re
+import zlib
+
+import pytest
+from conftest import MIDDLE
+from helpers import by_id, documents, frame
+
+from tillflow.llm import toxicity
+from tillflow.llm.queries import registry
+
+LABELS = "doc_id bigint, quality int, toxic int"
+PLAIN = toxicity.Model(toxicity.given_lexicon(), toxicity.PLAIN_CURVE)
+
+
+def score(text):
+    import numpy as np
+
+    return float(PLAIN.score(np.array([PLAIN.evidence(text)], float))[0])
+
+
+def test_clauses_not_words_decide():
+    """Target, negation, report and announcement, each against the same words without it."""
+    assert score("you are an idiot") > score("an idiot film of nobody") > score("you are not an idiot") > score("a fine film")
+    assert score("you are an idiot") > score("he wrote that you are an idiot")
+    assert score("I will kill you") > 0.3 > score("how to kill a process")
+    assert score("I will never kill you") < 0.3
+    assert score("an idiot you are") > score("an idiot film of nobody")
+    # A negation or report holds in its clause only.
+    assert score("it is not late. you idiot") == score("it is so late. you idiot")
+    assert score("not bad, but you idiot") == score("so bad, but you idiot")
+    assert score("they said so; you idiot") == score("they knew so; you idiot")
+
+
+def test_more_evidence_never_scores_lower():
+    scores = [score("you idiot. " * n + "word " * 50) for n in range(6)]
+    assert scores == sorted(scores) and scores[0] < toxicity.THRESHOLD < scores[-1]
+
+
+@pytest.mark.parametrize("text", ["", None, " ", "…!?", "\x00", "123"])
+def test_texts_without_words(text):
+    assert PLAIN.evidence(text) == (0.0, 0.0, 0)
+
+
+def reference(symbols):
+    """The factors of a clause by reading the rules word by word, without states."""
+    total = 0.0
+    for i, (symbol, weight) in enumerate(symbols):
+        if symbol not in (toxicity.INSULT, toxicity.THREAT):
+            continue
+        insult = symbol == toxicity.INSULT
+
+        def opened(by, reach, i=i):
+            return any(s == by for s, _ in symbols[max(0, i - reach) : i])
+
+        factor = 1.2 if insult and i and any(s == toxicity.INSULT for s, _ in symbols[i - 1 : i]) else 1.0
+        factor *= 10.0 if not insult and opened(toxicity.ANNOUNCEMENT, 4) else 1.0
+        factor *= (1.3 if insult else 2.0) if opened(toxicity.TARGET, 4) else 1.0
+        factor *= (0.3 if insult else 0.2) if opened(toxicity.NEGATION, 3) else 1.0
+        factor *= (0.5 if insult else 0.3) if opened(toxicity.REPORT, i) else 1.0
+        factor *= (1.1 if insult else 2.0) if any(s == toxicity.TARGET for s, _ in symbols[i + 1 : i + 4]) else 1.0
+        total += weight * factor
+    return total
+
+
+def test_composition_is_the_rules_read_one_by_one():
+    draw = random.Random(2)
+    for _ in range(2000):
+        symbols = [(s, float(draw.randrange(1, 5)) if s in (toxicity.INSULT, toxicity.THREAT) else 0.0) for s in draw.choices(range(7), k=draw.randrange(15))]
+        assert toxicity.clause_score(symbols, PLAIN.forward, PLAIN.backward) == pytest.approx(reference(symbols))
+
+
+def sample(spark, copies=0):
+    """Documents of random words; half of the toxic ones hold ``zork…``, the copies share a passage."""
+    draw = random.Random(1)
+    words = [a + b + c for a in ("ba", "no", "ti") for b in ("lor", "min", "sat") for c in ("a", "es", "um")]
+    rows, labels = [], []
+    for i in range(400):
+        text = draw.choices(words, k=60)
+        if i % 4 == 0:
+            for _ in range(3):
+                text.insert(draw.randrange(60), draw.choice(["zorka", "zorkum", "zorkes"]))
+        rows.append((i, " ".join(text), "x", "s", 1))
+        labels.append((i, 0, int(i % 4 == 0)))
+    passage = "perfectly harmless passage about gardening and weather"
+    for i in range(400, 400 + copies):
+        rows.append((i, passage, "x", "s", 1))
+        labels.append((i, 0, 1))
+    return frame(spark, rows), frame(spark, labels, LABELS)
+
+
+def test_stems_are_learnt_but_copied_passages_are_not(spark):
+    docs, labels = sample(spark, copies=60)
+    stems = toxicity.learn_stems(docs.join(labels, "doc_id").select("text", "toxic"), toxicity.given_lexicon())
+    assert any(s.startswith("zork") for s in stems)
+    assert not any(s in "harmless passage gardening weather perfectly" for s in stems)
+
+
+def test_held_out_labels_are_not_read(spark):
+    docs, labels = sample(spark)
+    turned = labels.selectExpr("doc_id", "quality", "CASE WHEN crc32(CAST(doc_id AS STRING)) % 4 = 2 THEN 1 - toxic ELSE toxic END AS toxic")
+    seen = [by_id(toxicity.learn_and_score(docs, given)) for given in (labels, turned)]
+    assert {i: r["score"] for i, r in seen[0].items()} == {i: r["score"] for i, r in seen[1].items()}
+    held = [i for i in seen[0] if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert {i for i, r in seen[0].items() if r["held_out"]} == set(held)
+    assert all(seen[0][i]["predicted"] == (i % 4 == 0) for i in held)
+
+
+def test_odd_rows_and_tables(spark):
+    rows = [(1, None, None, None, None), (1, "you idiot", "en", "s", 1), (None, "you idiot", None, None, None), (2, "", "en", "s", 0), (1, "you idiot", "en", "s", 1)]
+    docs = frame(spark, rows).selectExpr("*", "1 AS score", "2 AS predicted", "'x' AS `a.b`")
+    labels = frame(spark, [(1, 0, 1), (1, 1, 0), (None, 0, 1), (2, None, None), (3, 0, 7)], LABELS)
+    found = toxicity.learn_and_score(docs, labels).collect()
+    assert len(found) == len(rows) and all((r["predicted"] == 1) == (r["text"] == "you idiot") for r in found)
+    assert toxicity.learn_and_score(documents(spark), labels).collect() == []
+    assert toxicity.learn_and_score(docs, labels.limit(0)).count() == len(rows)
+
+
+def test_a_very_long_text():
+    assert PLAIN.evidence("word. " * 300_000 + "you idiot")[0] > 3
+    assert PLAIN.evidence("you idiot " * 100_000)[2] == 200_000
+
+
+def test_query_on_the_held_out_fold(spark):
+    found = by_id(registry()["op12_toxicity"](spark, MIDDLE))
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{MIDDLE}/labels.parquet").collect()}
+    held = [i for i, r in found.items() if r["held_out"] and i in labels]
+    clean = [found[i]["predicted"] for i in held if not labels[i]]
+    toxic = [found[i]["predicted"] for i in held if labels[i]]
+    assert sum(clean) <= 0.02 * len(clean) and sum(toxic) >= 0.6 * len(toxic)
+
+
+def test_given_words_are_lower_case_words():
+    for words in (toxicity.INSULTS, toxicity.THREATS, toxicity.ANNOUNCEMENTS, toxicity.TARGETS, toxicity.NEGATIONS, toxicity.REPORTS):
+        assert all(re.fullmatch(r"[^\W\d_]+\*?", w) and w == w.lower() for w in words)

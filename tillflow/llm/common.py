@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,3 +65,26 @@ def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+def with_text_columns(docs: DataFrame, added: dict[str, str], compute: Callable[[pa.Array], Iterator[list[pa.Array]]]) -> DataFrame:
+    """``docs`` with the columns ``added`` (name and type), which ``compute`` makes of the column ``text`` batch by batch.
+
+    ``compute`` gets the texts of a batch and yields the new columns for the first rows, then the next ones, until all are
+    done. Columns that have an added name are replaced; others pass through under whatever names they have.
+    """
+    docs = docs.drop(*added)
+    names, at = docs.columns, docs.columns.index("text")
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    inner = plain.select("*", *[F.lit(None).cast(kind).alias(f"a{i}") for i, kind in enumerate(added.values())])
+    labels, schema = inner.columns, inner.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for columns in compute(batch.column(at)):
+                own = batch.slice(done, len(columns[0]))
+                done += len(columns[0])
+                yield pa.RecordBatch.from_arrays([*own.columns, *columns], labels)
+
+    return plain.mapInArrow(run, schema).toDF(*names, *added)

@@ -8,7 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillflow.llm import hnsw_dedup, kd_shards, lang_id, licences, mixing, near_dedup, oracles, pieces, pii, url_filter, va_search
+from tillflow.llm import (
+    hnsw_dedup,
+    importance,
+    kd_shards,
+    lang_id,
+    licences,
+    mixing,
+    near_dedup,
+    oracles,
+    periodic_runs,
+    pieces,
+    pii,
+    toxicity,
+    url_filter,
+    va_search,
+)
 from tillflow.llm.common import table
 from tillflow.llm.tokenizers import tokenizer_model
 
@@ -78,8 +93,22 @@ def op10_hnsw_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return hnsw_dedup.near_vectors(table(spark, folder, "embeddings"))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.collapse_runs(periodic_runs.plant(table(spark, folder, "documents"))))
+
+
+def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return toxicity.learn_and_score(docs, table(spark, folder, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    ranked = importance.rank_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return ranked.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def registry() -> dict[str, Query]:
-    found = [op1_minhash_near_dedup, op2_mix_sources, op3_sentencepiece, op4_kd_shards, op5_licence_scan, op6_url_filter, op7_personal_data, op8_exact_top_k, op9_language_id, op10_hnsw_near_dedup]
+    found = [op1_minhash_near_dedup, op2_mix_sources, op3_sentencepiece, op4_kd_shards, op5_licence_scan, op6_url_filter, op7_personal_data, op8_exact_top_k, op9_language_id, op10_hnsw_near_dedup, op11_periodic_runs, op12_toxicity, op13_importance_resampling]
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 
 
