@@ -118,8 +118,7 @@ def test_quarantine_keeps_the_lines(spark, drop):
     drop("good", HEADER, LINE.format("A"))
     path = drop("bad", HEADER, LINE.format("D").replace("Finalizado", "?"), "tail")
     found = landing.scan(spark, path, ORDERS_FILE)
-    texts = landing.read_texts(spark, path, ORDERS_FILE)
-    kept = landing.quarantine_lines(texts, found.rejected).orderBy("line_position")
+    kept = landing.quarantine_lines(found.rejected).orderBy("line_position")
     assert rows(kept, "line") == [(HEADER,), (LINE.format("D").replace("Finalizado", "?"),), ("tail",)]
 
 
@@ -129,7 +128,7 @@ def test_load_appends_and_quarantines(spark, store, drop):
     for _ in range(2):
         landing.load(spark, path, ORDERS_FILE, store, as_of=datetime(2026, 1, 16))
     assert rows(store.read("bronze.orders"), "id_pedido") == [("A",), ("A",)]
-    reports = spark.read.json(store.path("quarantine.reports"))
+    reports = store.read("quarantine.reports").drop("_report_date")
     assert rows(reports.distinct(), "source_file", "report_path") == [
         ("raw/csv_sales/bad/pedido.csv", "quarantine/bad/pedido_error.json")
     ]
@@ -212,3 +211,96 @@ def test_a_month_above_the_size_limit_is_dealt_to_several_files(spark, monkeypat
     assert [tuple(r) for r in found.groupBy("source_file").agg(F.count("*"), F.countDistinct("Id_Pedido")).collect()] == [
         ("raw/csv_sales/1997/03/pedido.csv", 200, 200)
     ]
+
+
+def test_records_of_every_shape(spark, drop):
+    """Quotes with text behind them, missing ends, spaces after quotes, short and empty records, blank lines of all kinds."""
+    odd = ["", "   ", "\r", '"A";I1;1;2;3.00;"x;""y""\nz"', '"B"b;I2;1;2;3.00;', '"C"  ;I3;1;2;3.00;"last"\r', "D;I4;1;2;3.00", ";;;;;", 'E;I5;1;2;3.00;Rua "A']
+    names = "Id_Pedido;Id_Item_Pedido;Id_Produto;Qtd;Vlr_Item;Observacao"
+    path = drop("u1", names, *odd, name="item_pedido.csv")
+    drop("blanks", "  ", "\r", names, *odd, name="item_pedido.csv")
+    drop("returns", name="item_pedido.csv")
+    with open(f"{path}/returns/item_pedido.csv", "w", encoding="utf-8", newline="") as file:
+        file.write("\r".join([names, "A;I1;1;2;3.00;x", "B;I2;1;2;3.00;y"]))
+    drop("endless", names, "A;I1;1;2;3.00;", 'B;"I2;1;2;3.00;', "C;I3;1;2;3.00;", name="item_pedido.csv")
+    drop("endless_last", names, "A;I1;1;2;3.00;", 'B;I2;1;2;3.00;"x', "C;I3;1;2;3.00;", name="item_pedido.csv")
+    drop("surplus", names, "A;I1;1;2;3.00;;", name="item_pedido.csv")
+    found = landing.scan(spark, path, ITEMS_FILE)
+    expected = [("A", "I1", 'x;"y"\nz'), ("Bb", "I2", None), ("C", "I3", "last"), ("D", "I4", None), ("E", "I5", 'Rua "A')]
+    seen = {}
+    for unit, *cells in rows(found.valid, F.split("_source_file", "/")[2], "Id_Pedido", "Id_Item_Pedido", "Observacao"):
+        seen.setdefault(unit, []).append(tuple(cells))
+    assert {u: sorted(c) for u, c in seen.items()} == {"u1": expected, "blanks": expected, "returns": [("A", "I1", "x"), ("B", "I2", "y")]}
+    failed = landing.PROCESSING_FAILED
+    assert errors(found) == {"endless": failed, "endless_last": failed, "surplus": failed}
+    assert rows(found.report.filter("source_file LIKE '%u1%'"), "rows_read", "null_required") == [(6, 1)]
+
+
+def test_very_wide_headers(spark, drop, monkeypatch):
+    monkeypatch.setattr(landing, "WIDE", 10)
+    names = ";".join(f"X{i}" for i in range(30))
+    path = drop("u1", f"{HEADER};{names}", LINE.format("A") + ";" * 30, LINE.format("B"))
+    drop("too_wide", f"{HEADER};{names}", LINE.format("C") + ";" * 31)
+    drop("lacks_a_column", f"{names};{HEADER.removesuffix(';Status')}", "x")
+    found = landing.scan(spark, path, ORDERS_FILE)
+    assert sorted(rows(found.valid, "Id_Pedido", "Status")) == [("A", "Finalizado"), ("B", "Finalizado")]
+    assert errors(found) == {"too_wide": landing.PROCESSING_FAILED, "lacks_a_column": "No valid rows after validation"}
+
+
+def test_time_is_linear_in_a_file(spark, drop, tmp_path):
+    """Twice the rows take at most 2.5 times as long, up to a file near the size limit."""
+    import time
+
+    def seconds(n):
+        path = drop(f"n{n}/raw/csv_sales/u", HEADER, *[LINE.format(f"O{i}") for i in range(n)])
+        folder = f"{path}/n{n}"
+        best = []
+        for _ in range(3):
+            started = time.perf_counter()
+            found = landing.scan(spark, folder, ORDERS_FILE)
+            assert found.valid.count() == n
+            best.append(time.perf_counter() - started)
+        return min(best)
+
+    seconds(1000)
+    half, whole = seconds(85_000), seconds(170_000)  # 5 and 10 MB
+    assert whole <= 2.5 * half and whole < 30
+
+
+def test_lines_are_numbered_over_splits(spark, drop):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        path = drop("u1", *[f"line {i} " + "x" * (i % 50) for i in range(500)])
+        drop("u2", "one", "two")
+        files = [r[0] for r in landing.due_files(spark, path, ORDERS_FILE).select("source_file").collect()]
+        found = rows(landing.lines_of(spark, files).orderBy("file", "line_position"), "line_position", "line")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found == [(i, f"line {i} " + "x" * (i % 50)) for i in range(500)] + [(0, "one"), (1, "two")]
+    assert landing.lines_of(spark, []).count() == 0
+
+
+@pytest.mark.parametrize("fails_at", ["bronze.orders", "quarantine.reports", "quarantine.lines"])
+def test_a_load_that_fails_between_its_tables_leaves_nothing(spark, store, drop, monkeypatch, fails_at):
+    from tillflow.sources.tables import Transaction
+
+    drop("good", HEADER, LINE.format("A"))
+    path = drop("bad", HEADER, LINE.format("D").replace("Finalizado", "?"))
+    append = Transaction.append
+
+    def failing(self, name, *args, **options):
+        append(self, name, *args, **options)
+        if name == fails_at:
+            raise RuntimeError("killed")
+
+    batch = ("orders of 2026-01-15", 0)
+    monkeypatch.setattr(Transaction, "append", failing)
+    with pytest.raises(RuntimeError, match="killed"):
+        landing.load(spark, path, ORDERS_FILE, store, as_of=datetime(2026, 1, 16), batch=batch)
+    assert not store.exists("bronze.orders")
+    monkeypatch.setattr(Transaction, "append", append)
+    for first in (True, False, False):
+        assert landing.load(spark, path, ORDERS_FILE, store, as_of=datetime(2026, 1, 16), batch=batch) is first
+    assert rows(store.read("bronze.orders"), "id_pedido") == [("A",)]
+    assert store.read("quarantine.reports").count() == 1 and store.read("quarantine.lines").count() == 2

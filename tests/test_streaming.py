@@ -56,7 +56,7 @@ def test_rejected_files_go_to_quarantine(spark, store, drop, tmp_path):  # noqa:
     drop("u1", HEADER, LINE.format("A"))
     path = drop("u2", HEADER, LINE.format("B").replace("Finalizado", "?"))
     run(spark, path, store, tmp_path / "cp")
-    reports = spark.read.json(store.path("quarantine.reports"))
+    reports = store.read("quarantine.reports")
     assert rows(reports, "source_file", "error") == [("raw/csv_sales/u2/pedido.csv", "No valid rows after validation")]
     kept = store.read("quarantine.lines").orderBy("line_position")
     assert rows(kept, "line") == [(HEADER,), (LINE.format("B").replace("Finalizado", "?"),)]
@@ -69,30 +69,43 @@ def test_a_repeated_batch_changes_nothing_and_empty_cells_survive(spark, store,
     path = drop("u2", HEADER, bad)
     texts = landing.read_texts(spark, path, ORDERS_FILE)
     for _ in range(3):
-        ingest.load_batch(texts, ORDERS_FILE, store, as_of=NOW, batch="orders_x_0", path=path)
+        ingest.load_batch(texts, ORDERS_FILE, store, as_of=NOW, batch=("orders_x", 0))
     assert rows(store.read("bronze.orders"), "id_pedido") == [("A",)]
-    reports = spark.read.json(store.path("quarantine.reports"))
+    reports = store.read("quarantine.reports")
     assert sorted(rows(reports, "source_file")) == [("raw/csv_sales/empty/pedido.csv",), ("raw/csv_sales/u2/pedido.csv",)]
     assert rows(store.read("quarantine.lines").orderBy("line_position"), "line") == [(HEADER,), (bad,)]
 
 
-def test_a_batch_that_failed_half_way_is_completed(spark, store, drop):  # noqa: F811
+def test_a_batch_that_failed_half_way_is_done_again(spark, store, drop):  # noqa: F811
     drop("u2", HEADER, LINE.format("D").replace("Finalizado", "?"))
     path = drop("u1", HEADER, LINE.format("A"))
     texts = landing.read_texts(spark, path, ORDERS_FILE)
-    now, _ = ingest.batch_time(spark, store, "orders_x_1", NOW)
-    store.append("bronze.orders", to_bronze(landing.scan(spark, path, ORDERS_FILE).valid, ORDERS_FILE, now), "_ingest_date")
-    ingest.load_batch(texts, ORDERS_FILE, store, as_of=NOW, batch="orders_x_1", path=path)
+    killed = store.transaction(("orders_x", 1))
+    killed.__enter__().append("bronze.orders", to_bronze(landing.scan(spark, path, ORDERS_FILE).valid, ORDERS_FILE, NOW), "_ingest_date")
+    ingest.load_batch(texts, ORDERS_FILE, store, as_of=NOW, batch=("orders_x", 1))
     assert store.read("bronze.orders").count() == 1
     assert store.read("quarantine.lines").count() == 2
 
 
+def test_a_batch_lists_the_days_of_its_files_only(spark, store, drop, tmp_path, monkeypatch):  # noqa: F811
+    listed, whole = [], ingest.list_beside
+    monkeypatch.setattr(ingest, "list_beside", lambda spark, folders, name: listed.extend(folders) or whole(spark, folders, name))
+    drop("d2/empty")
+    path = drop("d1/u1", HEADER, LINE.format("A"))
+    run(spark, path, store, tmp_path / "cp")
+    assert [folder.rpartition("/")[2] for folder in listed] == ["d1"] and store.read("quarantine.reports").count() == 0
+    drop("d2/u1", HEADER, LINE.format("B"))
+    drop("d2/u2", HEADER, LINE.format("C"))
+    run(spark, path, store, tmp_path / "cp")
+    assert rows(store.read("quarantine.reports"), "source_file") == [("raw/csv_sales/d2/empty/pedido.csv",)]
+
+
 def test_size_limit_in_the_stream(spark, store, drop, tmp_path):  # noqa: F811
     drop("u1", HEADER, LINE.format("A"))
     path = drop("big", HEADER, *[LINE.format(f"E{i}") for i in range(50)])
     ingest.ingest_stream(spark, path, ORDERS_FILE, store, str(tmp_path / "cp"), as_of=NOW, max_bytes=2000).awaitTermination()
     assert rows(store.read("bronze.orders"), "id_pedido") == [("A",)]
-    assert rows(spark.read.json(store.path("quarantine.reports")), "source_file") == [("raw/csv_sales/big/pedido.csv",)]
+    assert rows(store.read("quarantine.reports"), "source_file") == [("raw/csv_sales/big/pedido.csv",)]
     assert store.read("quarantine.lines").count() == 51
 
 

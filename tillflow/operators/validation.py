@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillflow.functions.numbers import count_where
-from tillflow.functions.text import present, typed
+from tillflow.functions.text import typed
 from tillflow.schemas import FileSpec
 
 NO_VALID_ROWS = "No valid rows after validation"
@@ -108,12 +108,3 @@ def quarantine_report(rejected: DataFrame, as_of) -> DataFrame:
 def missing_columns(header: Column, spec: FileSpec) -> Column:
     """Required header names that ``header``, an array of names, does not hold."""
     return F.array_except(F.array(*[F.lit(name) for name in spec.columns]), header)
-
-
-def cells_by_name(header: Column, cells: Column, spec: FileSpec) -> list[Column]:
-    """Cells in the order of the spec, found by header name; a name the header lacks gives null."""
-    picked = []
-    for name in spec.columns:
-        at = F.array_position(header, F.lit(name)).cast("int")
-        picked.append(present(F.when(at > 0, F.try_element_at(cells, at))).alias(name))
-    return picked

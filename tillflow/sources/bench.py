@@ -256,8 +256,8 @@ def dotted_names(spark: SparkSession, folder: str) -> DataFrame:
     return load(spark, folder, "events").select("event_id", name.alias("dotted"))
 
 
-#: Rows of a landing file, on average; a row has some 200 bytes.
-PART_ROWS = 2_000
+#: Rows of a landing file, on average; a row has some 80 to 350 bytes, and files stay below the limit of 10 MB.
+PART_ROWS = 15_000
 
 
 def landing_texts(raw: DataFrame, spec: FileSpec) -> DataFrame:

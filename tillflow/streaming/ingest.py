@@ -1,34 +1,24 @@
 """Files are taken in as they land: micro-batches of new files, validated like a batch load.
 
-The file source's checkpoint remembers which files were taken. A batch notes its time before it writes; when it is
-repeated after a failure it takes that time again and leaves out the files whose rows are already there under it, so a
-repeat changes nothing. A file that is delivered again is a new file: its rows are appended, and the silver layer keeps one
-row per key. Items are kept even when their order has not landed yet; the silver layer decides. Files of zero bytes,
-which Spark's sources do not show, are rejected with the batch that follows them.
+The file source's checkpoint remembers which files were taken. A batch is one entry of the store's log, named by the stream and
+the batch's number: a batch that failed has left nothing, and one that is repeated after it was committed does nothing. A
+file that is delivered again is a new file: its rows are appended, and the silver layer keeps one row per key. Items are
+kept even when their order has not landed yet; :mod:`tillflow.streaming.late_items` holds them back, or the silver layer
+decides. Files of zero bytes, which Spark's sources do not show, are rejected with the first batch that has
+files of their day.
 """
 
 from __future__ import annotations
 
 import hashlib
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillflow.schemas import FileSpec
-from tillflow.sources.landing import (
-    MAX_FILE_BYTES,
-    ROOT,
-    due_files,
-    long_lines,
-    process,
-    quarantine_lines,
-    relative_path,
-    store_landing,
-    whole_files,
-)
-from tillflow.sources.tables import TableStore
+from tillflow.sources.landing import MAX_FILE_BYTES, ROOT, process, relative_path, route, store_landing, whole_files
+from tillflow.sources.tables import TableStore, list_beside
 
 
 def file_texts(spark: SparkSession, path: str, spec: FileSpec, root: str = ROOT, files_per_batch: int = 1000) -> DataFrame:
@@ -36,22 +26,24 @@ def file_texts(spark: SparkSession, path: str, spec: FileSpec, root: str = ROOT,
     return whole_files(spark.readStream.option("maxFilesPerTrigger", files_per_batch), path, spec, root)
 
 
-def batch_time(spark: SparkSession, store: TableStore, batch: str, as_of=None) -> tuple[datetime, bool]:
-    """The time a batch was first started, and whether it was started before."""
-    note = f"batches.{batch}"
-    if store.exists(note):
-        return store.read(note).first()[0], True
-    now = as_of or datetime.now(timezone.utc)
-    store.write(note, spark.createDataFrame([(now,)], "started timestamp"))
-    return store.read(note).first()[0], False
+def empty_files(due: DataFrame, spec: FileSpec, store: TableStore, root: str = ROOT) -> DataFrame:
+    """Files of zero bytes beside the files of a batch that are not reported yet: ``source_file, length``.
 
-
-def _without_taken(frame: DataFrame, column: str, store: TableStore, name: str, taken=None) -> DataFrame:
-    """Rows of files that a table does not hold yet."""
-    if not store.exists(name):
-        return frame
-    rows = store.read(name) if taken is None else store.read(name).filter(taken)
-    return frame.join(rows.select(F.col(column)).distinct(), column, "left_anti")
+    A shop has a folder of its own in the folder of a day, so the days of the batch's files are listed, no others, and only
+    the reports that are younger than the empty files are read.
+    """
+    spark = due.sparkSession
+    days = due.select(F.regexp_replace("source_file", "/[^/]*/[^/]*$", "")).distinct().collect()
+    found = list_beside(spark, [row[0] for row in days], spec.base_name).filter("length = 0")
+    found = found.filter(route(F.col("path"), root) == spec.table).select(F.col("uri").alias("source_file"), "length", "modificationTime").collect()
+    if not found:
+        return due.select("source_file", "length").limit(0)
+    empty = spark.createDataFrame([(f[0], f[1]) for f in found], "source_file string, length bigint")
+    if not store.exists("quarantine.reports"):
+        return empty
+    since = F.date_sub(F.lit(min(f[2] for f in found)).cast("date"), 1)
+    known = store.read("quarantine.reports").filter(F.col("_report_date") >= since).select(F.col("source_file").alias("_known"))
+    return empty.join(known, relative_path(F.col("source_file"), root) == F.col("_known"), "left_anti")
 
 
 def load_batch(
@@ -61,44 +53,22 @@ def load_batch(
     root: str = ROOT,
     as_of=None,
     max_bytes: int = MAX_FILE_BYTES,
-    batch: str = "",
-    path: str | None = None,
+    batch: tuple[str, int] | None = None,
 ) -> None:
-    """Validate one micro-batch; valid rows go to bronze, rejected files to quarantine.
+    """Validate one micro-batch; valid rows go to bronze, rejected files to quarantine, all at once.
 
-    ``batch`` names the batch over all its attempts. ``path`` is the folder to look for empty files in.
+    ``batch`` names the batch over all its attempts.
     """
-    spark = texts.sparkSession
-    if batch:
-        as_of, again = batch_time(spark, store, batch, as_of)
-    else:
-        again = False
-    small = texts.filter(F.col("size") <= max_bytes).persist()  # the large ones are never held as one text
+    if batch and store.committed(batch):
+        return
+    due = texts.select(F.col("file").alias("source_file"), F.col("size").alias("length")).persist()
     try:
-        due = texts.select(F.col("file").alias("source_file"), F.col("size").alias("length"))
-        if path is not None:
-            empty = due_files(spark, path, spec, root).filter("length = 0").withColumn("_name", relative_path(F.col("source_file"), root))
-            empty = empty.withColumnRenamed("source_file", "_path").withColumnRenamed("_name", "source_file")
-            if store.has_files("quarantine.reports"):
-                known = spark.read.schema("source_file string").json(store.path("quarantine.reports")).distinct()
-                empty = empty.join(known, "source_file", "left_anti")
-            due = due.union(empty.select(F.col("_path").alias("source_file"), "length"))
-        landing = process(small, due, spec, root, max_bytes)
-        large = [row["file"] for row in texts.filter(F.col("size") > max_bytes).select("file").collect()]
-        more = long_lines(spark, large, spec) if large else None
-        lines = quarantine_lines(small, landing.rejected, root, more)
-        if again:
-            now = F.col("_ingest_timestamp") == F.lit(as_of)
-            valid = _without_taken(landing.valid, "_source_file", store, f"bronze.{spec.table}", now)
-            rejected = landing.rejected
-            if store.has_files("quarantine.reports"):
-                known = spark.read.schema("source_file string").json(store.path("quarantine.reports")).distinct()
-                rejected = rejected.join(known, "source_file", "left_anti")
-            lines = _without_taken(lines, "source_file", store, "quarantine.lines")
-            landing = type(landing)(valid, landing.report, rejected)
-        store_landing(landing, lines, spec, store, as_of)
+        listed = due.unionByName(empty_files(due, spec, store, root))
+        # The large ones are never held as one text.
+        landing = process(texts.filter(F.col("size") <= max_bytes), listed, spec, root, max_bytes)
+        store_landing(landing, spec, store, root, as_of, batch)
     finally:
-        small.unpersist()
+        due.unpersist()
 
 
 def ingest_stream(
@@ -117,7 +87,7 @@ def ingest_stream(
     stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def take(texts: DataFrame, number: int) -> None:
-        load_batch(texts, spec, store, root, as_of, max_bytes, f"{spec.table}_{stream}_{number}", path)
+        load_batch(texts, spec, store, root, as_of, max_bytes, (f"{spec.table}_{stream}", number))
 
     writer = (
         file_texts(spark, path, spec, root, files_per_batch)
