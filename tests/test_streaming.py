@@ -157,3 +157,63 @@ def test_redelivered_events_come_out_once(spark, events, tmp_path):
 def test_last_window_of_the_day_ends_at_zero(spark):
     label = rollup.window_label(F.timestamp_seconds(F.lit(22 * 3600)), 2)
     assert rows(spark.range(1).select(label)) == [("window_2200",)]
+
+
+ITEM = "id_item_pedido string, id_pedido string, _ingest_timestamp timestamp"
+ORDER = "id_pedido string, data_pedido date, _ingest_timestamp timestamp"
+
+
+def test_items_wait_for_their_order_over_restarts(spark, store, tmp_path):
+    from tillflow.streaming import late_items
+
+    def deliver(name, schema, *cells):
+        made = spark.createDataFrame([(*c[:-1], datetime(2026, 1, c[-1])) for c in cells], schema)
+        made.coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+        return late_items.stream_of(spark, str(tmp_path / name), made)
+
+    def states():
+        matches = late_items.match_items(streams["items"], streams["orders"], "3 DAYS", "10 DAYS", "1 HOUR")
+        late_items.store_matches(matches, store, "late", str(tmp_path / "cp"))
+        every = spark.read.schema(ITEM).parquet(str(tmp_path / "items"))
+        return {r.id_item_pedido: r.state for r in late_items.item_states(every, store).collect()}
+
+    day = datetime(2026, 1, 1).date()
+    streams = {"items": deliver("items", ITEM, ("1", "A", 2), ("2", "B", 2), ("3", "C", 2)), "orders": deliver("orders", ORDER, ("A", day, 1))}
+    assert states() == {"1": "released", "2": "waiting", "3": "waiting"}
+    deliver("orders", ORDER, ("B", day, 4))  # the stream was stopped and begins again
+    assert states() == {"1": "released", "2": "released", "3": "waiting"}
+    deliver("items", ITEM, ("4", "A", 9))
+    deliver("orders", ORDER, ("Z", day, 9))
+    assert states() == {"1": "released", "2": "released", "3": "expired", "4": "released"}
+    assert store.read(late_items.RELEASED).count() == 3 and store.read(late_items.EXPIRED).count() == 1
+    assert states()["4"] == "released" and store.read(late_items.RELEASED).count() == 3
+
+
+def test_breaches_batch_by_batch_are_those_of_the_batch_operator(spark, tmp_path):
+    import random
+
+    from tillflow.operators import series
+    from tillflow.streaming import breaches
+
+    schema = "event_id long, ts timestamp, host string, name string, value double"
+    draw, folder, cells = random.Random(4), str(tmp_path / "samples"), []
+    minute = 0
+    for i in range(400):
+        minute += draw.choice([0, 0, 1, 1, 1, 2, 9])
+        cells.append((i, datetime(2026, 1, 1) + timedelta(minutes=minute, seconds=draw.randrange(60)), draw.choice("ab"), "cpu", float(draw.choice([10, 50, 60, 70]))))
+    cells += [(900, None, "a", "cpu", 99.0), (901, datetime(2026, 1, 1), "a", "cpu", None)]
+
+    def watch():
+        runs = breaches.watch(spark.readStream.schema(schema).parquet(folder), 40, tie="event_id", delay="30 minutes")
+        breaches.write_runs(runs, str(tmp_path / "runs"), str(tmp_path / "cp"))
+        return breaches.sustained(spark.read.parquet(str(tmp_path / "runs")), 2)
+
+    for at in range(0, len(cells), 81):
+        part = cells[at : at + 81]
+        draw.shuffle(part)
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder)
+        found = watch()
+        every = spark.read.schema(schema).parquet(folder).filter("value IS NOT NULL AND ts IS NOT NULL")
+        expected = series.sustained_breaches(every, 40, 2, order=("ts", "event_id"))
+        assert sorted(rows(found.select(*expected.columns))) == sorted(rows(expected))
+    assert expected.count() > 5

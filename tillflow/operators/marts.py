@@ -220,3 +220,21 @@ def fee_by_channel(fact_sales: DataFrame) -> DataFrame:
     return fact_sales.groupBy("order_type").agg(
         mean(F.col("delivery_fee")).alias("avg_delivery_fee"), total(F.col("delivery_fee")).alias("total_delivery_fees")
     )
+
+
+def units_by_day(fact_sales: DataFrame) -> DataFrame:
+    """The units that sold something on a day as bitmaps, one row for each day and range of unit numbers.
+
+    Bitmaps merge: those of a month are the union of its days', so distinct units of any span come from this table, without the
+    fact. Units are whole numbers from 1 on; a bitmap covers 32,768 of them.
+    """
+    sold = fact_sales.filter("order_date IS NOT NULL AND unit_key IS NOT NULL")
+    return sold.groupBy("order_date", F.bitmap_bucket_number("unit_key").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("unit_key")).alias("units")
+    )
+
+
+def active_units(days: DataFrame, span: Column) -> DataFrame:
+    """Distinct units for each value of ``span``, an expression of ``order_date``, from the bitmaps of the days."""
+    merged = days.groupBy(span.alias("span"), "bucket").agg(F.bitmap_or_agg("units").alias("units"))
+    return merged.groupBy("span").agg(F.sum(F.bitmap_count("units")).alias("active_units"))

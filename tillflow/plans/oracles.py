@@ -811,6 +811,37 @@ for _name in ("orders", "items"):
     SELECTS[f"landing_{_name}"] = f"""SELECT * EXCLUDE (row_position) FROM ({SELECTS[f"validated_{_name}"]}) AS landed
       WHERE source_file <> 'raw/csv_sales/1999/01/{_file}.csv'"""
 
+SELECTS["stream_landing_orders"] = f"""SELECT * FROM ({SELECTS["bronze_orders_lineage"]}) AS landed
+  WHERE _source_file <> 'raw/csv_sales/1999/01/pedido.csv'"""
+SELECTS["stream_quarantine"] = """SELECT source_file, 'No valid rows after validation' AS error, rows_read AS lines_kept FROM file_counts
+  WHERE rows_kept = 0 OR source_file = 'raw/csv_sales/1999/01/pedido.csv'"""
+# An item waits twenty days for its order, and orders are remembered for sixty.
+SELECTS["stream_late_items"] = """SELECT * FROM (
+  WITH seen AS (SELECT id_pedido, ingested_at + CASE WHEN CAST(id_pedido AS BIGINT) % 7 = 0 THEN INTERVAL 90 DAYS ELSE INTERVAL 0 DAYS END AS at FROM b_orders),
+  sent AS (SELECT id_item_pedido, id_pedido, CAST(ingest_date AS TIMESTAMP) AS at FROM b_items),
+  ends AS (SELECT least((SELECT max(at) FROM seen), (SELECT max(at) FROM sent)) - INTERVAL 1 HOUR AS watermark),
+  decided AS (
+    SELECT DISTINCT sent.id_item_pedido, sent.id_pedido, 'released' AS state FROM sent JOIN seen ON sent.id_pedido = seen.id_pedido
+      AND seen.at BETWEEN sent.at - INTERVAL 60 DAYS AND sent.at + INTERVAL 20 DAYS
+    UNION ALL
+    SELECT DISTINCT id_item_pedido, id_pedido, 'expired' FROM sent, ends WHERE sent.at + INTERVAL 20 DAYS < watermark AND NOT EXISTS (
+      SELECT 1 FROM seen WHERE seen.id_pedido = sent.id_pedido AND seen.at BETWEEN sent.at - INTERVAL 60 DAYS AND sent.at + INTERVAL 20 DAYS))
+  SELECT * FROM decided
+  UNION ALL SELECT DISTINCT id_item_pedido, id_pedido, 'waiting' FROM sent AS s
+    WHERE NOT EXISTS (SELECT 1 FROM decided WHERE decided.id_item_pedido = s.id_item_pedido AND decided.id_pedido = s.id_pedido)) AS states"""
+SELECTS["stream_sustained_breach"] = SELECTS["metric_sustained_breach"]
+SELECTS["active_units_by_month"] = "SELECT strftime(order_date, '%Y-%m') AS year_month, count(DISTINCT unit_id) AS active_units FROM s_orders GROUP BY 1"
+# What a refresh or another storage gives is what the full rebuild gives.
+SELECTS |= {
+    "refresh_silver_orders": SELECTS["silver_orders"],
+    "refresh_silver_items": SELECTS["silver_order_items"],
+    "refresh_fact_sales": SELECTS["fact_sales"],
+    "refresh_fact_order_items": SELECTS["fact_order_items"],
+    "refresh_daily_sales": SELECTS["agg_daily_sales"],
+    "fact_sales_by_order": SELECTS["fact_sales"],
+    "fact_order_items_by_order": SELECTS["fact_order_items"],
+}
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: _statement(sql) for name, sql in SELECTS.items()}

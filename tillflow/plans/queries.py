@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillflow.functions.filters import Filters, relative_range
+from tillflow.functions.dates import year_month
+from tillflow.functions.filters import MONTH_PARTITION, Filters, relative_range
 from tillflow.operators import (
     bronze,
     maintenance,
@@ -26,12 +27,13 @@ from tillflow.operators import (
     silver,
     validation,
 )
+from tillflow.plans import copartitioned, refresh
 from tillflow.plans.workspace import Workspace, bench_workspace
 from tillflow.schemas import ITEMS_FILE, ORDERS_FILE, REFERENCE_SPECS
 from tillflow.session import shared_dir
 from tillflow.sources import bench, landing
 from tillflow.sources.tables import TableStore
-from tillflow.streaming import rollup
+from tillflow.streaming import breaches, ingest, late_items, rollup
 
 EXECUTION_DAY = date(2001, 7, 16)
 EXPECTED_UNITS = 6
@@ -296,6 +298,100 @@ def _stream_rollup(ws: Workspace, folder: str) -> DataFrame:
     return rollup.current_windows(ws.spark, f"{out}/table", windows.schema, ["window_start", "event_type"])
 
 
+def _folder(spark: SparkSession, kind: str) -> str:
+    return f"{shared_dir(spark)}/tillflow/{spark.sparkContext.applicationId}/{kind}/{uuid.uuid4().hex}"
+
+
+def _landing_stream(ws: Workspace, folder: str) -> TableStore:
+    """Landing files of the orders, taken in by the stream into a store of its own."""
+    base = _folder(ws.spark, "landing")
+    ws.store.write_texts(bench.landing_texts(bench.raw_orders(ws.spark, folder), ORDERS_FILE), f"{base}/{landing.ROOT.rstrip('/')}", ORDERS_FILE.base_name)
+    store = TableStore(ws.spark, _folder(ws.spark, "lake"))
+    ingest.ingest_stream(ws.spark, base, ORDERS_FILE, store, f"{store.root}/checkpoint", as_of=LOADED_AT, files_per_batch=40).awaitTermination()
+    return store
+
+
+def _stream_landing(ws: Workspace, folder: str) -> DataFrame:
+    found = _landing_stream(ws, folder).read("bronze.orders")
+    return found.withColumn("_source_file", bench.month_file(F.col("_source_file")))
+
+
+def _stream_quarantine(ws: Workspace, folder: str) -> DataFrame:
+    """The reports of the months of which no file has a valid row, and how many lines were kept of their files."""
+    store = _landing_stream(ws, folder)
+    month = bench.month_file(F.col("source_file")).alias("source_file")
+    lines = store.read("quarantine.lines").filter("line_position > 0").groupBy(month).agg(F.count(F.lit(1)).alias("lines_kept"))
+    return store.read("quarantine.reports").select(month, "error").distinct().join(lines, "source_file")
+
+
+def _stream_breaches(ws: Workspace, folder: str) -> DataFrame:
+    samples = _stream(ws.spark, folder).select("event_id", "ts", F.col("user_id").alias("host"), F.col("event_type").alias("name"), "value")
+    out = _folder(ws.spark, "streams")
+    runs = breaches.watch(samples, 40, tie="event_id")
+    breaches.write_runs(runs, f"{out}/table", f"{out}/checkpoint")
+    return breaches.sustained(ws.spark.read.parquet(f"{out}/table"), 5)
+
+
+WAIT, MEMORY = "20 DAYS", "60 DAYS"
+
+
+def _late_items(ws: Workspace, folder: str) -> DataFrame:
+    """Orders and items as streams of files; orders of every seventh key come ninety days later."""
+    out, streams = _folder(ws.spark, "streams"), {}
+    late = F.when(F.col("id_pedido").cast("bigint") % 7 == 0, F.expr("INTERVAL 90 DAYS")).otherwise(F.expr("INTERVAL 0 DAYS"))
+    orders = ws.table(B_ORDERS).withColumn("_ingest_timestamp", F.col("_ingest_timestamp") + late)
+    for name, rows in (("orders", orders), ("items", ws.table(B_ITEMS))):
+        rows.write.parquet(f"{out}/{name}")
+        streams[name] = late_items.stream_of(ws.spark, f"{out}/{name}", rows)
+    store = TableStore(ws.spark, f"{out}/lake")
+    late_items.store_matches(late_items.match_items(streams["items"], streams["orders"], WAIT, MEMORY, "1 HOUR"), store, "late_items", f"{out}/checkpoint")
+    return late_items.item_states(ws.table(B_ITEMS), store)
+
+
+# --- incremental refresh, storage by order ---
+
+_refreshed: dict[tuple[str, str], Workspace] = {}
+
+
+def refreshed_workspace(spark: SparkSession, folder: str) -> Workspace:
+    """All layers built from a first load of the sales, and refreshed after the second one; once per application and folder."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _refreshed:
+        store = TableStore(spark, _folder(spark, "refreshed"))
+        sales = (B_ORDERS, B_ITEMS)
+        ws = Workspace(spark, lambda name: store.read(name) if name in sales else bench.BRONZE_TABLES[name](spark, folder), store, as_of=bench.REFERENCE_LOADED_AT)
+        for number, load in enumerate(bench.sales_loads(spark, folder)):
+            with store.transaction(("sales", number)) as changes:
+                for name, rows in load.items():  # a load of seven years of days has no use for a folder a day
+                    changes.append(name, rows, cluster_by=("_ingest_date",))
+            refresh.refresh(ws)
+        _refreshed[key] = ws
+    return _refreshed[key]
+
+
+def _after_refresh(name: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return publish(refreshed_workspace(spark, folder).store.read(name).drop(MONTH_PARTITION))
+
+    return run
+
+
+def _by_order(fact: Callable[[SparkSession, str], DataFrame]) -> Query:
+    def run(ws: Workspace, folder: str) -> DataFrame:
+        database = f"by_order_{uuid.uuid4().hex[:12]}"
+        copartitioned.store_sales(ws.table(S_ORDERS), ws.table(S_ITEMS), database, _folder(ws.spark, "by_order"), buckets=8)
+        return fact(ws.spark, database)
+
+    return _with(run)
+
+
+def _units_by_month(ws: Workspace, folder: str) -> DataFrame:
+    """From the stored bitmaps of the days only."""
+    store = TableStore(ws.spark, _folder(ws.spark, "bitmaps"))
+    store.write("gold.units_by_day", marts.units_by_day(ws.table(SALES)))
+    return marts.active_units(store.read("gold.units_by_day"), year_month(F.col("order_date"))).withColumnRenamed("span", "year_month")
+
+
 # --- metric series ---
 
 _ORDER = ("ts", "event_id")
@@ -458,6 +554,19 @@ def registry() -> dict[str, Query]:
         # streams
         "stream_dedup": _with(_stream_dedup),
         "stream_two_hour_rollup": _with(_stream_rollup),
+        "stream_landing_orders": _with(_stream_landing),
+        "stream_quarantine": _with(_stream_quarantine),
+        "stream_late_items": _with(_late_items),
+        "stream_sustained_breach": _with(_stream_breaches),
+        # incremental refresh, storage by order, mergeable distincts
+        "refresh_silver_orders": _after_refresh(S_ORDERS),
+        "refresh_silver_items": _after_refresh(S_ITEMS),
+        "refresh_fact_sales": _after_refresh(SALES),
+        "refresh_fact_order_items": _after_refresh(ITEMS),
+        "refresh_daily_sales": _after_refresh(DAILY),
+        "fact_sales_by_order": _by_order(copartitioned.fact_sales),
+        "fact_order_items_by_order": _by_order(copartitioned.fact_order_items),
+        "active_units_by_month": _with(_units_by_month),
         # metric series
         "metric_rate": _over(bench.samples, _rates),
         "metric_rate_by_label": _over(bench.samples, _rate_by_name),

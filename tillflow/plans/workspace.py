@@ -8,6 +8,7 @@ from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillflow.functions.dates import year_month
 from tillflow.functions.filters import MONTH_PARTITION
@@ -37,8 +38,10 @@ class Workspace:
         first_day: date | None = None,
         last_day: date | None = None,
         as_of: datetime | None = None,
+        layout: dict[str, tuple[str | None, tuple[str, ...]]] | None = None,
     ) -> None:
         self.spark = spark
+        self.layout = LAYOUT if layout is None else layout
         self.store = store
         self.first_day, self.last_day = first_day, last_day
         self.as_of = as_of
@@ -57,16 +60,29 @@ class Workspace:
                 self.build(name)
             return self._tables[name]
 
+    def forget(self, *names: str) -> None:
+        """Read these tables from the store again when they are asked for next."""
+        with self._lock:
+            for name in names:
+                self._tables[name] = self.store.read(name)
+
     def build(self, name: str) -> None:
         """Write the table anew."""
+        partition, cluster = self.layout.get(name, (None, ()))
         rows = self.compose(name)
-        partition, cluster = LAYOUT.get(name, (None, ()))
         if partition == MONTH_PARTITION:
-            rows = rows.withColumn(MONTH_PARTITION, year_month(rows["order_date"]))
+            rows = with_month(rows, self.table("silver.orders") if "order_date" not in rows.columns else None)
         self.store.write(name, rows, partition, cluster)
         self._tables[name] = self.store.read(name)
 
 
+def with_month(rows: DataFrame, orders: DataFrame | None = None) -> DataFrame:
+    """Rows with the month of their order, by their own date or that of ``orders``."""
+    if orders is None:
+        return rows.withColumn(MONTH_PARTITION, year_month(rows["order_date"]))
+    return rows.join(orders.select("order_id", year_month(F.col("order_date")).alias(MONTH_PARTITION)), "order_id").select(*rows.columns, MONTH_PARTITION)
+
+
 # A month is the partition of the facts, not a day: years of days would make thousands of small folders. The
 # day leads the sort, so row groups still cover few days.
 LAYOUT: dict[str, tuple[str | None, tuple[str, ...]]] = {
@@ -74,7 +90,12 @@ LAYOUT: dict[str, tuple[str | None, tuple[str, ...]]] = {
     "gold.fact_order_items": (MONTH_PARTITION, ("order_date", "product_key")),
 }
 
-
+# With months below the facts and above them, so that a refresh replaces what belongs to a month in every layer.
+MONTHLY_LAYOUT = LAYOUT | {
+    "silver.orders": (MONTH_PARTITION, ("order_id",)),
+    "silver.order_items": (MONTH_PARTITION, ("order_id",)),
+    "gold.agg_daily_sales": (MONTH_PARTITION, ("order_date",)),
+}
 
 BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     "silver.products": lambda w: silver.silver_products(w.table("bronze.products"), w.as_of),

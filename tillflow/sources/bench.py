@@ -301,3 +301,37 @@ def landing_texts(raw: DataFrame, spec: FileSpec) -> DataFrame:
 def month_file(path: Column) -> Column:
     """The name of the month that a part file of :func:`landing_texts` belongs to."""
     return F.regexp_replace(path, "/shop-[0-9]+/", "/")
+
+
+LATE_FROM = date(1997, 6, 1)
+
+
+def sales_loads(spark: SparkSession, folder: str) -> list[dict[str, DataFrame]]:
+    """The bronze sales as two loads, which together have the rows of the tables above as the newest of each key.
+
+    In the first one some of the later orders are missing, others have a wrong day and value, and some items have a wrong
+    quantity; the second one brings the late and the corrected rows, and repeats others as they were.
+    """
+    all_orders, all_items = orders(spark, folder), order_items(spark, folder)
+    key = F.col("id_pedido").cast("bigint") % 10
+    late = F.col("data_pedido") >= F.lit(LATE_FROM)
+    wrong = {
+        "data_pedido": F.date_sub("data_pedido", 45),
+        "vlr_pedido": F.lit(1).cast(MONEY),
+        "_ingest_timestamp": F.col("_ingest_timestamp") - F.expr("INTERVAL 5 DAYS"),
+        "_ingest_date": F.date_sub("_ingest_date", 5),
+    }
+    first_orders = all_orders.filter(~late | ~key.isin(3, 7)).unionByName(all_orders.filter(late & (key == 7)).withColumns(wrong))
+    second_orders = all_orders.filter(late & key.isin(1, 3, 7))
+
+    item_key = F.split("id_item_pedido", "-")[0].cast("bigint") % 10
+    late_item = F.col("_ingest_date") >= F.lit(LATE_FROM)
+    held = late_item & (item_key.isin(2, 5) & F.col("id_item_pedido").endswith("-2"))
+    spoiled = {
+        "qtd": F.lit(999).cast("bigint"),
+        "_ingest_timestamp": F.col("_ingest_timestamp") - F.expr("INTERVAL 5 DAYS"),
+        "_ingest_date": F.date_sub("_ingest_date", 5),
+    }
+    first_items = all_items.filter(~held).unionByName(all_items.filter(held & (item_key == 5)).withColumns(spoiled))
+    second_items = all_items.filter(held | (late_item & (item_key == 1)))
+    return [{"bronze.orders": first_orders, "bronze.order_items": first_items}, {"bronze.orders": second_orders, "bronze.order_items": second_items}]
