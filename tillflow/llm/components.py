@@ -11,14 +11,14 @@ from tillflow.llm.common import materialise
 def _large_star(links: DataFrame) -> DataFrame:
     """Every node links its larger neighbours to the smallest of its neighbourhood."""
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("_least"))
+    least = materialise(both.groupBy("a").agg(F.min("b").alias("_least")))
     near = both.join(least, "a")
     return near.where("b > a").select(F.col("b").alias("a"), F.least("a", "_least").alias("b")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Every node links itself and its smaller neighbours to the smallest of these."""
-    least = links.groupBy("a").agg(F.min("b").alias("_least"))
+    least = materialise(links.groupBy("a").agg(F.min("b").alias("_least")))
     near = links.join(least, "a").where("b <> _least").select(F.col("b").alias("a"), F.col("_least").alias("b"))
     return near.union(least.select("a", F.col("_least").alias("b"))).distinct()
 
@@ -32,7 +32,7 @@ def components(links: DataFrame) -> DataFrame:
 
     The component is its smallest node. Links with a null end and loops say nothing and are left out, so a node
     without another link does not appear; no links give an empty table. A node with very many links is aggregated
-    before the shuffle, and its join is one that AQE splits. Rounds grow with the logarithm of the longest path; each
+    before the shuffle; the minima are written before they are joined, so AQE can split such a node in the join. Rounds grow with the logarithm of the longest path; each
     is written to the shared folder.
     """
     links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), (F.col("a") != F.col("b")).alias("_x"))

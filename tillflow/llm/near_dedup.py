@@ -6,7 +6,7 @@ that differ in at most 15 places have two chunks with at most one error each; ev
 the five ways of leaving out one place of each chunk, 45 keys, and all pairs within that distance meet under a key. Pairs
 further apart meet less surely: at J = 0.75 a pair fails to meet under any key with probability 0.00012.
 
-Pairs that meet are compared on full sets unless they differ in more than 23 places (at J = 0.75 with probability 0.00005) or
+Pairs that meet are compared on full sets unless they differ in more than 26 places (at J = 0.75 with probability 0.000001) or
 their parity sketches rule them out. A sketch has a bit for each of 768 classes of shingles, set if the document has an odd
 number of them. A shingle that one of two documents lacks turns one bit over, so they differ in at least as many shingles as
 their sketches differ in bits, and more than a seventh of both sizes is too many for the share: nothing true is lost.
@@ -14,8 +14,8 @@ their sketches differ in bits, and more than a seventh of both sizes is too many
 No key emits all its pairs. Documents with equal sets are one class first. In a first round each class is compared with
 the class of its key that meets most others, usually the text that the copies were made of, which joins a group of
 any size by a linear number of pairs. Classes whose components still differ are then compared under each key that
-holds more than one component: those outside its most frequent component with the rest. A key with very many classes
-outside is split again by the keys of its later chunks, which the two chunks of the pigeonhole allow.
+holds more than one component: those outside its most frequent component with the rest, however many they are; sizes,
+places and sketches rule pairs out inside the join, and AQE splits a key that holds a large share of the rows.
 """
 
 from __future__ import annotations
@@ -35,10 +35,8 @@ SHINGLE = 5
 SHARE = 75  # per cent of the union that the intersection must reach
 CHUNKS, WIDTH = 9, 5
 PLACES = CHUNKS * WIDTH
-MOST_ERRORS = 23
+MOST_ERRORS = 26
 SKETCH = 12  # numbers of 64 bits
-#: Classes outside the most frequent component of a key above which the key is split by its later chunks.
-HOT = 1000
 #: A number holds the places of a chunk, 12 bits each with the highest left clear; its guards are those highest bits.
 BITS = 11
 GUARDS = sum(1 << (12 * i + BITS) for i in range(WIDTH))
@@ -119,22 +117,6 @@ def _file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), nodes], ["key", "node"])
 
 
-def _refile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of a large key under the key together with each key of a later chunk."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, SLICE_ROWS):
-            part = batch.slice(at, SLICE_ROWS)
-            first = part.column("key").to_numpy().view(np.uint64)
-            own = _keys(_places(part.column("signature")))
-            row, place = np.nonzero((own & np.uint64(15)) > (first & np.uint64(15))[:, None])
-            both = mixed(first[row] * _PRINT + own[row, place])
-            rows = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(both.view(np.int64)), part.column("node").take(rows), part.column("component").take(rows)],
-                ["key", "node", "component"],
-            )
-
-
 def _errors(one: str, other: str, chunk: int) -> Column:
     """Places of a chunk that differ: each carries into the guard above it."""
     apart = F.col(one)[chunk].bitwiseXOR(F.col(other)[chunk])
@@ -203,16 +185,16 @@ def _outside(filed: DataFrame) -> DataFrame:
     return filed.join(materialise(keys.where("outside > 0")), "key")
 
 
-def _across(rows: DataFrame, once: bool) -> DataFrame:
+def _across(rows: DataFrame) -> DataFrame:
     """Pairs of different components under a key that may link: each class outside the top component with the others.
 
-    With ``once`` a pair is given by the first of the keys that it shares.
+    A pair is given by the first of the keys that it shares.
     """
     other = [F.col(c).alias(f"_{c}") for c in ("node", "component", "signature", "n_shingles")]
     outside = rows.where("component <> top").select("key", *other)
     parts = (F.col("component") != F.col("_component")) & ((F.col("component") == F.col("top")) | (F.col("node") < F.col("_node")))
     near = parts & _may_link("signature", "n_shingles", "_signature", "_n_shingles")
-    met = outside.join(rows, "key").where(near & _first_meeting("signature", "_signature") if once else near)
+    met = outside.join(rows, "key").where(near & _first_meeting("signature", "_signature"))
     return met.select(F.greatest("_node", "node").alias("a"), F.least("_node", "node").alias("b"))
 
 
@@ -221,19 +203,22 @@ def _grouped(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     marked = docs.withColumn("mark", F.xxhash64("doc_id", "text"))
     signed = materialise(marked.mapInArrow(_sign, "doc_id bigint, mark bigint, n_shingles bigint, node binary, signature array<bigint>"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark"))
     classes = materialise(
         signed.where("n_shingles > 0")
         .groupBy("node")
-        .agg(F.min("doc_id").alias("first_id"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles"))
+        .agg(first.alias("_f"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles"))
+        .select("node", "signature", "n_shingles", F.col("_f.doc_id").alias("first_id"), F.col("_f.mark").alias("first_mark"))
     )
     filed = classes.select("node", "signature").mapInArrow(_file, "key bigint, node binary")
     shared = filed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    filed = materialise(filed.join(shared, "key"))
+    # Counted on its own, so that the join has no aggregate on its key and AQE can split a hot one.
+    filed = materialise(filed.join(materialise(shared), "key"))
     met = materialise(filed.groupBy("node").agg(F.sum("n").alias("met")))
     filed = materialise(filed.join(met, "node").select("key", "node", "met"))
 
-    wanted = classes.join(filed.select("node").distinct(), "node", "left_semi").select("node", "first_id")
-    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["first_id"])).select("doc_id", "node", "text")
+    wanted = classes.join(filed.select("node").distinct(), "node", "left_semi").select("node", "first_mark")
+    texts = marked.join(wanted, F.col("mark") == F.col("first_mark")).select("node", "text")
     texts = materialise(texts.mapInArrow(_own_text, "node binary, text string").dropDuplicates(["node"]))
 
     leaders = filed.groupBy("key").agg(F.max(F.struct("met", "node")).alias("_l")).select("key", F.col("_l.node").alias("b"))
@@ -242,16 +227,12 @@ def _grouped(docs: DataFrame) -> DataFrame:
     other = classes.select(F.col("node").alias("b"), F.col("signature").alias("_signature"), F.col("n_shingles").alias("_n"))
     led = led.join(one, "a").join(other, "b").where(_may_link("signature", "n_shingles", "_signature", "_n"))
     led = materialise(led.select("a", "b"))
-    first = _links(led, texts)
-    grouped = materialise(components(first))
+    grouped = materialise(components(_links(led, texts)))
 
     labelled = filed.join(grouped, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     signatures = classes.select("node", "signature", "n_shingles")
     several = materialise(_outside(materialise(labelled)).join(signatures, "node"))
-    split = several.where(F.col("outside") > HOT).select("key", "node", "component", "signature")
-    split = materialise(split.mapInArrow(_refile, "key bigint, node binary, component binary"))
-    split = materialise(_outside(split).join(signatures, "node"))
-    pairs = _across(several.where(F.col("outside") <= HOT), once=True).union(_across(split, once=False)).distinct()
+    pairs = _across(several).distinct()
     compared = led.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     second = _links(materialise(pairs.join(compared, ["a", "b"], "left_anti")), texts)
 
