@@ -57,6 +57,22 @@ def test_large_graph_recall():
     assert truth[row, place].sum() >= 0.97 * truth.sum()
 
 
+def test_single_links_beside_a_large_group(spark):
+    """The links of one great group must not make up for those that pairs lack."""
+    draw = np.random.default_rng(8)
+    group = draw.normal(0, 1, (1, 32)) + 0.05 * draw.normal(0, 1, (1200, 32))
+    singles = draw.normal(0, 1, (900, 32))
+    partners = singles + 0.36 * draw.normal(0, 1, (900, 32)) * np.linalg.norm(singles, axis=1, keepdims=True) / 32**0.5
+    vectors = hnsw_dedup._unit(np.concatenate([group, singles, partners])[draw.permutation(3000)])
+    graph = hnsw_dedup.Graph.build(vectors)
+    for at in (0, 1024, 2048):
+        row, place = graph.audited(vectors[at : at + 1024], 0.93)
+        truth = (vectors[at : at + 1024] @ vectors.T >= 0.93).sum(axis=1)
+        few = truth < 10
+        assert (truth[few] > 1).sum() > 50
+        assert (np.bincount(row, minlength=len(truth))[few] >= truth[few]).mean() >= 0.995
+
+
 def test_nulls_zero_repeats_and_other_columns(spark):
     nan = float("nan")
     rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], 2), (4, [1.0, 0.0], None), (5, None, 1), (6, [0.0, 0.0], 1), (7, [nan, 1.0], 1), (8, [None, 1.0], 1), (9, [], 1), (1, [1.0, 0.0], 1), (None, [3.0, 0.1], 1), (11, [1.0], 1), (12, [float("inf"), 0.0], 1)]

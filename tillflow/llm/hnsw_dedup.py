@@ -5,8 +5,8 @@ and every shard gets a hierarchical graph: upper layers are random samples, the
 in batches through beam searches from the layer above, with diverse neighbours so that groups of near copies stay
 reachable. Every class queries every shard of its label. A beam search finds the neighbourhood of the query; from
 the vectors above the threshold the search goes on over all edges that stay above it, so a group of any size is followed to
-its end. In each pair of query block and shard a few queries are audited against all vectors of the shard, and the
-beam is doubled until they find TARGET of their links. The cosines of all pairs are confirmed in double precision.
+its end. In each pair of query block and shard queries are audited against all vectors of the shard, until LINKED of them have
+links or all were, and the beam is doubled until every audited query finds TARGET of its own links. The cosines of all pairs are confirmed in double precision.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ THRESHOLD = 0.93
 SHARD, QUERY_BLOCK = 8192, 1024
 DEGREE, LOWEST_DEGREE = 16, 32  # edges that a vector gets when it is inserted, and the most it keeps
 BEAM, BUILD_BEAM, AT_ONCE = 32, 48, 4
-AUDITED, TARGET = 32, 0.995
+AUDITED, LINKED, TARGET = 32, 32, 0.995  # queries audited at a time, those with links that are wanted, links each has to find
 FOLLOWED = 1 << 13  # pairs whose edges are followed at a time
 SLACK = 0.05  # how far below the threshold the search follows edges
 
@@ -205,11 +205,17 @@ class Graph:
     def audited(self, queries: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
         """As :meth:`within`, with a beam that is doubled until the audited queries find what comparing all finds."""
         n, width, slack = len(self.vectors), BEAM, SLACK
-        checked = np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(int)
-        truth = (queries[checked] @ self.vectors.T >= least).sum()
+        truth, linked = np.zeros(len(queries), int), 0
+        order = np.argsort(np.arange(len(queries)) * 0.6180339887498949 % 1.0)  # spread over the block
+        for at in range(0, len(queries), AUDITED):
+            chosen = order[at : at + AUDITED]
+            truth[chosen] = (queries[chosen] @ self.vectors.T >= least).sum(axis=1)
+            linked += int((truth[chosen] > 1).sum())  # one may be the query itself
+            if linked >= LINKED:
+                break
         while True:
             row, place = self.within(queries, least, width, slack)
-            if np.isin(row, checked).sum() >= TARGET * truth or width >= n:
+            if (np.bincount(row, minlength=len(queries)) >= TARGET * truth).all() or width >= n:
                 return row, place
             width, slack = 2 * width, 2 * slack
 
