@@ -38,6 +38,19 @@ def test_cells_follow_the_widest_dimension(spark):
     assert {(r["doc_id"] % 2, r["shard"]) for r in found} == {(1, 0), (0, 1)}
 
 
+def test_values_with_a_common_beginning_are_parted(spark):
+    rows = [(i, "x" * 99, "en", f"https://site.example/{i % 4:02}", 0) for i in range(400)]
+    found = kd_shards.plan_shards(frame(spark, rows), shards=4).collect()
+    assert {(r["doc_id"] % 4, r["shard"]) for r in found} == {(i, i) for i in range(4)}
+
+
+def test_ranks_are_in_the_order_of_bytes(spark):
+    values = ["", "b", "a", "ä", "z", "aa", "😀", "Z", None, "a"]
+    found = kd_shards.value_ranks(frame(spark, [(i, "x", "en", v, 0) for i, v in enumerate(values)]).repartition(4), "source")
+    expected = sorted({v for v in values if v is not None}, key=str.encode)
+    assert sorted(map(tuple, found.collect()), key=lambda r: r[1]) == [(v, i + 1) for i, v in enumerate(expected)]
+
+
 def test_target_bytes(spark):
     found = kd_shards.plan_shards(frame(spark, corpus(300)), target_bytes=60_000)
     sizes = [r[1] for r in found.groupBy("shard").sum("size").collect()]

@@ -20,21 +20,45 @@ KEY_BITS, TIE_BITS = 48, 36
 SLOT_ROWS = 5_000
 
 
-def text_key(value: Column) -> Column:
-    """The first six bytes of a text as a number in byte order; 0 for null."""
-    padded = F.rpad(F.hex(F.substring(F.encode(value, "UTF-8"), 1, 6)), 12, "0")
-    return F.coalesce(F.conv(padded, 16, 10).cast("bigint"), F.lit(0).cast("bigint"))
+def value_ranks(docs: DataFrame, name: str) -> DataFrame:
+    """``value, rank``: the distinct values of a text column, numbered from 1 in the order of their bytes.
+
+    The values are sorted over all tasks; a task numbers its own, and the numbers of the tasks before it are added.
+    """
+    distinct = docs.select(F.col(name).cast("string").alias("value")).where("value IS NOT NULL").distinct()
+    ordered = materialise(distinct.orderBy("value").withColumn("_id", F.monotonically_increasing_id()))
+    task = F.shiftright("_id", 33)
+    counted = ordered.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(W.orderBy("_task").rowsBetween(W.unboundedPreceding, -1))  # a row for each task
+    offsets = counted.select("_task", F.coalesce(before, F.lit(0)).alias("_before"))
+    rank = F.col("_before") + F.col("_id") - F.shiftleft("_task", 33) + 1
+    return ordered.join(F.broadcast(offsets), task == F.col("_task")).select("value", rank.alias("rank"))
 
 
-def dimensions() -> dict[str, Column]:
-    """Metadata of documents that cells are split along, each a whole number of at most KEY_BITS bits."""
+def dimensions() -> dict[str, Column | str]:
+    """Metadata of documents that cells are split along: whole numbers of at most KEY_BITS bits, or the name of a text column.
+
+    A text column counts by the rank of its value, 0 for null.
+    """
     return {
-        "language": text_key(F.col("lang")),
-        "source": text_key(F.col("source")),
+        "language": "lang",
+        "source": "source",
         "length": (F.log2(F.coalesce(F.octet_length("text"), F.lit(0)) + 1.0) * float(1 << 42)).cast("bigint"),
     }
 
 
+def _with_axes(docs: DataFrame, axes: dict[str, Column | str]) -> DataFrame:
+    """``doc_id, text`` and the axes as numbers."""
+    names = [f"_axis{i}" for i in range(len(axes))]
+    found = docs.select("doc_id", "text", *[axis.alias(name) if isinstance(axis, Column) else F.col(axis).cast("string").alias(name) for name, axis in zip(names, axes.values(), strict=True)])
+    for name, axis in zip(names, axes.values(), strict=True):
+        if not isinstance(axis, Column):
+            ranks = materialise(value_ranks(docs, axis)).withColumnsRenamed({"value": "_value", "rank": "_rank"})
+            found = found.join(ranks, F.col(name) == F.col("_value"), "left")
+            found = found.withColumn(name, F.coalesce("_rank", F.lit(0))).drop("_value", "_rank")
+    return found
+
+
 def _cut(rows: DataFrame, key: Column, bits: int) -> DataFrame:
     """For each cell the key at which the running bytes of its rows, in the order of the key, pass ``goal``.
 
@@ -90,7 +114,7 @@ def _split(rows: DataFrame, names: list[str], ranges: dict[str, float]) -> DataF
     return materialise(joined.select(*kept, cell.cast("int").alias("cell"), shards.cast("int").alias("shards")))
 
 
-def plan_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None, axes: dict[str, Column] | None = None) -> DataFrame:
+def plan_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None, axes: dict[str, Column | str] | None = None) -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot, mark`` for every row of ``docs`` (``doc_id, text`` and what ``axes`` read).
 
     Either the number of ``shards`` is given, or ``target_bytes``, of which it follows. ``size`` is the UTF-8 length of the
@@ -101,12 +125,12 @@ def plan_shards(docs: DataFrame, shards: int | None = None, target_bytes: int |
     axes = axes or dimensions()
     names = [f"_axis{i}" for i in range(len(axes))]
     text = F.coalesce(F.col("text"), F.lit(""))
-    slim = docs.select(
+    slim = _with_axes(docs, axes).select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         (F.octet_length(text) + 1).cast("bigint").alias("size"),
         F.crc32(text).alias("text_crc32"),
         F.xxhash64("doc_id", "text").alias("mark"),
-        *[axis.cast("bigint").alias(name) for name, axis in zip(names, axes.values(), strict=True)],
+        *[F.col(name).cast("bigint").alias(name) for name in names],
     )
     # Equal rows are told apart by a number, else no hash could divide them.
     counted = slim.groupBy(*slim.columns).agg(F.count(F.lit(1)).alias("_n"))
