@@ -85,3 +85,14 @@ def test_nothing_learnt_and_no_rows(spark):
     docs = frame(spark, [(1, "abc", None, "s", 0)])
     assert [(r["lang_pred"], r["rejected"]) for r in lang_id.learn_and_identify(docs).collect()] == [("und", True)]
     assert lang_id.learn_and_identify(docs.limit(0)).collect() == []
+
+
+def test_a_text_in_parts_scores_like_the_whole(spark, monkeypatch):
+    rows = [(i, text, lang) for i, (text, lang) in enumerate([("the quick brown fox  jumps", "en"), ("der schnelle braune Fuchs", "de")] * 30)]
+    model = lang_id.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    texts = ["the  quick -- brown fox, jumps over the lazy dog; der   Fuchs 123 ist braun", "   ", "a", "", None, " x  y "]
+    whole = model.entropies(texts)
+    for size in (1, 2, 7, 30):
+        monkeypatch.setattr(lang_id, "PART", size)
+        for seen, expected in zip(model.entropies(texts), whole, strict=True):
+            assert np.allclose(seen.astype(float), expected.astype(float), atol=1e-6)

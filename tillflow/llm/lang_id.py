@@ -26,7 +26,7 @@ from tillflow.llm.common import mixed, unit
 
 ORDER = 4
 SAMPLE = 3000  # documents of each language that the model is fitted on, on average
-PART = 1_000_000  # symbols handled at a time; a longer text is scored in parts
+PART = 1_000_000  # symbols handled at a time; a longer text is read in parts that go on with the symbols before them
 SHARPNESS = 8.0
 UNDETERMINED = "und"
 _PAD, _BLANK, _OTHER = 1, 32, 2
@@ -45,8 +45,11 @@ def _symbols() -> np.ndarray:
     return found
 
 
-def _text_symbols(text: str) -> np.ndarray:
-    """Letters and single blanks of a text, after ORDER - 1 pads. Letters beyond the basic plane are one symbol."""
+def _text_symbols(text: str, before: np.ndarray | None = None) -> np.ndarray:
+    """Letters and single blanks of a text, after ORDER - 1 pads. Letters beyond the basic plane are one symbol.
+
+    For a later part of a text ``before`` has the last ORDER - 1 symbols of the part before it, in the place of the pads.
+    """
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     found = _symbols()[np.minimum(codes, 0xFFFF)]
     if len(codes) and codes.max() > 0xFFFF:
@@ -55,7 +58,11 @@ def _text_symbols(text: str) -> np.ndarray:
     blank = found == _BLANK
     keep = np.ones(len(blank), bool)
     keep[1:] = ~(blank[1:] & blank[:-1])
-    return np.concatenate([np.full(ORDER - 1, _PAD, np.uint16), found[keep]])
+    if before is None:
+        before = np.full(ORDER - 1, _PAD, np.uint16)
+    elif len(found) and before[-1] == _BLANK:
+        keep[0] = found[0] != _BLANK
+    return np.concatenate([before, found[keep]])
 
 
 def _grams(symbols: np.ndarray) -> np.ndarray:
@@ -71,8 +78,12 @@ def _parts(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np
     """Groups of some PART symbols: row of each text part, its number of grams, all grams."""
     rows, counts, grams, total = [], [], [], 0
     for row, text in enumerate(texts):
+        before = None
         for at in range(0, len(text or ""), PART):
-            own = _grams(_text_symbols(text[at : at + PART]))
+            symbols = _text_symbols(text[at : at + PART], before)
+            own, before = _grams(symbols), symbols[1 - ORDER :]
+            if not len(own):
+                continue
             rows.append(row)
             counts.append(len(own))
             grams.append(own)
