@@ -49,6 +49,10 @@ HEADLINES = (
     "metric_rate",
     "metric_sustained_breach",
     "stream_two_hour_rollup",
+    "stream_late_items",
+    "stream_sustained_breach",
+    "fact_sales_by_order",
+    "active_units_by_month",
 )
 
 
