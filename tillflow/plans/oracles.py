@@ -817,15 +817,15 @@ SELECTS["stream_quarantine"] = """SELECT source_file, 'No valid rows after valid
   WHERE rows_kept = 0 OR source_file = 'raw/csv_sales/1999/01/pedido.csv'"""
 # An item waits twenty days for its order, and orders are remembered for sixty.
 SELECTS["stream_late_items"] = """SELECT * FROM (
-  WITH seen AS (SELECT id_pedido, ingested_at + CASE WHEN CAST(id_pedido AS BIGINT) % 7 = 0 THEN INTERVAL 90 DAYS ELSE INTERVAL 0 DAYS END AS at FROM b_orders),
-  sent AS (SELECT id_item_pedido, id_pedido, CAST(ingest_date AS TIMESTAMP) AS at FROM b_items),
-  ends AS (SELECT least((SELECT max(at) FROM seen), (SELECT max(at) FROM sent)) - INTERVAL 1 HOUR AS watermark),
+  WITH seen AS (SELECT id_pedido, ingested_at + CASE WHEN CAST(id_pedido AS BIGINT) % 7 = 0 THEN INTERVAL 90 DAYS ELSE INTERVAL 0 DAYS END AS moment FROM b_orders),
+  sent AS (SELECT id_item_pedido, id_pedido, CAST(ingest_date AS TIMESTAMP) AS moment FROM b_items),
+  ends AS (SELECT least((SELECT max(moment) FROM seen), (SELECT max(moment) FROM sent)) - INTERVAL 1 HOUR AS watermark),
   decided AS (
     SELECT DISTINCT sent.id_item_pedido, sent.id_pedido, 'released' AS state FROM sent JOIN seen ON sent.id_pedido = seen.id_pedido
-      AND seen.at BETWEEN sent.at - INTERVAL 60 DAYS AND sent.at + INTERVAL 20 DAYS
+      AND seen.moment BETWEEN sent.moment - INTERVAL 60 DAYS AND sent.moment + INTERVAL 20 DAYS
     UNION ALL
-    SELECT DISTINCT id_item_pedido, id_pedido, 'expired' FROM sent, ends WHERE sent.at + INTERVAL 20 DAYS < watermark AND NOT EXISTS (
-      SELECT 1 FROM seen WHERE seen.id_pedido = sent.id_pedido AND seen.at BETWEEN sent.at - INTERVAL 60 DAYS AND sent.at + INTERVAL 20 DAYS))
+    SELECT DISTINCT id_item_pedido, id_pedido, 'expired' FROM sent, ends WHERE sent.moment + INTERVAL 20 DAYS < watermark AND NOT EXISTS (
+      SELECT 1 FROM seen WHERE seen.id_pedido = sent.id_pedido AND seen.moment BETWEEN sent.moment - INTERVAL 60 DAYS AND sent.moment + INTERVAL 20 DAYS))
   SELECT * FROM decided
   UNION ALL SELECT DISTINCT id_item_pedido, id_pedido, 'waiting' FROM sent AS s
     WHERE NOT EXISTS (SELECT 1 FROM decided WHERE decided.id_item_pedido = s.id_item_pedido AND decided.id_pedido = s.id_pedido)) AS states"""
