@@ -133,17 +133,16 @@ def usage_snapshot(usage: DataFrame, as_of, source: str = "data_retention") -> D
     def of(store: str, column: str) -> Column:
         return F.max(F.when(F.col("store") == store, F.col(column)))
 
+    # The column names
     pivoted = usage.agg(
-        *[
-            of(store, column).alias(f"{prefix}_{name}")
-            for store, prefix in (("objects", "gcs"), ("warehouse", "bq"))
-            for column, name in (
-                ("storage_bytes", "storage_bytes"),
-                ("storage_gb", "storage_gb"),
-                ("limit_gb", "limit_gb"),
-                ("usage_pct", "usage_pct"),
-            )
-        ]
+        of("objects", "storage_bytes").alias("gcs_storage_bytes"),
+        of("objects", "storage_gb").alias("gcs_storage_gb"),
+        of("objects", "limit_gb").alias("gcs_limit_gb"),
+        of("objects", "usage_pct").alias("gcs_usage_pct"),
+        of("warehouse", "storage_bytes").alias("bq_storage_bytes"),
+        of("warehouse", "storage_gb").alias("bq_storage_gb"),
+        of("warehouse", "limit_gb").alias("bq_limit_gb"),
+        of("warehouse", "usage_pct").alias("bq_usage_pct"),
     )
     return pivoted.select(
         F.substring(F.uuid(), 1, 12).alias("snapshot_id"),

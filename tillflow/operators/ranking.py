@@ -1,4 +1,4 @@
-"""RANK() over a whole table without moving the table into one task."""
+"""RANK() over a whole table, and quantiles of large groups, without moving the table or a group into one task."""
 
 from __future__ import annotations
 
@@ -6,8 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tillflow.session import stage
+
 MAX_BUCKETS = 4096
 CHUNK = 64
+RANGES = 64
+#: Distinct values of a group that one task sorts.
+MAX_SORTED = 100_000
 
 
 def _above(bounds: Column, value: Column) -> Column:
@@ -69,3 +74,47 @@ def rank_descending(df: DataFrame, ranks: dict[str, str]) -> DataFrame:
         found = _ranks(df, value, bounds[value]).withColumnRenamed("_rank", name)
         ranked = ranked.join(found, ranked[value].eqNullSafe(found["_value"]), "left").drop("_value")
     return ranked
+
+
+def _placed_by_range(counted: DataFrame, wanted: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The values of the one range of each group that holds the place ``_wanted``, and the place counted from its start.
+
+    Ranges are cut at approximate quantiles of the distinct values, which only balance the work. Neither frame is computed
+    yet; sums run over at most ``RANGES + 1`` rows of a group.
+    """
+    cuts = [i / RANGES for i in range(1, RANGES)]
+    bounds = counted.groupBy(key).agg(F.percentile_approx("_value", cuts, 1000).alias("_bounds"))
+    placed = counted.join(bounds, key).withColumn("_range", F.size(F.filter("_bounds", lambda b: b < F.col("_value")))).drop("_bounds")
+    sizes = placed.groupBy(key, "_range").agg(F.sum("_n").alias("_size"))
+    before = F.sum("_size").over(W.partitionBy(key).orderBy("_range")) - F.col("_size")
+    left = sizes.withColumn("_before", before).join(wanted, key)
+    hit = left.filter((F.col("_before") < F.col("_wanted")) & (F.col("_wanted") <= F.col("_before") + F.col("_size")))
+    hit = stage(hit.select(key, "_range", (F.col("_wanted") - F.col("_before")).alias("_wanted")))
+    return placed.join(hit.select(key, "_range"), [key, "_range"], "left_semi").drop("_range"), hit.drop("_range")
+
+
+def quantile_by(df: DataFrame, key: str, value: str, percent: int, most: int = MAX_SORTED) -> DataFrame:
+    """``key, quantile``: per group the least value that ``percent`` of 100 rows do not exceed, exactly. Nulls do not count.
+
+    Rows are counted by value first, so ties cost nothing. While a group has more than ``most`` distinct values, each group
+    is cut into ranges and only the range that holds the wanted place stays, so no task sorts the values of a large group.
+    Groups whose key is null are left out.
+    """
+    rows = df.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
+    counted = stage(rows.groupBy(key, F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_n")))
+    places = F.ceil(F.sum("_n") * percent / F.lit(100).cast("decimal(3,0)")).cast("bigint")
+    wanted = counted.groupBy(key).agg(F.greatest(places, F.lit(1)).alias("_wanted"))
+
+    def largest(frame: DataFrame) -> int:
+        return frame.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+
+    size = largest(counted)
+    while size > most:
+        counted, wanted = _placed_by_range(counted, wanted, key)
+        counted = stage(counted)
+        size, previous = largest(counted), size
+        if size == previous:
+            break
+    upto = F.sum("_n").over(W.partitionBy(key).orderBy("_value"))
+    reached = counted.withColumn("_upto", upto).join(wanted, key).filter(F.col("_upto") >= F.col("_wanted"))
+    return reached.groupBy(key).agg(F.min("_value").alias("quantile"))

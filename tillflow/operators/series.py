@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tillflow.operators.ranking import quantile_by
+
 SERIES = ("host", "name")
 #: Minutes that a sample speaks for.
 STALE_MINUTES = 5
@@ -247,17 +249,13 @@ def parse_metric_name(dotted: Column) -> Column:
 def slo_by_hour(samples: DataFrame, duration: str, success: str, failure: str) -> DataFrame:
     """Per hour: 95th percentile of durations, success rate and failures, each with its alert level.
 
-    The percentile is the least duration that 95 of 100 do not exceed, exactly: durations are counted per hour and
-    value first, so ties cost nothing, and the counts are then summed up in order.
+    The percentile is the least duration that 95 of 100 do not exceed, exactly, without an hour's durations in one task.
     """
     of = {name: F.col("name") == name for name in (duration, success, failure)}
-    hour = F.date_trunc("hour", "ts").alias("hour")
-    hours = samples.groupBy(hour).agg(F.count_if(of[success]).alias("successes"), F.count_if(of[failure]).alias("failures"))
-    counted = samples.filter(of[duration] & F.col("value").isNotNull()).groupBy(hour, "value").agg(F.count(F.lit(1)).alias("n"))
-    totals = counted.groupBy("hour").agg(F.sum("n").alias("total"))
-    upto = F.sum("n").over(W.partitionBy("hour").orderBy("value"))
-    reached = counted.withColumn("_upto", upto).join(totals, "hour").filter(F.col("_upto") * 100 >= F.col("total") * 95)
-    hours = hours.join(reached.groupBy("hour").agg(F.min("value").alias("p95_duration")), "hour", "left")
+    timed = samples.withColumn("hour", F.date_trunc("hour", "ts"))
+    hours = timed.groupBy("hour").agg(F.count_if(of[success]).alias("successes"), F.count_if(of[failure]).alias("failures"))
+    slowest = quantile_by(timed.filter(of[duration]), "hour", "value", 95).withColumnRenamed("quantile", "p95_duration")
+    hours = hours.join(slowest, "hour", "left")
     runs = F.nullif(F.col("successes") + F.col("failures"), F.lit(0))
     rated = hours.withColumn("success_pct", F.round(F.col("successes") * F.lit(100).cast("decimal(10,0)") / runs, 2).cast("double"))
     # The alert levels
