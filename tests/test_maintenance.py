@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tillflow.operators import bronze, maintenance, run_metrics
 from tillflow.schemas import MONITORING, REFERENCE_SPECS
 from tillflow.sources import reference
+from tillflow.session import stage
 from tillflow.sources.landing import file_inventory
 from tillflow.sources.tables import create_tables
 
@@ -69,6 +70,54 @@ def test_dry_run_deletes_nothing_and_delete_does(spark, store, tmp_path):
     assert sorted(os.listdir(tmp_path)) == ["new.csv"]
 
 
+def landed(root, names: dict[str, int]):
+    for name, age in names.items():
+        path = root / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("x")
+        stamp = datetime.now().timestamp() - age * 86400
+        os.utime(path, (stamp, stamp))
+
+
+def left(root) -> list[str]:
+    return sorted(str(p.relative_to(root)) for p in root.rglob("*") if p.is_file() and not p.name.endswith(".crc"))
+
+
+def test_expired_folders_go_as_a_whole(spark, store, tmp_path, monkeypatch):
+    """Months of 300 old files cost a call a folder; a month that is mixed loses only what is old."""
+    root = tmp_path / "raw"
+    landed(root, {f"2020/{m:02}/{d:03}/pedido.csv": 100 for m in (1, 2) for d in range(300)})
+    landed(root, {"2021/01/001/pedido.csv": 100, "2021/01/002/pedido.csv": 1, "top.csv": 100})
+    files = file_inventory(spark, str(root))
+    old = maintenance.expired_files(files, datetime.now())
+    whole, delete, single = [], store._delete_folder, store.delete_files
+    monkeypatch.setattr(store, "_delete_folder", lambda f, n, b: whole.append((f.rpartition("raw/")[2], n)) or delete(f, n, b))
+    ones = []
+    monkeypatch.setattr(store, "delete_files", lambda paths: ones.append(paths.count()) or single(paths))
+    assert store.delete_expired(files, old, str(root)) == 602
+    assert sorted(whole) == [("2020", 600), ("2021/01/001", 1)] and ones == [1]
+    assert left(root) == ["2021/01/002/pedido.csv"]
+
+
+def test_files_the_listing_does_not_know_stay(spark, store, tmp_path):
+    """A file that came since the listing, or a hidden one, keeps its folder; what is old goes all the same."""
+    root = tmp_path / "raw"
+    landed(root, {"2020/01/a.csv": 100, "2020/01/b.csv": 100, "2020/02/a.csv": 100, "2020/02/_SUCCESS": 100, "2019/a.csv": 100})
+    files = stage(file_inventory(spark, str(root)))
+    landed(root, {"2020/01/new.csv": 0})
+    assert store.delete_expired(files, maintenance.expired_files(files, datetime.now()), str(root)) == 4
+    assert left(root) == ["2020/01/new.csv", "2020/02/_SUCCESS"]
+
+
+def test_deleting_from_empty_or_fresh_folders_does_nothing(spark, store, tmp_path):
+    (tmp_path / "raw").mkdir()
+    for names in ({}, {"2020/01/a.csv": 1}):
+        landed(tmp_path / "raw", names)
+        files = file_inventory(spark, str(tmp_path / "raw"))
+        assert store.delete_expired(files, maintenance.expired_files(files, datetime.now()), str(tmp_path / "raw")) == 0
+    assert left(tmp_path / "raw") == ["2020/01/a.csv"]
+
+
 def test_storage_and_alerts(spark):
     files = spark.createDataFrame([("objects", 3 * 2**30), ("objects", 2**30), ("warehouse", 2**29)], "store string, length long")
     usage = maintenance.storage_usage(files)

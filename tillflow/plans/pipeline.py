@@ -138,7 +138,11 @@ def run_file_retention(
     files = file_inventory(ws.spark, path)
     found = maintenance.retention_files(files, as_of, max_days, dry_run).collect()
     if not dry_run:
-        ws.store.delete_files(maintenance.expired_files(files, as_of, max_days))
+        old = maintenance.expired_files(files, as_of, max_days)
+        if any(sign in path for sign in "*?[{"):
+            ws.store.delete_files(old)
+        else:
+            ws.store.delete_expired(files, old, path)
     return ws.spark.createDataFrame(
         found, "deleted_count long, deleted_bytes long, skipped_count long, dry_run boolean"
     )
