@@ -73,6 +73,32 @@ def test_single_links_beside_a_large_group(spark):
         assert (np.bincount(row, minlength=len(truth))[few] >= truth[few]).mean() >= 0.995
 
 
+def test_two_shards_give_a_row_for_each_class(spark):
+    """A group of 1,000 near copies comes out as 1,000 rows, with the links that either direction finds."""
+    draw = np.random.default_rng(5)
+    group = draw.normal(0, 1, (1, 32)) + 0.05 * draw.normal(0, 1, (1000, 32))
+    singles = draw.normal(0, 1, (500, 32))
+    vectors = np.concatenate([group, singles, singles + 0.01]).astype(np.float32)[draw.permutation(2000)]
+    shards = []
+    for own in (np.arange(0, 2000, 2), np.arange(1, 2000, 2)):
+        group = {name: [1] * len(own) for name in ("label", "dim", "shard", "shards")}
+        group |= {"node": own, "n": own % 3 + 1, "draw": own, "vector": list(vectors[own])}
+        row = hnsw_dedup._build(hnsw_dedup.pa.table(group)).to_pylist()[0]
+        shards.append(hnsw_dedup.Shard(row | {"dim": 32}, ""))
+    for other in (None, shards[1]):
+        mine = shards[0].nodes
+        nodes = mine if other is None else np.concatenate([mine, other.nodes])
+        side = nodes % 2
+        unit = hnsw_dedup._unit(vectors[nodes]).astype(np.float64)
+        met = (unit @ unit.T >= 0.93) & (np.ones((len(nodes), len(nodes)), bool) if other is None else side[:, None] != side[None, :])
+        np.fill_diagonal(met, False)
+        root = roots(nodes.tolist(), [(int(nodes[a]), int(nodes[b])) for a, b in zip(*np.nonzero(met), strict=True)])
+        expected = {int(x): (root[int(x)], int(met[i] @ (nodes % 3 + 1))) for i, x in enumerate(nodes) if met[i].any()}
+        found, least, others = hnsw_dedup.linked_classes(shards[0], other)
+        assert {int(x): (int(a), int(b)) for x, a, b in zip(found, least, others, strict=True)} == expected
+        assert len(found) == len(expected)
+
+
 def test_nulls_zero_repeats_and_other_columns(spark):
     nan = float("nan")
     rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], 2), (4, [1.0, 0.0], None), (5, None, 1), (6, [0.0, 0.0], 1), (7, [nan, 1.0], 1), (8, [None, 1.0], 1), (9, [], 1), (1, [1.0, 0.0], 1), (None, [3.0, 0.1], 1), (11, [1.0], 1), (12, [float("inf"), 0.0], 1)]

@@ -3,10 +3,11 @@
 Equal vectors of a label are one class first. The classes of a label are dealt to shards of some SHARD classes by a hash,
 and every shard gets a hierarchical graph: upper layers are random samples, the lowest layer holds all classes, inserted
 in batches through beam searches from the layer above, with diverse neighbours so that groups of near copies stay
-reachable. Every class queries every shard of its label. A beam search finds the neighbourhood of the query; from
-the vectors above the threshold the search goes on over all edges that stay above it, so a group of any size is followed to
-its end. In each pair of query block and shard queries are audited against all vectors of the shard, until LINKED of them have
-links or all were, and the beam is doubled until every audited query finds TARGET of its own links. The cosines of all pairs are confirmed in double precision.
+reachable. Every class queries every shard of its label; two shards meet in one task, which queries both ways. A beam search
+finds the neighbourhood of the query; from the vectors above the threshold the search goes on over all edges that stay above it,
+so a group of any size is followed to its end. In each pair of query block and shard queries are audited against all vectors of
+the shard, until LINKED of them have links or all were, and the beam is doubled until every audited query finds TARGET of its own
+links. The cosines of all pairs are confirmed in double precision. Pairs stay in the task, in a table of some SHARD by SHARD bytes: out comes a row for each linked class, with its number of links and the smallest class that it reaches.
 """
 
 from __future__ import annotations
@@ -224,7 +225,7 @@ def _matrix(vectors: pa.Array) -> np.ndarray:
     return np.stack(vectors.to_numpy(zero_copy_only=False)).astype(np.float32)
 
 
-_PARTS = ["nodes", "vectors", "layers"]
+_KEYS = ["label", "dim", "shard", "shards"]
 
 
 def _build(group: pa.Table) -> pa.Table:
@@ -233,37 +234,88 @@ def _build(group: pa.Table) -> pa.Table:
     vectors = _matrix(group.column("vector").combine_chunks())
     layers = Graph.build(_unit(vectors)).layers
     packed = np.concatenate([np.array([len(layers), *map(len, layers)]), *[x.ravel() for x in layers]]).astype(np.int32)
-    nodes = group.column("node").to_numpy().astype(np.int64)
-    keys = {name: group.column(name)[:1] for name in ("label", "dim", "shard")}
-    return pa.table(keys | {"nodes": [nodes.tobytes()], "vectors": [vectors.tobytes()], "layers": [packed.tobytes()]})
+    numbers = {name: group.column(name).to_numpy().astype(np.int64).tobytes() for name in ("node", "n")}
+    keys = {name: group.column(name)[:1] for name in _KEYS}
+    return pa.table(keys | {name: [x] for name, x in (numbers | {"vectors": vectors.tobytes(), "layers": packed.tobytes()}).items()})
 
 
-def _pack(group: pa.Table) -> pa.Table:
-    vectors = _matrix(group.column("vector").combine_chunks())
-    nodes = group.column("node").to_numpy().astype(np.int64)
-    keys = {name: group.column(name)[:1] for name in ("label", "dim", "shards")}
-    return pa.table(keys | {"query_nodes": [nodes.tobytes()], "queries": [vectors.tobytes()]})
+class Shard:
+    """A shard read back: its classes, how many rows each has, their vectors and the graph."""
+
+    def __init__(self, row: dict, at: str) -> None:
+        self.nodes, self.n = (np.frombuffer(row[name + at], np.int64) for name in ("node", "n"))
+        self.vectors = np.frombuffer(row["vectors" + at], np.float32).reshape(-1, row["dim"])
+        packed = np.frombuffer(row["layers" + at], np.int32).astype(np.int64)
+        sizes, start, layers = packed[1 : 1 + packed[0]], 1 + packed[0], []
+        for size in sizes:
+            layers.append(packed[start : start + size * LOWEST_DEGREE].reshape(size, LOWEST_DEGREE))
+            start += size * LOWEST_DEGREE
+        self.graph = Graph(_unit(self.vectors), layers)
+
+    def linked(self, queries: np.ndarray) -> np.ndarray:
+        """A table of ``queries`` by own vectors: whether the search meets the pair and its cosine is confirmed."""
+        table = np.zeros((len(queries), len(self.nodes)), bool)
+        for at in range(0, len(queries), QUERY_BLOCK):
+            row, place = self.graph.audited(_unit(queries[at : at + QUERY_BLOCK]), THRESHOLD - 1e-5)
+            for part in range(0, len(row), 1 << 16):
+                r, p = at + row[part : part + (1 << 16)], place[part : part + (1 << 16)]
+                one, other = queries[r].astype(np.float64), self.vectors[p].astype(np.float64)
+                cosine = np.einsum("pd,pd->p", one, other) / np.sqrt(np.einsum("pd,pd->p", one, one) * np.einsum("pd,pd->p", other, other))
+                table[r, p] = cosine >= THRESHOLD
+        return table
+
+
+def _sums(table: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Rows that each line of the table is linked with; lines become numbers a few at a time."""
+    return np.concatenate([table[at : at + 512] @ n.astype(np.float64) for at in range(0, len(table), 512)]).astype(np.int64)
+
+
+def _reached(table: np.ndarray, turned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each line and column of a table of links the first line of its component, -1 without a link."""
+    lines, columns = np.full(len(table), -1), np.full(len(turned), -1)
+    for first in np.flatnonzero(table.any(axis=1)):
+        front = np.array([first]) if lines[first] < 0 else np.array([], int)
+        lines[front] = first
+        while len(front):
+            near = np.flatnonzero(table[front].any(axis=0) & (columns < 0))
+            columns[near] = first
+            front = np.flatnonzero(turned[near].any(axis=0) & (lines < 0))
+            lines[front] = first
+    return lines, columns
+
+
+def linked_classes(one: Shard, other: Shard | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of two shards (of one with itself, if the other is None) the classes with links, the smallest class that each
+
+    reaches through the links between the two, and the number of rows it is linked with there. A pair found from
+    either side counts, for both.
+    """
+    if other is None:
+        table = one.linked(one.vectors)
+        table |= table.T
+        np.fill_diagonal(table, False)
+        others, nodes = _sums(table, one.n), one.nodes
+        np.fill_diagonal(table, table.any(axis=1))  # a vector is the same as line and as column
+        first, _ = _reached(table, table)
+    else:
+        table = other.linked(one.vectors)
+        table |= one.linked(other.vectors).T
+        turned = np.ascontiguousarray(table.T)
+        others = np.concatenate([_sums(table, other.n), _sums(turned, one.n)])
+        nodes, first = np.concatenate([one.nodes, other.nodes]), np.concatenate(_reached(table, turned))
+    with_links = first >= 0
+    nodes, first, others = nodes[with_links], first[with_links], others[with_links]
+    least = np.full(len(table), np.iinfo(np.int64).max)
+    np.minimum.at(least, first, nodes)
+    return nodes, least[first], others
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             x = batch.slice(i, 1).to_pylist()[0]
-            nodes, vectors = np.frombuffer(x["nodes"], np.int64), np.frombuffer(x["vectors"], np.float32).reshape(-1, x["dim"])
-            own, queries = np.frombuffer(x["query_nodes"], np.int64), np.frombuffer(x["queries"], np.float32).reshape(-1, x["dim"])
-            packed = np.frombuffer(x["layers"], np.int32).astype(np.int64)
-            sizes, at, layers = packed[1 : 1 + packed[0]], 1 + packed[0], []
-            for size in sizes:
-                layers.append(packed[at : at + size * LOWEST_DEGREE].reshape(size, LOWEST_DEGREE))
-                at += size * LOWEST_DEGREE
-            row, place = Graph(_unit(vectors), layers).audited(_unit(queries), THRESHOLD - 1e-5)
-            for part in range(0, len(row), 1 << 16):
-                r, p = row[part : part + (1 << 16)], place[part : part + (1 << 16)]
-                one, other = queries[r].astype(np.float64), vectors[p].astype(np.float64)
-                cosine = np.einsum("pd,pd->p", one, other) / np.sqrt(np.einsum("pd,pd->p", one, one) * np.einsum("pd,pd->p", other, other))
-                true = (cosine >= THRESHOLD) & (own[r] != nodes[p])
-                a, b = own[r][true], nodes[p][true]
-                yield pa.RecordBatch.from_pydict({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+            nodes, least, others = linked_classes(Shard(x, ""), None if x["shard"] == x["other"] else Shard(x, "_2"))
+            yield pa.RecordBatch.from_pydict({"node": nodes, "least": least, "others": others})
 
 
 def usable(vector: Column) -> Column:
@@ -287,21 +339,18 @@ def near_vectors(rows: DataFrame, id_name: str = "vec_id", vector: str = "embedd
     classes = classes.withColumn("node", F.monotonically_increasing_id()).withColumn("dim", F.size("vector"))
     classes = materialise(classes.withColumn("draw", F.xxhash64("vector")))
     sizes = classes.groupBy("label", "dim").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(SHARD))).cast("int").alias("shards"))
-    dealt = classes.join(materialise(sizes), ["label", "dim"]).select("label", "dim", "node", "vector", "draw", "shards")
-    dealt = materialise(dealt.withColumn("shard", F.pmod("draw", "shards").cast("int")))
-    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("draw"), F.col("shards") * (SHARD // QUERY_BLOCK)).cast("int"))
-    label = f"label {dict(rows.dtypes)['label']}"
-    graphs = dealt.groupBy("label", "dim", "shard").applyInArrow(_build, f"{label}, dim int, shard int, nodes binary, vectors binary, layers binary")
-    asks = dealt.groupBy("label", "dim", "part").applyInArrow(_pack, f"{label}, dim int, shards int, query_nodes binary, queries binary")
-    asks = asks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
-    met = asks.join(materialise(graphs), ["label", "dim", "shard"])
-    pairs = met.select("dim", *_PARTS, "query_nodes", "queries").mapInArrow(_search, "a bigint, b bigint")
-    links = materialise(pairs.distinct())
-
-    counts = classes.select(F.col("node").alias("b"), "n")
-    ends = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(counts, "b")
-    linked = ends.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("_others"))
-    found = components(links)
+    dealt = classes.join(materialise(sizes), ["label", "dim"]).select("label", "dim", "node", "vector", "n", "draw", "shards")
+    dealt = dealt.withColumn("shard", F.pmod("draw", "shards").cast("int"))
+    parts = ["node", "n", "vectors", "layers"]
+    schema = f"label {dict(rows.dtypes)['label']}, dim int, shard int, shards int, {', '.join(f'{name} binary' for name in parts)}"
+    graphs = materialise(dealt.groupBy("label", "dim", "shard").applyInArrow(_build, schema))
+    second = graphs.select("label", "dim", F.col("shard").alias("other"), *[F.col(name).alias(f"{name}_2") for name in parts])
+    pairs = graphs.withColumn("other", F.explode(F.sequence("shard", F.col("shards") - 1))).join(second, ["label", "dim", "other"])
+    pairs = pairs.repartition("label", "dim", "shard", "other").drop("label", "shards")
+    links = materialise(pairs.mapInArrow(_search, "node bigint, least bigint, others bigint"))
+
+    linked = links.groupBy("node").agg(F.sum("others").alias("_others"))
+    found = components(links.select(F.col("node").alias("a"), F.col("least").alias("b")))
     named = classes.select("label", "vector", "n", "least", "node").join(linked, "node", "left").join(found, "node", "left")
     named = materialise(named.withColumn("root", F.coalesce("component", "node")))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
