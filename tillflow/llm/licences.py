@@ -4,8 +4,9 @@ A text is normalised (lower case, comment marks at the beginnings of lines, punc
 searched for the known licence sentences. A full stop, exclamation or question mark before white space ends a sentence. The
 end of a line and a semicolon may begin or end one as well, or stand inside: licences are wrapped, references are not. Of two
 known sentences that begin at the same place the longer one counts. The identifiers found, in the order of the text, form a sequence in which the licence rules are
-looked for in their order; a rule takes the identifiers it matches, so that a longer rule stands before one that is
-part of it. Identifiers that no rule takes are reported as well.
+looked for in their order; a rule takes the identifiers it matches and leaves a mark in their place, so that what stood around
+them does not become a sequence, and a longer rule stands before one that is part of it. Identifiers that no rule takes are
+reported as well.
 """
 
 from __future__ import annotations
@@ -37,12 +38,69 @@ SENTENCES: dict[str, str] = {
     "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met": "bsd-grant",
     "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "bsd-source",
     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "bsd-binary",
-    "spdx license identifier mit": "mit-ref",
-    "spdx license identifier apache 2.0": "apache2-ref",
-    "spdx license identifier gpl 3.0 or later": "gpl3-ref",
+    "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd-names",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2.1 of the license or at your option any later version": "lgpl21-grant",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "lgpl3-grant",
+    "you should have received a copy of the gnu lesser general public license along with this library": "lgpl-copy",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version": "agpl3-grant",
+    "you should have received a copy of the gnu affero general public license along with this program": "agpl-copy",
+    "this source code form is subject to the terms of the mozilla public license v": "mpl2-terms",
+    "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla.org mpl 2.0": "mpl2-copy",
+    "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla.org mpl 2.0": "mpl2-copy",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc-grant",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "0bsd-grant",
+    "this is free and unencumbered software released into the public domain": "unlicense-grant",
+    "this software is provided as is without any express or implied warranty": "zlib-warranty",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "zlib-grant",
+    "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following": "boost-grant",
+    "to the extent possible under law the person who associated cc0 with this work has waived all copyright and related or neighboring rights to this work": "cc0-waiver",
     "all rights reserved": "all-rights",
 }
 
+# Identifiers of licences as `SPDX-License-Identifier` gives them, and how a reference names some of them.
+SPDX = (
+    "0BSD AGPL-3.0-only AGPL-3.0-or-later Apache-2.0 Artistic-2.0 BSD-2-Clause BSD-3-Clause BSL-1.0 CC-BY-4.0 CC-BY-NC-4.0 "
+    "CC-BY-SA-4.0 CC0-1.0 CDDL-1.0 EPL-2.0 EUPL-1.2 GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later ISC "
+    "LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later MIT MIT-0 MPL-2.0 OFL-1.1 PostgreSQL Python-2.0 UPL-1.0 "
+    "Unlicense WTFPL Zlib"
+).split()
+NAMES = {
+    "AGPL-3.0": ("gnu affero general public license version 3", "gnu affero general public license v3.0"),
+    "Apache-2.0": ("apache license version 2.0", "apache license 2.0", "apache 2.0 license"),
+    "Artistic-2.0": ("artistic license 2.0",),
+    "BSD-2-Clause": ("bsd 2 clause license", "simplified bsd license"),
+    "BSD-3-Clause": ("bsd 3 clause license", "new bsd license", "modified bsd license"),
+    "BSL-1.0": ("boost software license version 1.0",),
+    "CDDL-1.0": ("common development and distribution license version 1.0",),
+    "EPL-2.0": ("eclipse public license version 2.0", "eclipse public license 2.0"),
+    "EUPL-1.2": ("european union public licence version 1.2",),
+    "GPL-2.0": ("gnu general public license version 2", "gnu general public license v2.0"),
+    "GPL-3.0": ("gnu general public license version 3", "gnu general public license v3.0"),
+    "ISC": ("isc license",),
+    "LGPL-2.1": ("gnu lesser general public license version 2.1", "gnu lesser general public license v2.1"),
+    "LGPL-3.0": ("gnu lesser general public license version 3", "gnu lesser general public license v3.0"),
+    "MIT": ("mit license",),
+    "MPL-2.0": ("mozilla public license version 2.0", "mozilla public license 2.0"),
+    "OFL-1.1": ("sil open font license version 1.1",),
+    "PostgreSQL": ("postgresql license",),
+    "UPL-1.0": ("universal permissive license version 1.0",),
+    "Zlib": ("zlib license",),
+}
+SUBJECTS = ("", "this project is ", "this software is ", "this work is ", "this file is ")
+VERBS = ("licensed", "released", "distributed")
+
+
+def _references() -> dict[str, str]:
+    """Sentences that name a licence, by rule: its SPDX line, and what is licensed, released or distributed under it."""
+    spdx = {"spdx license identifier " + name.lower().replace("-", " "): f"spdx-{name.lower()}" for name in SPDX}
+    return spdx | {
+        f"{subject}{verb} under the {spoken}": f"ref-{name.lower()}"
+        for name, all_spoken in NAMES.items() for spoken in all_spoken for subject in SUBJECTS for verb in VERBS
+    }
+
+
+SENTENCES = _references() | SENTENCES
+
 # Licences by the sentences that make them up, the most specific rule first.
 RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("MIT", ("mit-grant", "mit-notice", "mit-warranty")),
@@ -53,17 +111,34 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("GPL-3.0-or-later", ("gpl3-grant",)),
     ("GPL-2.0-or-later", ("gpl2-grant", "gpl-copy")),
     ("GPL-2.0-or-later", ("gpl2-grant",)),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
+    ("LGPL-2.1-or-later", ("lgpl21-grant", "lgpl-copy")),
+    ("LGPL-2.1-or-later", ("lgpl21-grant",)),
+    ("LGPL-3.0-or-later", ("lgpl3-grant", "lgpl-copy")),
+    ("LGPL-3.0-or-later", ("lgpl3-grant",)),
+    ("AGPL-3.0-or-later", ("agpl3-grant", "agpl-copy")),
+    ("AGPL-3.0-or-later", ("agpl3-grant",)),
+    ("MPL-2.0", ("mpl2-terms", "mpl2-copy")),
+    ("MPL-2.0", ("mpl2-terms",)),
+    ("Zlib", ("zlib-warranty", "zlib-grant")),
+    ("ISC", ("isc-grant",)),
+    ("0BSD", ("0bsd-grant",)),
+    ("BSL-1.0", ("boost-grant",)),
+    ("Unlicense", ("unlicense-grant",)),
+    ("CC0-1.0", ("cc0-waiver",)),
     ("MIT", ("mit-ref",)),
     ("Apache-2.0", ("apache2-ref",)),
     ("GPL-3.0", ("gpl3-ref",)),
     ("CC-BY-NC-4.0", ("cc-by-nc4-ref",)),
     ("CC-BY-SA-4.0", ("cc-by-sa4-ref",)),
     ("CC-BY-4.0", ("cc-by4-ref",)),
+    *((name, (f"spdx-{name.lower()}",)) for name in SPDX),
+    *((name, (f"ref-{name.lower()}",)) for name in NAMES),
 )
 
 #: Every known sentence holds one of these words, so texts without any need no further look.
-TRIGGER = "(?i)licen[sc]e|permission|copyright|warranty|software|redistribution|reserved"
+TRIGGER = "(?i)licen[sc]e|permission|copyright|warranty|software|redistribution|reserved|mozilla"
 #: Sentences of one line, as the oracle SQL cuts them.
 SENTENCE_END = r"[.!?;]+(?:[ \t\n\r\f]|$)|\n"
 NOT_NORMAL = "[^a-z0-9.]+"
@@ -78,8 +153,24 @@ _STEPS = (
     ("(?<![^a-z0-9.|])[^a-z0-9.|~]*+~[^a-z0-9.|]*+", " ~ "),
     ("[^a-z0-9.|~]+", " "),
 )
-_WORDED = "|".join("(?: ~)? ".join(map(re.escape, s.split(" "))) for s in sorted(SENTENCES, key=len, reverse=True))
-_KNOWN = f"(?<=[|~] )(?:{_WORDED})(?= [|~])"
+
+
+def _worded(sentences: list[list[str]]) -> str:
+    """An expression for sequences of words, common beginnings written once; of two that fit the longer one is taken."""
+    by_first: dict[str, list[list[str]]] = {}
+    for first, *rest in sentences:
+        by_first.setdefault(first, []).append(rest)
+    parts = []
+    for word, rests in by_first.items():
+        more = [rest for rest in rests if rest]
+        tail = f"(?: ~)? {_worded(more)}" if more else ""
+        parts.append(re.escape(word) + (f"(?:{tail})?" if len(more) < len(rests) and more else tail))
+    return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
+
+
+_KNOWN = f"(?<=[|~] ){_worded([s.split(' ') for s in SENTENCES])}(?= [|~])"
+#: Left in the place of what a rule took.
+TAKEN = "|"
 
 
 def sequence(ids: tuple[str, ...]) -> str:
@@ -112,9 +203,9 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def step(state: Column, rule: Column) -> Column:
         named = F.concat(state["found"], F.array(rule["name"]))
-        taken = F.struct(F.replace(state["left"], rule["ids"], F.lit("")).alias("left"), named.alias("found"))
+        taken = F.struct(F.replace(state["left"], rule["ids"], F.lit(TAKEN)).alias("left"), named.alias("found"))
         return F.when(F.contains(state["left"], rule["ids"]), taken).otherwise(state)
 
     matched = F.when(F.size("sentences") > 0, F.aggregate(rules, start, step)).otherwise(start)
     found = found.withColumn("_m", matched)
-    return found.withColumn("licences", F.array_sort(F.array_distinct("_m.found"))).withColumn("unmatched", F.col("_m.left")).drop("_m")
+    return found.withColumn("licences", F.array_sort(F.array_distinct("_m.found"))).withColumn("unmatched", F.replace(F.col("_m.left"), F.lit(TAKEN), F.lit(""))).drop("_m")

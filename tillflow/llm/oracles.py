@@ -16,7 +16,7 @@ def licence_scan() -> str:
     for n, (name, ids) in enumerate(licences.RULES):
         rule = _text(licences.sequence(ids))
         steps.append(
-            f"step{n} AS (SELECT row, ids, replace(rest, {rule}, '') AS rest, "
+            f"step{n} AS (SELECT row, ids, replace(rest, {rule}, '{licences.TAKEN}') AS rest, "
             f"CASE WHEN contains(rest, {rule}) THEN list_append(names, {_text(name)}) ELSE names END AS names FROM {before})"
         )
         before = f"step{n}"
@@ -29,7 +29,7 @@ def licence_scan() -> str:
                            CAST([] AS VARCHAR[]) AS names FROM found GROUP BY row),
       {", ".join(steps)}
       SELECT doc_id, CAST(COALESCE(len(ids), 0) AS BIGINT) AS n_sentences, COALESCE(array_to_string(ids, ','), '') AS sentences,
-             COALESCE(array_to_string(list_sort(list_distinct(names)), ','), '') AS licences, COALESCE(rest, '') AS unmatched
+             COALESCE(array_to_string(list_sort(list_distinct(names)), ','), '') AS licences, COALESCE(replace(rest, '{licences.TAKEN}', ''), '') AS unmatched
       FROM docs LEFT JOIN {before} USING (row)"""
 
 
