@@ -96,6 +96,25 @@ def test_context_moves_the_score(spark):
     assert scores == pytest.approx([0.8, 0.3, 0.6])
 
 
+def test_context_decides_where_there_is_no_checksum(spark):
+    expected = {
+        "Born 1984-02-29 in Rome": [("birth_date", 5, 15, 6)],
+        "DOB: 3.11.1970, paid 2.1.2020": [("birth_date", 5, 14, 6), ("birth_date", 21, 29, 6)],
+        "DOB: 31/12/1999" + " " * 60 + "due 01/02/2003": [("birth_date", 5, 15, 6)],
+        "invoice of 1984-02-29, born": [("birth_date", 11, 21, 3)],
+        "due on 1984-02-29": [],
+        "birthday 1984-13-29 or 21984-02-29": [],
+        "Passport no. C01234567 and XC01234567X": [("passport", 13, 22, 6)],
+        "part C01234567": [],
+    }
+    rows = by_id(pii.find(documents(spark, *expected)))
+    for i, (text, spans) in enumerate(expected.items()):
+        kept = [s for s in spans if s[3] >= 5]
+        assert [(s["kind"], s["start"], s["end"], round(10 * s["score"])) for s in rows[i]["pii"]] == kept, text
+    shown = pii.find(documents(spark, "mail a@b.de, host 10.0.0.1!")).select(pii.shown(pii.F.col("pii")), pii.scores(pii.F.col("pii"))).first()
+    assert tuple(shown) == ("email:5:11,ip:18:26", "8,8")
+
+
 def test_redaction(spark):
     docs = documents(spark, "mail a@b.de, host 10.0.0.1!", "clean", None, "").withColumnRenamed("lang", "pii")
     found = pii.redact(docs)

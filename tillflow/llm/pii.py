@@ -8,8 +8,9 @@ account number shows by its checksum only, so its expression looks ahead over th
 the blanks between them) from each word that may begin one, and the prefixes of the run that end with a word are tried.
 
 A span's score starts from what confirmed it (a checksum more than a form), rises with words that speak for the kind
-within CONTEXT characters around it, and falls with words that speak against it. Confirmed spans are kept whatever their
-score.
+within CONTEXT characters around it, and falls with words that speak against it. Spans that a form or checksum confirms are kept
+whatever their score. Dates of birth and passport numbers look like any date or part number: for them the words decide, and a span
+below the least score of its kind goes.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ class Kind:
     speaks_for: str
     speaks_against: str = "(?i)order|version|isbn|serial|invoice"
     base: bool = True
+    least: float = 0.0  # spans below this score go
     ahead: bool = False  # a match is one character, its first group the run that the span begins
 
 
@@ -65,6 +67,16 @@ KINDS = (
         base=False,
         ahead=True,
     ),
+    Kind(
+        "birth_date",
+        "(?<![0-9])(?:(?:19|20)[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])|(?:0?[1-9]|[12][0-9]|3[01])[./](?:0?[1-9]|1[0-2])[./](?:19|20)[0-9]{2})(?![0-9])",
+        r"(?i)\bborn\b|birth|\bdob\b",
+        0.4,
+        r"(?i)\bborn\b|birth|\bdob\b",
+        base=False,
+        least=0.5,
+    ),
+    Kind("passport", "(?<![A-Za-z0-9])[A-Z]{1,2}[0-9]{6,8}(?![A-Za-z0-9])", "(?i)passport", 0.4, "(?i)passport", base=False, least=0.5),
 )
 
 # Characters of an account number by country.
@@ -151,6 +163,8 @@ def _spans(text: Column, kind: Kind) -> Column:
         score = score - F.when(F.rlike(around, F.lit(kind.speaks_against)), 0.3).otherwise(0.0)
         span = F.struct(F.lit(kind.name).alias("kind"), begin.alias("start"), end.alias("end"), score.alias("score"))
         valid = F.when(part["1"].isNull(), False).otherwise(_valid(kind.name, part["1"]))
+        if kind.least:
+            valid = valid & (score >= kind.least)
         if kind.ahead:
             valid = valid & (begin >= F.coalesce(F.try_element_at(state["found"], F.lit(-1))["end"], F.lit(0)))
         found = F.when(valid, F.concat(state["found"], F.array(span.cast(_SPAN)))).otherwise(state["found"])
@@ -185,6 +199,11 @@ def shown(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def scores(spans: Column) -> Column:
+    """Scores of the spans, in tenths, joined by commas in the order of :func:`shown`."""
+    return F.array_join(F.transform(spans, lambda s: F.round(s["score"] * 10).cast("int").cast("string")), ",")
+
+
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in angle brackets; overlapping spans become one, named by the first."""
     names = docs.columns

@@ -75,7 +75,7 @@ def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find(table(spark, folder, "documents").select("doc_id", "text"))
     base = F.filter("pii", lambda s: s["kind"].isin([k.name for k in pii.KINDS if k.base]))
     counts = [pii.count(F.col("pii"), kind.name).alias(f"n_{kind.name}") for kind in pii.KINDS]
-    return found.select("doc_id", *counts, F.sha2(pii.shown(base), 256).alias("base_sha256"), pii.shown(F.col("pii")).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(pii.shown(base), 256).alias("base_sha256"), pii.shown(F.col("pii")).alias("spans"), pii.scores(F.col("pii")).alias("scores"))
 
 
 def op8_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
