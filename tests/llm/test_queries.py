@@ -4,17 +4,22 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import zlib
+from collections import Counter
 
 import pytest
 from compare import connect, difference
 from conftest import SMALL
-from helpers import by_id, roots, shingle_set
+from helpers import WORD, by_id, roots, shingle_set
+from test_mixing import targets
 from test_pii import reference
 from test_url_filter import PAGES, link
 
 import __spark_entry__ as contract
+import corpus_pipeline
 from tillflow.llm import oracles
+from tillflow.llm.common import materialise, table
 from tillflow.llm.queries import registry
 
 QUERIES = registry()
@@ -107,3 +112,61 @@ def test_pipeline(spark, texts):
     found = QUERIES["pipeline"](spark, SMALL).collect()
     assert found and {r["doc_id"] for r in found} <= set(texts)
     assert all(r["n_tokens"] == len(r["ids"]) for r in found)
+
+
+def redacted(text):
+    out, at = [], 0
+    for start, end, kind in sorted((s[1], -s[2], s[0]) for s in reference(text)):
+        if start >= at:
+            out += [text[at:start], f"<{kind}>"]
+        at = max(at, -end)
+    return "".join(out) + text[at:]
+
+
+def test_pipeline_stage_by_stage(spark):
+    """Every stage against a plain version of it, on what its predecessor kept."""
+    spm = pytest.importorskip("sentencepiece")
+    from tillflow.llm.tokenizers import tokenizer_model
+
+    before, frame, after = by_id(table(spark, SMALL, "documents")), table(spark, SMALL, "documents"), []
+    columns = frame.columns
+    for name, stage in corpus_pipeline.STAGES:
+        frame = materialise(stage(spark, frame, SMALL))
+        assert name == "sentence_pieces" or frame.columns == columns
+        after.append(frame.collect())
+    known, single, clean, mixed, pieces = after
+
+    assert all(row == before[row["doc_id"]] for row in known) and len({r["doc_id"] for r in known}) == len(known)
+    wordy = {i for i, r in before.items() if any(c.isalpha() for c in r["text"] or "")}
+    assert {r["doc_id"] for r in known} <= wordy and len(known) >= 0.97 * len(wordy)
+
+    sets = {r["doc_id"]: shingle_set(r["text"]) for r in known}
+    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    groups = Counter(roots(sets, links).values())
+    left = {r["doc_id"]: r for r in single}
+    assert len(left) == len(single) == len(groups) and all(row == before[i] for i, row in left.items())
+    assert {roots(sets, links)[i] for i in left} == set(groups)
+
+    added = re.compile("[A-Z]{2}[0-9]{2}|passport|birth|born|dob", re.IGNORECASE)
+    plain = [r for r in clean if not added.search(left[r["doc_id"]]["text"])]
+    assert sorted(r["doc_id"] for r in clean) == sorted(left) and len(plain) >= 0.5 * len(clean)
+    assert all(r["text"] == redacted(left[r["doc_id"]]["text"]) for r in plain)
+    assert all(r["n_chars"] == len(r["text"]) and (r["source"], r["lang"]) == (left[r["doc_id"]]["source"], left[r["doc_id"]]["lang"]) for r in clean)
+
+    texts = {r["doc_id"]: r for r in clean}
+    size = {i: len(WORD.findall(r["text"])) for i, r in texts.items()}
+    copies, sizes, taken, longest = Counter(r["doc_id"] for r in mixed), Counter(), Counter(), Counter()
+    for i, row in texts.items():
+        sizes[row["source"]] += size[i]
+        taken[row["source"]] += copies[i] * size[i]
+        longest[row["source"]] = max(longest[row["source"]], size[i])
+    assert all(row == texts[row["doc_id"]] for row in mixed) and max(copies.values()) <= 2
+    assert all(abs(taken[s] - wanted) <= longest[s] for s, wanted in targets(sizes).items())
+
+    library = spm.SentencePieceProcessor(model_proto=tokenizer_model())
+    assert Counter(r["doc_id"] for r in pieces) == copies
+    for row in pieces:
+        ids = library.encode(texts[row["doc_id"]]["text"])
+        decoded = hashlib.sha256(library.decode(ids).encode()).hexdigest()
+        assert (row["ids"], row["n_tokens"], row["decoded_sha256"]) == (ids, len(ids), decoded)
+    assert Counter(map(str, QUERIES["pipeline"](spark, SMALL).collect())) == Counter(map(str, pieces))
