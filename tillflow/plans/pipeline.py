@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tillflow.operators import maintenance, quality, run_metrics
 from tillflow.plans.workspace import BUILDERS, DIMENSIONS, FACTS, MARTS, SILVER_REFERENCE, SILVER_SALES, Workspace
 from tillflow.schemas import REFERENCE_SPECS
+from tillflow.sources.inventory import Inventory
 from tillflow.sources.landing import file_inventory
 from tillflow.sources.reference import load_reference
 
@@ -132,10 +133,20 @@ def run_retention(ws: Workspace, as_of: date, max_days: int = maintenance.BRONZE
 
 
 def run_file_retention(
-    ws: Workspace, path: str, as_of: datetime, max_days: int = maintenance.RAW_FILE_MAX_DAYS, dry_run: bool = False
+    ws: Workspace,
+    path: str,
+    as_of: datetime,
+    max_days: int = maintenance.RAW_FILE_MAX_DAYS,
+    dry_run: bool = False,
+    inventory: Inventory | None = None,
 ) -> DataFrame:
-    """Delete landing files that are too old, unless ``dry_run``; returns what was found before."""
-    files = file_inventory(ws.spark, path)
+    """Delete landing files that are too old, unless ``dry_run``; returns what was found before.
+
+    With an ``inventory`` of ``path`` only folders that changed are listed, before and after.
+    """
+    if inventory:
+        inventory.refresh()
+    files = inventory.files() if inventory else file_inventory(ws.spark, path)
     found = maintenance.retention_files(files, as_of, max_days, dry_run).collect()
     if not dry_run:
         old = maintenance.expired_files(files, as_of, max_days)
@@ -143,14 +154,20 @@ def run_file_retention(
             ws.store.delete_files(old)
         else:
             ws.store.delete_expired(files, old, path)
+        if inventory:
+            inventory.refresh()
     return ws.spark.createDataFrame(
         found, "deleted_count long, deleted_bytes long, skipped_count long, dry_run boolean"
     )
 
 
-def run_usage_report(ws: Workspace, landing: str, as_of: datetime, limits_gb: dict[str, float] | None = None) -> DataFrame:
+def run_usage_report(
+    ws: Workspace, landing: str, as_of: datetime, limits_gb: dict[str, float] | None = None, inventory: Inventory | None = None
+) -> DataFrame:
     """Append a snapshot of the sizes of landing files and tables; returns the stores above the alert level."""
-    objects = file_inventory(ws.spark, landing).select(F.lit("objects").alias("store"), "length")
+    if inventory:
+        inventory.refresh()
+    objects = (inventory.files() if inventory else file_inventory(ws.spark, landing)).select(F.lit("objects").alias("store"), "length")
     tables = file_inventory(ws.spark, ws.store.root).select(F.lit("warehouse").alias("store"), "length")
     usage = maintenance.storage_usage(objects.unionByName(tables), limits_gb)
     ws.store.append("monitoring.free_tier_usage", maintenance.usage_snapshot(usage, as_of), "snapshot_date")
