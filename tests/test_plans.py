@@ -160,3 +160,20 @@ def test_hot_partition_is_split_when_written(spark, tmp_path):
 
     assert files("2026-01") >= 8  # a share is split along the tasks that produced it
     assert sorted(files(f"2025-{m:02d}") for m in range(1, 13))[6] <= 4
+
+
+@needs_data
+def test_large_tables_are_sorted_in_more_tasks_than_the_session_has_partitions(spark, tmp_path):
+    """AQE merges partitions up to the advised size; with the 8 of this session it could not go beyond 8."""
+    from tillflow.plans.workspace import Workspace
+    from tillflow.sources import bench
+
+    sizes = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    ws = Workspace(spark, lambda name: bench.BRONZE_TABLES[name](spark, SMALL), TableStore(spark, str(tmp_path / "t")))
+    for name in sizes:
+        spark.conf.set(name, "4k")
+    try:
+        assert ws.compose("silver.orders").rdd.getNumPartitions() > 8
+    finally:
+        for name in sizes:
+            spark.conf.unset(name)

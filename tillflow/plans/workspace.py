@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tillflow.functions.dates import year_month
 from tillflow.functions.filters import MONTH_PARTITION
 from tillflow.operators import dimensions, facts, marts, silver
-from tillflow.session import shared_dir
+from tillflow.session import shared_dir, spread_shuffles
 from tillflow.sources import bench
 from tillflow.sources.tables import TableStore
 
@@ -40,6 +40,7 @@ class Workspace:
         as_of: datetime | None = None,
         layout: dict[str, tuple[str | None, tuple[str, ...]]] | None = None,
     ) -> None:
+        spread_shuffles(spark)
         self.spark = spark
         self.layout = LAYOUT if layout is None else layout
         self.store = store
