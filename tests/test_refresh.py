@@ -109,6 +109,35 @@ def test_a_refresh_that_fails_leaves_all_tables(spark, store, bronze_orders, bro
     assert sorted(rows(store.read("gold.fact_sales"), "order_id", "total_items")) == [("A", 1), ("B", 1)]
 
 
+def test_a_store_can_keep_a_part_of_the_tables(spark, store, bronze_orders, bronze_items, tmp_path):
+    load(store, 0, bronze_orders({"id_pedido": "A"}, {"id_pedido": "B", "data_pedido": date(2026, 2, 1)}), bronze_items({"id_item_pedido": "1", "id_pedido": "A"}, {"id_item_pedido": "2", "id_pedido": "C"}))
+    ws = workspace(spark, store)
+    assert refresh.refresh(ws, ("silver.orders",)).rebuilt
+    load(store, 1, bronze_orders({"id_pedido": "C"}), bronze_items({"id_item_pedido": "3", "id_pedido": "B"}))
+    assert refresh.refresh(ws, ("silver.orders",)) == refresh.Refreshed(False, ("2026-01",))
+    assert sorted(rows(store.read("silver.orders"), "order_id")) == [("A",), ("B",), ("C",)]
+    assert set(store.state()[1]["tables"]) == {*SALES, "silver.orders"}
+    sales = ("gold.fact_sales",)
+    assert refresh.refresh(ws, sales).rebuilt
+    load(store, 2, bronze_orders(), bronze_items({"id_item_pedido": "4", "id_pedido": "A"}))
+    assert refresh.refresh(ws, sales) == refresh.Refreshed(False, ("2026-01",))
+    assert set(store.state()[1]["tables"]) == {*SALES, "silver.orders", "silver.order_items", refresh.WAITING, *sales}
+    assert sorted(rows(store.read(*sales), "order_id", "total_items")) == [("A", 2), ("B", 1), ("C", 1)]
+    # other tables were refreshed last, so all are built anew
+    assert refresh.refresh(ws).rebuilt and refresh.refresh(ws) == refresh.Refreshed(False, ())
+    assert_like_a_rebuild(spark, ws, tmp_path)
+
+
+def test_items_take_their_month_from_the_join_with_their_orders(spark, store, bronze_orders, bronze_items):
+    """Items are joined to orders once, not a second time for the month."""
+    load(store, 0, bronze_orders({"id_pedido": "A"}), bronze_items({"id_item_pedido": "1", "id_pedido": "A"}))
+    ws = workspace(spark, store)
+    refresh.refresh(ws)
+    built = ws.compose("silver.order_items")
+    assert executed_plan(built).count("Join") == executed_plan(silver.silver_order_items(ws.table("bronze.order_items"), ws.table("silver.orders"))).count("Join")
+    assert rows(built, "order_item_id", MONTH_PARTITION) == [("1", "2026-01")]
+
+
 def test_facts_by_order_are_built_without_a_shuffle(spark, tmp_path):
     orders = silver.silver_orders(bench.orders(spark, SMALL))
     items = silver.silver_order_items(bench.order_items(spark, SMALL), orders)

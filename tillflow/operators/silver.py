@@ -99,17 +99,17 @@ def silver_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def silver_order_items(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Items of known orders, newest delivery of each.
+def silver_order_items(items: DataFrame, orders: DataFrame, *also: str) -> DataFrame:
+    """Items of known orders, newest delivery of each, and the columns ``also`` of their order.
 
     ``orders`` is the silver order table: it holds exactly the order ids of bronze, each once. A semi join
     against it neither fans out nor needs a distinct, and its two sides are plain shuffles, so AQE can split
     an order that holds a large share of all items.
     """
     known = items.join(
-        orders.select(F.col("order_id").alias("id_pedido")),
+        orders.select(F.col("order_id").alias("id_pedido"), *also),
         "id_pedido",
-        "left_semi",
+        "inner" if also else "left_semi",
     )
     quantity, price = F.col("qtd").cast("long"), F.col("vlr_item")
     return latest_per_key(known, "id_item_pedido").select(
@@ -121,6 +121,7 @@ def silver_order_items(items: DataFrame, orders: DataFrame) -> DataFrame:
         F.round(quantity * price, 2).cast("decimal(20,2)").alias("total_item_value"),
         blank_to_null(F.col("observacao")).alias("observation"),
         *LINEAGE,
+        *also,
     )
 
 

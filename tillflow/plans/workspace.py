@@ -8,7 +8,6 @@ from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tillflow.functions.dates import year_month
 from tillflow.functions.filters import MONTH_PARTITION
@@ -71,17 +70,24 @@ class Workspace:
         """Write the table anew."""
         partition, cluster = self.layout.get(name, (None, ()))
         rows = self.compose(name)
-        if partition == MONTH_PARTITION:
-            rows = with_month(rows, self.table("silver.orders") if "order_date" not in rows.columns else None)
+        if partition == MONTH_PARTITION and MONTH_PARTITION not in rows.columns:
+            rows = with_month(rows)
         self.store.write(name, rows, partition, cluster)
         self._tables[name] = self.store.read(name)
 
 
-def with_month(rows: DataFrame, orders: DataFrame | None = None) -> DataFrame:
-    """Rows with the month of their order, by their own date or that of ``orders``."""
-    if orders is None:
-        return rows.withColumn(MONTH_PARTITION, year_month(rows["order_date"]))
-    return rows.join(orders.select("order_id", year_month(F.col("order_date")).alias(MONTH_PARTITION)), "order_id").select(*rows.columns, MONTH_PARTITION)
+def with_month(rows: DataFrame) -> DataFrame:
+    """Rows with the month of their order."""
+    return rows.withColumn(MONTH_PARTITION, year_month(rows["order_date"]))
+
+
+def _silver_items(w: Workspace) -> DataFrame:
+    """By months the items take the month of their order from the join with the orders, which is there anyway."""
+    monthly = w.layout.get("silver.order_items", (None, ()))[0] == MONTH_PARTITION
+    orders = w.table("silver.orders")
+    if not monthly:
+        return silver.silver_order_items(w.table("bronze.order_items"), orders)
+    return silver.silver_order_items(w.table("bronze.order_items"), with_month(orders), MONTH_PARTITION)
 
 
 # A month is the partition of the facts, not a day: years of days would make thousands of small folders. The
@@ -106,7 +112,7 @@ BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
         w.table("bronze.units"), w.table("bronze.states"), w.table("bronze.countries"), w.as_of
     ),
     "silver.orders": lambda w: silver.silver_orders(w.table("bronze.orders")),
-    "silver.order_items": lambda w: silver.silver_order_items(w.table("bronze.order_items"), w.table("silver.orders")),
+    "silver.order_items": _silver_items,
     "gold.dim_date": lambda w: (
         dimensions.dim_date(w.spark, w.first_day, w.last_day)
         if w.first_day and w.last_day
