@@ -237,3 +237,18 @@ def test_late_items_land_in_order_and_each_batch_is_computed_once(spark, store,
     states = [r.state for r in late_items.item_states(items, store).collect()]
     assert (states.count("released"), states.count("expired"), states.count("waiting")) == (75, 24, 1)
     assert passes.value == 99
+
+
+def test_taking_a_few_samples_of_a_series_needs_no_operations_on_frames(monkeypatch):
+    """Streams have many series with a few samples each, for which a sorted frame costs milliseconds."""
+    import pandas as pd
+
+    from tillflow.streaming import breaches
+
+    second = 1_000_000
+    batch = pd.DataFrame({"_at": [90 * second, 61 * second, 90 * second, 5 * second], "_tie": [2, 9, 1, 0], "_beyond": [True, False, False, True]})
+    for name in ("assign", "sort_values", "drop_duplicates", "itertuples"):
+        monkeypatch.delattr(pd.DataFrame, name)
+    minutes = {0: (4 * second, 7, False), 60 * second: (89 * second, 0, False)}
+    breaches._take(minutes, batch)
+    assert minutes == {0: (5 * second, 0, True), 60 * second: (90 * second, 2, True)}
