@@ -220,3 +220,20 @@ def test_days_cover_the_years_of_the_orders(spark):
     days = dimensions.dim_date_of(orders)
     assert rows(days.selectExpr("min(full_date)", "max(full_date)", "count(*)")) == [(date(2025, 1, 1), date(2035, 12, 31), 4017)]
     assert dimensions.dim_date_of(orders.limit(0)).count() == 0
+
+
+def test_distinct_orders_of_products_are_counted_without_the_sums(spark):
+    """Sums that went along with (product, unit, order) were shuffled with every row."""
+    from conftest import plan_of
+
+    from tillflow.operators import marts
+
+    items = spark.createDataFrame(
+        [(1, 7, "A", "a1", 2, 3), (1, 7, "A", "a2", 1, None), (1, 8, "B", "b1", None, 4), (None, None, None, "c1", 1, 1)],
+        "product_key long, unit_key long, order_id string, item_id string, quantity long, price int",
+    ).selectExpr("*", "CAST(price AS decimal(12,2)) unit_price", "CAST(price AS decimal(20,2)) total_item_value", "DATE '2026-01-01' order_date")
+    found = marts.product_metrics(items)
+    lines = [line for line in plan_of(found).splitlines() if "HashAggregate(keys=" in line and "order_id" in line.split("functions=")[0]]
+    assert lines and all("functions=[]" in line for line in lines)
+    shown = found.select("product_key", "total_orders", "units_selling_product", "item_count", "quantity_sum", "price_count").collect()
+    assert sorted(map(tuple, shown), key=str) == [(1, 2, 2, 3, 3, 2), (None, 0, 0, 1, 1, 1)]

@@ -157,9 +157,9 @@ def agg_unit_performance(dim_unit: DataFrame, fact_sales: DataFrame, orders_uniq
 def product_metrics(fact_items: DataFrame) -> DataFrame:
     """Per product: distinct orders, items and units, and the sums behind the averages.
 
-    An item belongs to one order and an order to one unit, so counting up through (product, unit, order)
-    and (product, unit) gives all distinct counts. Every step combines in the task before it shuffles, and
-    a product or unit with a huge share of the rows is spread over all tasks by the finer key.
+    An item belongs to one order and an order to one unit, so counting up through (product, unit, order) and (product, unit)
+    gives all distinct counts; a product or unit with a huge share of the rows is spread over all tasks by the finer key. The sums
+    do not go along: nearly every row is a group of its own there, and they would be shuffled with every row, three times.
     """
     sums = {
         "item_count": F.count("item_id"),
@@ -172,12 +172,12 @@ def product_metrics(fact_items: DataFrame) -> DataFrame:
         "first_day": F.min("order_date"),
         "last_day": F.max("order_date"),
     }
-    merged = _aliased(_merged(sums))
-    per_order = fact_items.groupBy("product_key", "unit_key", "order_id").agg(*_aliased(sums))
-    per_unit = per_order.groupBy("product_key", "unit_key").agg(F.count("order_id").alias("orders"), *merged)
-    return per_unit.groupBy("product_key").agg(
-        F.sum("orders").alias("total_orders"), F.count("unit_key").alias("units_selling_product"), *merged
-    )
+    distinct = ("total_orders", "units_selling_product")
+    per_unit = fact_items.select("product_key", "unit_key", "order_id").distinct().groupBy("product_key", "unit_key").agg(F.count("order_id").alias("orders"))
+    counted = per_unit.groupBy("product_key").agg(F.sum("orders").alias(distinct[0]), F.count("unit_key").alias(distinct[1]))
+    summed = fact_items.groupBy("product_key").agg(*_aliased(sums))
+    both = counted.unionByName(summed, allowMissingColumns=True)
+    return both.groupBy("product_key").agg(*_aliased(_merged(distinct) | _merged(sums)))
 
 
 def agg_product_performance(dim_product: DataFrame, fact_items: DataFrame, dim_unit: DataFrame) -> DataFrame:
