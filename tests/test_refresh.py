@@ -138,6 +138,44 @@ def test_items_take_their_month_from_the_join_with_their_orders(spark, store, br
     assert rows(built, "order_item_id", MONTH_PARTITION) == [("1", "2026-01")]
 
 
+def test_a_refresh_shuffles_items_once_by_order_and_once_by_id(spark, store, bronze_orders, bronze_items, monkeypatch):
+    """Which of them may change is found where the newest of each lie already; repeated waiting items are looked for among those that still wait."""
+    from tillflow.sources.tables import Transaction
+
+    load(store, 0, bronze_orders({"id_pedido": "A"}), bronze_items({"id_item_pedido": "1", "id_pedido": "A"}))
+    ws = workspace(spark, store)
+    refresh.refresh(ws, ("silver.order_items",))
+    load(store, 1, bronze_orders({"id_pedido": "B"}), bronze_items({"id_item_pedido": "2", "id_pedido": "B"}, {"id_item_pedido": "3", "id_pedido": "never"}))
+    plans = {}
+    stage, replace = refresh.stage, Transaction.replace
+
+    def planned(frame):
+        return frame._jdf.queryExecution().executedPlan().toString()
+
+    def staging(frame):
+        if "quantity" in frame.columns:
+            plans["items"] = planned(frame)
+        return stage(frame)
+
+    def replacing(self, name, rows, *args):
+        plans[name] = planned(rows)
+        replace(self, name, rows, *args)
+
+    monkeypatch.setattr(refresh, "stage", staging)
+    monkeypatch.setattr(Transaction, "replace", replacing)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        refresh.refresh(ws, ("silver.order_items",))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plans["items"].count("Exchange hashpartitioning(id_item_pedido") == 1
+    waiting = plans[refresh.WAITING]
+    assert waiting.index("HashAggregate") < waiting.index("LeftAnti")
+    assert waiting.rindex("HashAggregate") < waiting.index("LeftAnti")
+    assert rows(store.read(refresh.WAITING), "id_item_pedido") == [("3",)]
+
+
 def test_facts_by_order_are_built_without_a_shuffle(spark, tmp_path):
     orders = silver.silver_orders(bench.orders(spark, SMALL))
     items = silver.silver_order_items(bench.order_items(spark, SMALL), orders)

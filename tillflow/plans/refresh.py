@@ -154,10 +154,10 @@ def refresh(ws: Workspace, keep: tuple[str, ...] | None = None) -> Refreshed:
         if has_items:
             days = _values(replaced_items.select("_ingest_date").union(fresh_items.select("_ingest_date")), F.col("_ingest_date"))
             sent = store.read("bronze.order_items").filter(F.col("_ingest_date").isin(days)).unionByName(released)
-            sent = sent.join(item_ids, sent["id_item_pedido"] == item_ids["order_item_id"], "left_semi")
-            # The deliveries that can win have touched orders; of those all that are known are in ``orders_now``.
+            # The deliveries that can win have touched orders; of those all that are known are in ``orders_now``. The items that
+            # may change are picked last, where the newest of each id lie together already.
             known = orders_now.select("order_id", MONTH_PARTITION)
-            built_items = silver.silver_order_items(sent, known, MONTH_PARTITION)
+            built_items = silver.silver_order_items(sent, known, MONTH_PARTITION).join(item_ids, "order_item_id", "left_semi")
             stay = old_items.filter(_month().isin(months)).drop(MONTH_PARTITION).join(known, "order_id").join(item_ids, "order_item_id", "left_anti")
             items_now = stage(stay.unionByName(built_items).select(*built_items.columns))
             replace("silver.order_items", others("silver.order_items").unionByName(items_now))
@@ -169,7 +169,7 @@ def refresh(ws: Workspace, keep: tuple[str, ...] | None = None) -> Refreshed:
                 days_now = dimensions.dim_date_of(changes.rows("silver.orders"))
                 replace("gold.agg_daily_sales", with_month(marts.agg_daily_sales(days_now, changes.rows("gold.fact_sales"), orders_unique=True)))
             ids = known.select(F.col("order_id").alias("id_pedido"))
-            still_waiting = waiting.unionByName(new_items).distinct().join(ids, "id_pedido", "left_anti")
+            still_waiting = waiting.unionByName(new_items).join(ids, "id_pedido", "left_anti").distinct()
             changes.replace(WAITING, still_waiting.select(*waiting.columns))
     ws.forget(*[name for name in MONTHLY if name in tables])
     for name in ("gold.dim_date", *[mart for mart in MARTS if mart not in MONTHLY]):
