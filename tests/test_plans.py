@@ -191,3 +191,20 @@ def test_a_single_check_writes_only_the_tables_it_reads(spark, tmp_path, monkeyp
     assert set(ws.store.state()[1]["tables"]) == {"silver.orders", "silver.order_items", "gold.fact_sales"}
     for name in ("dq_freshness", "dq_completeness", "dq_accuracy", "dq_referential", "dq_volume_anomaly"):
         assert QUERIES[name](spark, SMALL).count() == 1
+
+
+@needs_data
+def test_checks_do_not_write_the_item_fact_of_which_one_reads_a_column(spark, tmp_path, monkeypatch):
+    from tillflow.plans import queries
+    from tillflow.plans.workspace import Workspace
+    from tillflow.sources import bench
+
+    ws = Workspace(spark, lambda name: bench.BRONZE_TABLES[name](spark, SMALL), TableStore(spark, str(tmp_path / "t")))
+    monkeypatch.setattr(queries, "bench_workspace", lambda *_: ws)
+    composed = {name: rows(QUERIES[name](spark, SMALL)) for name in ("dq_log_rows", "dq_latest", "dq_referential", "dq_referential_faulty")}
+    assert len(composed["dq_log_rows"]) == len(composed["dq_latest"]) == 6
+    tables = {"silver.orders", "silver.order_items", "silver.products", "gold.fact_sales", "gold.dim_product"}
+    assert set(ws.store.state()[1]["tables"]) == tables
+    ws.table("gold.fact_order_items")
+    assert "order_ym" in ws.view("gold.fact_order_items").columns  # the written one, with its partition column
+    assert {name: rows(QUERIES[name](spark, SMALL)) for name in composed} == composed

@@ -60,6 +60,14 @@ class Workspace:
                 self.build(name)
             return self._tables[name]
 
+    def view(self, name: str) -> DataFrame:
+        """The table if it is written already, else the frame that would be written.
+
+        For a single reader of few columns: the other columns are then not shuffled, sorted and written for it.
+        """
+        with self._lock:
+            return self._tables[name] if name in self._tables else self.compose(name)
+
     def forget(self, *names: str) -> None:
         """Read these tables from the store again when they are asked for next."""
         with self._lock:
