@@ -304,3 +304,25 @@ def test_a_load_that_fails_between_its_tables_leaves_nothing(spark, store, drop,
         assert landing.load(spark, path, ORDERS_FILE, store, as_of=datetime(2026, 1, 16), batch=batch) is first
     assert rows(store.read("bronze.orders"), "id_pedido") == [("A",)]
     assert store.read("quarantine.reports").count() == 1 and store.read("quarantine.lines").count() == 2
+
+
+def test_both_sides_of_a_load_are_written_at_the_same_time(spark, store, drop, monkeypatch):
+    from threading import Barrier
+
+    meet, bronze_rows, lines = Barrier(2, timeout=60), landing.to_bronze, landing.quarantine_lines
+
+    def beside(step):
+        def run(*args):
+            meet.wait()
+            return step(*args)
+
+        return run
+
+    monkeypatch.setattr(landing, "to_bronze", beside(bronze_rows))
+    monkeypatch.setattr(landing, "quarantine_lines", beside(lines))
+    drop("u1", HEADER, LINE.format("A"))
+    path = drop("u2", HEADER, "1;B;Loja Online;never;42.90;Rua A;5.00;Finalizado")
+    assert landing.load(spark, path, ORDERS_FILE, store)
+    assert rows(store.read("bronze.orders"), "id_pedido") == [("A",)]
+    assert rows(store.read("quarantine.reports"), "source_file") == [("raw/csv_sales/u2/pedido.csv",)]
+    assert store.read("quarantine.lines").count() == 2

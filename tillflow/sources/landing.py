@@ -10,7 +10,7 @@ give is staged once, and rows, reports and rejected files are all read from ther
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -20,7 +20,7 @@ from tillflow.functions.text import present
 from tillflow.operators.bronze import to_bronze
 from tillflow.operators.validation import file_report, missing_columns, quarantine_report, rejected_files, valid_rows
 from tillflow.schemas import FILE_SPECS, FileSpec
-from tillflow.session import stage
+from tillflow.session import stage, together
 from tillflow.sources.tables import TableStore, list_files, plain_path
 
 MAX_FILE_BYTES = 10 * 1024 * 1024
@@ -172,7 +172,7 @@ def split_files(texts: DataFrame, spec: FileSpec) -> tuple[DataFrame, DataFrame]
     found = stage(layouts(texts, spec))
     endless = found.filter("endless").select(F.col("file").alias("source_file"))
     grouped = found.filter("NOT endless").groupBy("layout").agg(F.max("most").alias("most"), F.collect_list("file").alias("files")).collect()
-    scans = [_scan_layout(spark, row.files, row.layout, row.most, spec) for row in grouped]
+    scans = together(spark, *[partial(_scan_layout, spark, row.files, row.layout, row.most, spec) for row in grouped])
     columns = ", ".join(f"{name} string" for name in [*spec.columns, "_source_file"])
     none = spark.createDataFrame([], f"{columns}, _row bigint, _broken boolean, _complete boolean")
     parsed = stage(reduce(DataFrame.unionByName, scans, none))
@@ -190,7 +190,11 @@ def process(texts: DataFrame, files: DataFrame, spec: FileSpec, root: str = ROOT
     Files are told apart by their full paths; the results name them from ``root`` on. The same function serves batch
     loads and streaming micro-batches.
     """
-    rows, broken = split_files(texts, spec)
+    return judge(*split_files(texts, spec), files, spec, root, max_bytes)
+
+
+def judge(rows: DataFrame, broken: DataFrame, files: DataFrame, spec: FileSpec, root: str = ROOT, max_bytes: int = MAX_FILE_BYTES) -> Landing:
+    """Validate what :func:`split_files` gave for the ``files`` that were due."""
     report = file_report(rows, spec)
     too_big = oversized(files, max_bytes)
     unreadable = broken.unionByName(too_big)
@@ -244,14 +248,23 @@ def quarantine_lines(rejected: DataFrame, root: str = ROOT) -> DataFrame:
 
 
 def store_landing(landing: Landing, spec: FileSpec, store: TableStore, root: str = ROOT, as_of=None, batch: tuple[str, int] | None = None) -> None:
-    """Valid rows to bronze, lines and error reports of rejected files to quarantine: all of it or nothing."""
-    rejected = stage(landing.rejected)
-    now = F.current_timestamp() if as_of is None else as_of
-    reports = quarantine_report(rejected, now).select("source_file", "error", "report_path", "report", F.current_date().alias("_report_date"))
+    """Valid rows to bronze, lines and error reports of rejected files to quarantine: all of it or nothing.
+
+    Neither side needs the other, so they are written at the same time, and become visible together.
+    """
     with store.transaction(batch) as changes:
-        changes.append(f"bronze.{spec.table}", to_bronze(landing.valid, spec, as_of), "_ingest_date")
-        changes.append("quarantine.reports", reports, "_report_date", kind="json")
-        changes.append("quarantine.lines", quarantine_lines(rejected, root))
+
+        def take_valid() -> None:
+            changes.append(f"bronze.{spec.table}", to_bronze(landing.valid, spec, as_of), "_ingest_date")
+
+        def take_rejected() -> None:
+            rejected = stage(landing.rejected)
+            now = F.current_timestamp() if as_of is None else as_of
+            reports = quarantine_report(rejected, now).select("source_file", "error", "report_path", "report", F.current_date().alias("_report_date"))
+            changes.append("quarantine.reports", reports, "_report_date", kind="json")
+            changes.append("quarantine.lines", quarantine_lines(rejected, root))
+
+        together(store.spark, take_valid, take_rejected)
 
 
 def load(

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillflow.schemas import FileSpec
-from tillflow.sources.landing import MAX_FILE_BYTES, ROOT, process, relative_path, route, store_landing, whole_files
+from tillflow.session import together
+from tillflow.sources.landing import MAX_FILE_BYTES, ROOT, judge, relative_path, route, split_files, store_landing, whole_files
 from tillflow.sources.tables import TableStore, list_beside
 
 
@@ -63,9 +64,10 @@ def load_batch(
         return
     due = texts.select(F.col("file").alias("source_file"), F.col("size").alias("length")).persist()
     try:
-        listed = due.unionByName(empty_files(due, spec, store, root))
-        # The large ones are never held as one text.
-        landing = process(texts.filter(F.col("size") <= max_bytes), listed, spec, root, max_bytes)
+        # The large ones are never held as one text. Empty files are looked for while the others are parsed.
+        small = texts.filter(F.col("size") <= max_bytes)
+        (rows, broken), empty = together(texts.sparkSession, lambda: split_files(small, spec), lambda: empty_files(due, spec, store, root))
+        landing = judge(rows, broken, due.unionByName(empty), spec, root, max_bytes)
         store_landing(landing, spec, store, root, as_of, batch)
     finally:
         due.unpersist()
