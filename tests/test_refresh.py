@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from datetime import date, datetime
 
@@ -212,3 +213,41 @@ def test_units_of_any_span_from_the_days(spark):
         expected = sales.groupBy(span.alias("span")).agg(F.count_distinct("unit_key").alias("active_units"))
         assert sorted(rows(marts.active_units(days, span))) == sorted(rows(expected))
     assert marts.active_units(days.limit(0), F.month("order_date")).count() == 0
+
+
+def test_writes_leave_no_shuffle_files(spark, store, tmp_path):
+    from tillflow import session
+
+    def files():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(blocks.size()) if (name := blocks.apply(i).getName()).startswith("shuffle_") and name.endswith(".data")}
+
+    def gone(before):
+        deadline = time.monotonic() + 20
+        while files() - before and time.monotonic() < deadline:
+            time.sleep(0.2)
+        return not files() - before
+
+    rows = spark.range(5000).groupBy((F.col("id") % 700).alias("k")).agg(F.count(F.lit(1)).alias("n")).withColumn("order_month", F.col("k") % 3)
+    before, setting = files(), spark.conf.get(session._CLEANUP, None)
+    kept_by_plan = rows.hint("rebalance", "order_month")
+    staged = session.stage(kept_by_plan)
+    store.write("gold.some", kept_by_plan, "order_month", ("k",))
+    assert gone(before)
+    assert spark.conf.get(session._CLEANUP, None) == setting
+    assert staged.count() == store.read("gold.some").count() == 700
+
+
+def test_a_session_that_says_what_to_do_with_shuffles_keeps_its_setting(spark):
+    from tillflow import session
+
+    spark.conf.set(session._CLEANUP, "false")
+    try:
+        with session.shuffles_removed(spark):
+            assert spark.conf.get(session._CLEANUP) == "false"
+        assert spark.conf.get(session._CLEANUP) == "false"
+    finally:
+        spark.conf.unset(session._CLEANUP)
+    with session.shuffles_removed(spark), session.shuffles_removed(spark):
+        assert spark.conf.get(session._CLEANUP) == "true"
+    assert spark.conf.get(session._CLEANUP, None) is None
