@@ -155,12 +155,12 @@ def refresh(ws: Workspace, keep: tuple[str, ...] | None = None) -> Refreshed:
             days = _values(replaced_items.select("_ingest_date").union(fresh_items.select("_ingest_date")), F.col("_ingest_date"))
             sent = store.read("bronze.order_items").filter(F.col("_ingest_date").isin(days)).unionByName(released)
             # The deliveries that can win have touched orders; of those all that are known are in ``orders_now``. The items that
-            # may change are picked first: they are few beside those of the days, and go through two more shuffles.
+            # may change are picked last, where the newest of each id lie together already.
             known = orders_now.select("order_id", MONTH_PARTITION)
-            sent = sent.join(item_ids, sent["id_item_pedido"] == item_ids["order_item_id"], "left_semi")
-            built_items = stage(silver.silver_order_items(sent, known, MONTH_PARTITION))
+            built_items = silver.silver_order_items(sent, known, MONTH_PARTITION).join(item_ids, "order_item_id", "left_semi")
+            # What stays is written by itself, so that its shuffles are gone before those of the new items begin.
             stay = old_items.filter(_month().isin(months)).drop(MONTH_PARTITION).join(known, "order_id").join(item_ids, "order_item_id", "left_anti")
-            items_now = stage(stay.unionByName(built_items).select(*built_items.columns))
+            items_now = stage(stage(stay).unionByName(built_items).select(*built_items.columns))
             replace("silver.order_items", others("silver.order_items").unionByName(items_now))
             if "gold.fact_sales" in tables:
                 replace("gold.fact_sales", others("gold.fact_sales").unionByName(with_month(facts.fact_sales(orders_now, items_now))))
